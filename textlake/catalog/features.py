@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from textlake.catalog.registry import WORDS, query
 from textlake.operators import features as X
+from textlake.operators.modelsel import in_test
 
 TFIDF = f"""{WORDS},
 n AS (SELECT count(*) AS n FROM documents),
@@ -19,10 +20,6 @@ tfidf AS (SELECT doc_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id
 UNSEEN = "('0x' || substr(md5('42:' || doc_id), 1, 4))::INT < 13107"
 
 
-def is_test(key, seed: int = 42):
-    from textlake.operators.modelsel import in_test
-
-    return in_test(key, seed)
 
 
 def words_of(t):
@@ -95,8 +92,8 @@ def _(t):
 )
 def _(t):
     tokens = words_of(t)
-    idf = X.idf_table(tokens.where(~is_test(F.col("doc_id"))))
-    scored = X.tfidf_transform(tokens.where(is_test(F.col("doc_id"))), idf)
+    idf = X.idf_table(tokens.where(~in_test(F.col("doc_id"))))
+    scored = X.tfidf_transform(tokens.where(in_test(F.col("doc_id"))), idf)
     return scored.withColumn("weight", F.round("weight", 6))
 
 

@@ -19,7 +19,11 @@ def _(t):
     return C.take_first_n(t.documents.select("doc_id", "text"), "doc_id", 5000)
 
 
-@query("text_stage_chain", "SELECT doc_id, upper(text) || '!' AS text FROM documents")
+@query(
+    "text_stage_chain",
+    # full upper-casing turns the sharp s into SS
+    "SELECT doc_id, upper(replace(text, 'ß', 'ss')) || '!' AS text FROM documents",
+)
 def _(t):
     return t.documents.select("doc_id", "text").transform(C.upper_stage).transform(C.exclaim_stage)
 
