@@ -205,7 +205,7 @@ acc AS (SELECT model, ordinal::INT AS ordinal, avg((label = prediction)::INT) AS
 
 def _rule_predictions(t):
     joined = t.labels.join(t.documents.select("doc_id", "lang"), "doc_id")
-    langs = sorted(r[0] for r in joined.select("lang").distinct().limit(1000).collect())
+    langs = M.categories(joined, "lang")
     ordinal = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1
     return joined.select(
         F.col("lang").alias("model"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlake.operators.features import idf_table, tfidf_transform
-from textlake.operators.modelsel import MAX_CATEGORIES
+from textlake.operators.modelsel import categories
 from textlake.plans.lookup import lookup
 from textlake.plans.staging import stage
 
@@ -26,10 +26,9 @@ class NaiveBayes:
 def nb_train(tokens: DataFrame, labels: DataFrame, alpha: float = 1.0) -> NaiveBayes:
     """Class priors and smoothed term log-likelihoods from (doc_id, tokens) and (doc_id, label)."""
     known = stage(tokens.join(labels, "doc_id").select("doc_id", "tokens", "label"), "nb-train")
-    counts = known.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(MAX_CATEGORIES)
-    counts = counts.collect()
-    classes, n_docs = [r["label"] for r in counts], sum(r["n"] for r in counts)
-    priors = [r["n"] / n_docs for r in counts]
+    classes = categories(known, "label")
+    sizes = known.agg(F.count("*"), *[F.count_if(F.col("label") == c) for c in classes]).first()
+    priors = [n / sizes[0] for n in sizes[1:]]
     idf = idf_table(known.select("doc_id", "tokens"))
     weights = tfidf_transform(known, idf)
     weights = weights.join(known.select("doc_id", "label"), "doc_id")
@@ -89,7 +88,7 @@ def zero_shot_scores(weights: DataFrame, docs: DataFrame, profiles: DataFrame) -
 
     weights: unit-length (doc_id, term, weight); docs keeps documents without any match.
     """
-    labels = [r[0] for r in profiles.select("label").distinct().orderBy("label").limit(1000).collect()]
+    labels = categories(profiles, "label")
     found = lookup(weights, profiles.select("label", "term", F.col("weight").alias("lw")), ["term"], how="inner")
     parts = [
         F.sum(F.when(F.col("label") == c, F.col("weight") * F.col("lw"))).alias(f"c{i}") for i, c in enumerate(labels)

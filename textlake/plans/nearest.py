@@ -1,12 +1,14 @@
-"""Exact k nearest rows for a set of query vectors, with a top-k kept inside each task.
+"""Exact k best rows for a set of queries, with the k best kept inside each task.
 
-Each task scores its rows against a block of query vectors and keeps only the k best per
-query, so nothing of size rows x queries is ever emitted or shuffled.
+Each task scores its rows against a block of queries and keeps only the k best per query,
+so nothing of size rows x queries is ever emitted or shuffled. A block of queries is
+bounded; more queries than one block take one more pass over the rows each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +18,11 @@ from pyspark.sql import functions as F
 from textlake.plans.ranking import running_total
 from textlake.plans.staging import stage
 
-QUERY_BLOCK = 2048  # query vectors shipped to the tasks at once
+QUERY_BLOCK = 2048  # dense query vectors sent to the tasks at once
+SPARSE_QUERY_BLOCK = 256  # sparse queries sent at once …
+SPARSE_CELL_BLOCK = 40_000  # … and their terms, give or take one query
+
+Score = Callable[[pd.DataFrame], np.ndarray]
 
 
 def best_rows(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -29,86 +35,139 @@ def best_rows(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
 
 
-def _score_block(rows, id_col, vec_col, names, matrix, k, score, exclude):
-    """One pass over rows for one block of query vectors."""
+def scan_block(
+    rows: DataFrame, id_col: str, names: list[int], score: Score, k: int, excluded: list[list[int]] | None = None
+) -> DataFrame:
+    """One pass: (query_id, id, score), at most k rows per query and task.
+
+    `score` turns a batch into a rows x queries array; NaN cells are no match.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: list[tuple] = [(np.empty(0, "int64"), np.empty(0)) for _ in names]
+        kept = [(np.empty(0, "int64"), np.empty(0)) for _ in names]
         for batch in batches:
             if batch.empty:
                 continue
-            ids = batch[id_col].to_numpy("int64")
-            values = score(np.stack(batch[vec_col].to_numpy()).astype("float64"), matrix)
+            ids, values = batch[id_col].to_numpy("int64"), score(batch)
             for q in range(len(names)):
                 column = values[:, q]
-                some, best = ids, column
-                if exclude is not None and len(exclude[q]):
-                    allowed = ~np.isin(ids, exclude[q])
-                    some, best = ids[allowed], column[allowed]
+                allowed = ~np.isnan(column)
+                if excluded is not None and len(excluded[q]):
+                    allowed &= ~np.isin(ids, excluded[q])
+                some, best = ids[allowed], column[allowed]
                 top = best_rows(some, best, k)
-                some = np.concatenate([kept[q][0], some[top]])
-                best = np.concatenate([kept[q][1], best[top]])
+                some, best = np.concatenate([kept[q][0], some[top]]), np.concatenate([kept[q][1], best[top]])
                 top = best_rows(some, best, k)
                 kept[q] = (some[top], best[top])
-        for q, (some, best) in enumerate(kept):
+        for name, (some, best) in zip(names, kept, strict=True):
             if len(some):
-                yield pd.DataFrame({"query_id": names[q], id_col: some, "score": best})
+                yield pd.DataFrame({"query_id": name, id_col: some, "score": best})
+
+    return rows.mapInPandas(run, f"query_id bigint, {id_col} bigint, score double")
 
-    return rows.select(F.col(id_col).cast("bigint"), vec_col).mapInPandas(
-        run, f"query_id bigint, {id_col} bigint, score double"
-    )
 
+def keep_best(parts: list[DataFrame], rows: DataFrame, id_col: str, k: int) -> DataFrame:
+    if not parts:
+        return rows.sparkSession.createDataFrame([], f"query_id bigint, {id_col} bigint, score double, rank int")
+    found = reduce(DataFrame.unionByName, parts)
+    window = Window.partitionBy("query_id").orderBy(F.desc("score"), id_col)
+    return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
-def cosine_scores(digits: int = 6):
-    def score(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
-        rows_len = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-        queries_len = np.sqrt((queries * queries).sum(axis=1))
-        lengths = rows_len * queries_len
-        out = np.divide(rows @ queries.T, lengths, out=np.zeros(lengths.shape), where=lengths > 0)
-        return np.round(out, digits)
 
-    return score
+def dense_matrix(column: str) -> Callable[[pd.DataFrame], np.ndarray]:
+    return lambda batch: np.stack(batch[column].to_numpy()).astype("float64")
+
+
+def bucket_matrix(column: str, dims: int) -> Callable[[pd.DataFrame], np.ndarray]:
+    """Counts per bucket from arrays of bucket numbers."""
+
+    def build(batch: pd.DataFrame) -> np.ndarray:
+        lists = batch[column].to_numpy()
+        sizes = np.fromiter((len(x) for x in lists), "int64", len(lists))
+        flat = np.concatenate(lists).astype("int64") if sizes.sum() else np.empty(0, "int64")
+        cells = np.repeat(np.arange(len(lists)), sizes) * dims + flat
+        return np.bincount(cells, minlength=len(lists) * dims).reshape(len(lists), dims).astype("float64")
+
+    return build
+
+
+def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    lengths = np.sqrt(np.outer((a * a).sum(axis=1), (b * b).sum(axis=1)))
+    return np.divide(a @ b.T, lengths, out=np.zeros(lengths.shape), where=lengths > 0)
 
 
 def nearest(
     rows: DataFrame,
     id_col: str,
-    vec_col: str,
     queries: DataFrame,
     k: int,
-    score,
-    exclude_col: str | None = None,
+    matrix: Callable[[pd.DataFrame], np.ndarray],
+    measure: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    excluded_col: str | None = None,
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
-    """(query_id, id, score, rank): the k best rows per query, ties to the smaller id.
+    """(query_id, id, score, rank) of the k rows that measure highest against each query.
 
-    `queries` has query_id, vector and optionally an array column of excluded row ids.
-    Query vectors go out in blocks of at most query_block, one pass over rows per block.
+    `matrix` turns a batch of rows, or of queries, into vectors: both have the same column.
     """
-    columns = ["query_id", "vector"] + ([exclude_col] if exclude_col else [])
-    queries = stage(queries.select(*columns), "queries")
-    if queries.count() > query_block:
+    queries = stage(queries, "queries")
+    count = queries.count()
+    if count > query_block:
         queries = stage(running_total(queries, ["query_id"], out="_n"), "queries")
-        last = queries.agg(F.max("_n")).first()[0]
-        blocks = [
-            queries.where(F.col("_n").between(i + 1, i + query_block))
-            for i in range(0, last, query_block)
-        ]
+        blocks = [queries.where(F.col("_n").between(i + 1, i + query_block)) for i in range(0, count, query_block)]
     else:
         blocks = [queries]
-    found = None
+    parts = []
     for block in blocks:
-        taken = block.orderBy("query_id").collect()  # at most query_block rows
-        if not taken:
+        taken = block.orderBy("query_id").toPandas()  # at most query_block rows
+        if taken.empty:
             continue
-        matrix = np.array([list(r["vector"]) for r in taken], dtype="float64")
-        names = [r["query_id"] for r in taken]
-        exclude = [list(r[exclude_col] or []) for r in taken] if exclude_col else None
-        part = _score_block(rows, id_col, vec_col, names, matrix, k, score, exclude)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return rows.sparkSession.createDataFrame(
-            [], f"query_id bigint, {id_col} bigint, score double, rank int"
+        vectors = matrix(taken)
+        excluded = [list(x) for x in taken[excluded_col]] if excluded_col else None
+        parts.append(
+            scan_block(
+                rows, id_col, taken["query_id"].tolist(), lambda b, v=vectors: measure(matrix(b), v), k, excluded
+            )
         )
-    window = Window.partitionBy("query_id").orderBy(F.desc("score"), id_col)
-    return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+    return keep_best(parts, rows, id_col, k)
+
+
+def nearest_sparse(rows: DataFrame, id_col: str, queries: DataFrame, k: int, digits: int = 6) -> DataFrame:
+    """k rows with the highest dot product per query; rows without a shared term do not match.
+
+    rows: (id, cells array<struct<term, weight>>); queries: (query_id, term, weight), one
+    row per term.
+    """
+    sizes = queries.groupBy("query_id").agg(F.count("*").alias("_cells"))
+    sizes = running_total(stage(sizes, "query-sizes"), ["query_id"], out="_n")
+    sizes = running_total(sizes, ["query_id"], F.col("_cells"), out="_upto")
+    placed = sizes.select(
+        "query_id",
+        F.floor((F.col("_n") - 1) / SPARSE_QUERY_BLOCK).alias("_a"),
+        F.floor((F.col("_upto") - F.col("_cells")) / SPARSE_CELL_BLOCK).alias("_b"),
+    )
+    queries = stage(queries.join(placed, "query_id"), "query-terms")
+    parts = []
+    for block in queries.select("_a", "_b").distinct().orderBy("_a", "_b").collect():
+        cells = queries.where((F.col("_a") == block["_a"]) & (F.col("_b") == block["_b"]))
+        taken = cells.select("query_id", "term", "weight").orderBy("query_id", "term").toPandas()
+        names = sorted(taken["query_id"].unique().tolist())
+        terms = {t: i for i, t in enumerate(sorted(taken["term"].unique()))}
+        weights = np.zeros((len(terms), len(names)))
+        weights[taken["term"].map(terms), taken["query_id"].map({q: i for i, q in enumerate(names)})] = taken["weight"]
+        parts.append(scan_block(rows, id_col, names, _sparse_score(terms, weights, digits), k))
+    return keep_best(parts, rows, id_col, k)
+
+
+def _sparse_score(terms: dict[str, int], weights: np.ndarray, digits: int) -> Score:
+    def score(batch: pd.DataFrame) -> np.ndarray:
+        out = np.full((len(batch), weights.shape[1]), np.nan)
+        for r, cells in enumerate(batch["cells"]):
+            shared = [(terms[c["term"]], c["weight"]) for c in cells if c["term"] in terms]
+            if shared:
+                places, values = zip(*shared, strict=True)
+                found = np.asarray(values) @ weights[list(places)]
+                out[r, found > 0] = np.round(found[found > 0], digits)
+        return out
+
+    return score

@@ -35,15 +35,16 @@ def split_points(keys: DataFrame, order: list[str], rows_per_range: int = ROWS_P
     return points[: ranges - 1]
 
 
-def range_number(order: list[str], points: list) -> Column:
+def range_number(df: DataFrame, order: list[str], points: list) -> Column:
     """Number of the range a row falls in, found by halving."""
-    key = F.struct(*[F.col(c) for c in order])
+    key, types = F.struct(*[F.col(c) for c in order]), dict(df.dtypes)
 
     def search(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        edge = F.struct(*[F.lit(v).alias(c) for c, v in zip(order, points[mid], strict=True)])
+        values = zip(order, points[mid], strict=True)
+        edge = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in values])
         return F.when(key < edge, search(lo, mid)).otherwise(search(mid + 1, hi))
 
     return search(0, len(points))
@@ -73,7 +74,7 @@ def running_total(
         window = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
         window = window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum("_value").over(window)).drop("_value")
-    df = df.withColumn("_range", range_number(order, points))
+    df = df.withColumn("_range", range_number(df, order, points))
     inside = (
         Window.partitionBy(*group, "_range")
         .orderBy(*order)
