@@ -17,8 +17,8 @@ from textlake.plans.staging import stage
 PRE_TOKEN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 OPEN, CLOSE = "\u0001", "\u0002"  # around every symbol of a word; never part of a symbol
-CANDIDATES = 100  # most frequent pairs looked at per round
-MERGES_PER_TABLE = 40  # merges after which the words are written anew
+CANDIDATES = 200  # most frequent pairs looked at per round
+MERGES_PER_TABLE = 25  # merges after which the words are written anew
 
 
 def byte_symbols() -> list[str]:
@@ -87,6 +87,23 @@ def independent_prefix(pairs: list[tuple[str, str]], known: dict[str, int]) -> l
     return taken
 
 
+def _leading_pairs(counts: DataFrame, age: dict[str, int]) -> list[tuple[str, str]]:
+    """Some of the first pairs in the order count, left age, right age, without a gap."""
+    top = counts.orderBy(F.desc("n"), "left", "right").limit(CANDIDATES).collect()
+    if len(top) == CANDIDATES:
+        # pairs as frequent as the last one may be missing from the list
+        sure = [r for r in top if r["n"] > top[-1]["n"]]
+        if not sure:
+            ages = counts.sparkSession.createDataFrame(list(age.items()), "symbol string, age int")
+            left = F.broadcast(ages.select(F.col("symbol").alias("left"), F.col("age").alias("left_age")))
+            right = F.broadcast(ages.select(F.col("symbol").alias("right"), F.col("age").alias("right_age")))
+            aged = counts.where(F.col("n") == top[0]["n"]).join(left, "left").join(right, "right")
+            sure = aged.orderBy("left_age", "right_age").limit(CANDIDATES).collect()
+        top = sure
+    top.sort(key=lambda r: (-r["n"], age[r["left"]], age[r["right"]]))
+    return [(r["left"], r["right"]) for r in top]
+
+
 def bpe_train(words: DataFrame, vocab_size: int = 30_000, min_frequency: int = 2) -> list[tuple[str, str]]:
     """Merges in learned order, from a written (word, n) table.
 
@@ -95,7 +112,6 @@ def bpe_train(words: DataFrame, vocab_size: int = 30_000, min_frequency: int = 2
     which gives the same merges as one per round in far fewer jobs. The driver holds the
     symbols and merges, as many as the vocabulary has.
     """
-    spark = words.sparkSession
     wrapped = F.transform(T.characters(F.col("word")), lambda c: F.concat(F.lit(OPEN), c, F.lit(CLOSE)))
     current = words.where(F.length("word") > 1).select("n", F.concat_ws("", wrapped).alias("spelled"))
     current = stage(current, "bpe-spelled")
@@ -104,12 +120,8 @@ def bpe_train(words: DataFrame, vocab_size: int = 30_000, min_frequency: int = 2
     merges: list[tuple[str, str]] = []
     pending = 0
     while len(merges) < wanted:
-        ages = spark.createDataFrame(list(age.items()), "symbol string, age int")
-        left = F.broadcast(ages.select(F.col("symbol").alias("left"), F.col("age").alias("left_age")))
-        right = F.broadcast(ages.select(F.col("symbol").alias("right"), F.col("age").alias("right_age")))
-        counts = _pair_counts(current).where(F.col("n") >= min_frequency).join(left, "left").join(right, "right")
-        top = counts.orderBy(F.desc("n"), "left_age", "right_age").select("left", "right").limit(CANDIDATES)
-        taken = independent_prefix([tuple(r) for r in top.collect()], age)[: wanted - len(merges)]
+        counts = _pair_counts(current).where(F.col("n") >= min_frequency)
+        taken = independent_prefix(_leading_pairs(counts, age), age)[: wanted - len(merges)]
         if not taken:
             break
         for a, b in taken:
