@@ -7,10 +7,16 @@ from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textlake.plans.staging import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Tables whose rows are long texts, with their key.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
+
+
 class Tables:
     """The tables of one data folder, read lazily by attribute."""
 
@@ -18,7 +24,8 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(table, TEXT_KEYS[name]) if name in TEXT_KEYS else table
 
 
 def query(name: str, sql: str | None = None):

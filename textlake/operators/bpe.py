@@ -63,7 +63,7 @@ def _pair_counts(words: DataFrame) -> DataFrame:
     symbols = symbols.select("n", F.transform("s", lambda x: F.replace(x, F.lit(CLOSE))).alias("s"))
     k = F.size("s") - 1
     pairs = F.arrays_zip(F.slice("s", F.lit(1), k).alias("left"), F.slice("s", F.lit(2), k).alias("right"))
-    rows = symbols.where(k > 0).select("n", F.explode(pairs).alias("p"))
+    rows = symbols.select("n", F.explode(F.when(k > 0, pairs)).alias("p"))
     return rows.groupBy("p.left", "p.right").agg(F.sum("n").alias("n"))
 
 

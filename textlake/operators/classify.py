@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlake.functions import text as T
 from textlake.operators.features import idf_table, tfidf_transform
 from textlake.operators.modelsel import categories
 from textlake.plans.lookup import lookup
@@ -75,7 +76,7 @@ def nb_predict(tokens: DataFrame, model: NaiveBayes) -> DataFrame:
 
 def label_profiles(tokens: DataFrame, group: str, k: int = 20) -> DataFrame:
     """(label, term, weight): the k terms most typical by document count, unit length per label."""
-    counts = tokens.select(F.col(group).alias("label"), F.explode(F.array_distinct("tokens")).alias("term"))
+    counts = tokens.select(F.col(group).alias("label"), T.each(F.array_distinct("tokens")).alias("term"))
     counts = counts.groupBy("label", "term").agg(F.count("*").alias("n"))
     window = Window.partitionBy("label").orderBy(F.desc("n"), "term")
     top = counts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)

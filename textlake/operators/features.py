@@ -51,18 +51,15 @@ def term_counts(tokens: DataFrame) -> DataFrame:
     return counted.select(*others, "_c.term", "_c.tf")
 
 
-def document_frequency(tokens: DataFrame, label: str = "df") -> DataFrame:
-    """Written table (term, df, total): documents and occurrences per term."""
-    counts = term_counts(tokens.select("tokens"))
-    table = counts.groupBy("term").agg(
-        F.count("*").alias("df"), F.sum("tf").cast("bigint").alias("total")
-    )
-    return stage(table, label)
+def document_frequency(tokens: DataFrame) -> DataFrame:
+    """(term, df): documents per term."""
+    terms = tokens.select(T.each(F.array_distinct("tokens")).alias("term"))
+    return terms.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def vocabulary(tokens: DataFrame) -> DataFrame:
     """(term, index): sorted distinct terms, index from 0."""
-    terms = stage(tokens.select(F.explode("tokens").alias("term")).distinct(), "terms")
+    terms = stage(tokens.select(T.each("tokens").alias("term")).distinct(), "terms")
     ranked = running_total(terms, ["term"], out="n")
     return ranked.select("term", (F.col("n") - 1).alias("index"))
 
@@ -84,7 +81,7 @@ def idf_weight(n_docs: int) -> Column:
 
 
 def idf_table(tokens: DataFrame) -> DataFrame:
-    """Written table (term, df, total, idf) of a training corpus."""
+    """Written table (term, df, idf) of a training corpus."""
     n_docs = tokens.count()
     return stage(document_frequency(tokens).withColumn("idf", idf_weight(n_docs)), "idf")
 
@@ -131,7 +128,7 @@ def top_terms(weights: DataFrame, k: int = 5) -> DataFrame:
 def corpus_stats(docs: DataFrame) -> DataFrame:
     """One row: documents, characters, size in millions, tokens, matrix cells, vocabulary."""
     tokens = docs.select(F.length("text").alias("chars"), T.word_tokens(F.col("text")).alias("tokens"))
-    terms = tokens.select(F.explode("tokens").alias("term")).distinct()
+    terms = tokens.select(T.each("tokens").alias("term")).distinct()
     return tokens.agg(
         F.count("*").alias("n_docs"),
         F.sum("chars").alias("n_chars"),
@@ -142,6 +139,6 @@ def corpus_stats(docs: DataFrame) -> DataFrame:
 
 
 def approx_vocabulary_size(tokens: DataFrame, rsd: float = 0.01) -> DataFrame:
-    return tokens.select(F.explode("tokens").alias("term")).agg(
+    return tokens.select(T.each("tokens").alias("term")).agg(
         F.approx_count_distinct("term", rsd).alias("vocab_size")
     )

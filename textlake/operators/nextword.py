@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlake.functions import text as T
 from textlake.plans.lookup import lookup
 from textlake.plans.ranking import running_total
 from textlake.plans.staging import stage
@@ -12,19 +13,19 @@ from textlake.plans.staging import stage
 LOSS_LIMIT = 20.0  # perplexity is infinite from this mean loss on
 
 
-def _pairs(tokens: DataFrame) -> DataFrame:
-    """tokens with `pairs`: array<struct<prev, next>> built inside the row."""
+def _pairs() -> Column:
+    """The adjacent pairs of `tokens`, array<struct<prev, next>>, built inside the row."""
     n = F.size("tokens")
     pairs = F.arrays_zip(
         F.slice("tokens", F.lit(1), F.greatest(n - 1, F.lit(0))).alias("prev"),
         F.slice("tokens", F.lit(2), F.greatest(n - 1, F.lit(0))).alias("next"),
     )
-    return tokens.withColumn("pairs", pairs)
+    return pairs
 
 
 def ngram_counts(tokens: DataFrame) -> DataFrame:
     """(prev, next, n): adjacent token pairs, counted before the shuffle."""
-    rows = _pairs(tokens).select(F.explode("pairs").alias("p"))
+    rows = tokens.select(F.explode(_pairs()).alias("p"))
     return rows.groupBy("p.prev", "p.next").agg(F.count("*").alias("n"))
 
 
@@ -67,8 +68,8 @@ def guarded_exp(mean: Column) -> Column:
 
 def pair_losses(tokens: DataFrame, pairs: DataFrame) -> DataFrame:
     """(doc_id, times, loss): add-one smoothed loss of every pair of a document, with its count."""
-    size = tokens.select(F.explode("tokens").alias("t")).distinct().count()
-    rows = _pairs(tokens.select("doc_id", "tokens")).select("doc_id", F.explode("pairs").alias("p"))
+    size = tokens.select(T.each("tokens").alias("t")).distinct().count()
+    rows = tokens.select("doc_id", F.explode(_pairs()).alias("p"))
     rows = rows.groupBy("doc_id", "p.prev", "p.next").agg(F.count("*").alias("times"))
     found = lookup(rows, pairs.select("prev", "next", "n", F.col("n").alias("w"), "prev_n"), ["prev", "next"], weight="w", how="inner")
     loss = -F.log((F.col("n") + 1) / (F.col("prev_n") + F.lit(size)))
@@ -89,7 +90,7 @@ def corpus_perplexity(losses: DataFrame) -> DataFrame:
 def token_losses(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """(doc_id, token, loss, mask): unigram add-one loss; mask 0 for tokens outside the vocabulary."""
     t = vocab.agg(F.sum("n").alias("total"), F.count("*").alias("size")).first()
-    rows = tokens.select("doc_id", F.explode("tokens").alias("token"))
+    rows = tokens.select("doc_id", T.each("tokens").alias("token"))
     found = lookup(rows, vocab.select("token", "n", F.col("n").alias("w")), ["token"], weight="w")
     share = (F.coalesce("n", F.lit(0)) + 1) / F.lit(float(t["total"] + t["size"] + 1))
     return found.select("doc_id", "token", (-F.log(share)).alias("loss"), F.col("n").isNotNull().cast("int").alias("mask"))

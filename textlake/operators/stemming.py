@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlake.functions import stems
+from textlake.functions import text as T
 from textlake.plans.staging import stage
 
 ALGORITHMS = {"porter": stems.porter, "snowball": stems.snowball, "lancaster": stems.lancaster}
@@ -20,7 +21,7 @@ def stem_terms(terms: DataFrame) -> DataFrame:
 
 def stem_vocabulary(tokens: DataFrame) -> DataFrame:
     """Written (term, n, porter, snowball, lancaster): every distinct term is stemmed once."""
-    counts = tokens.select(F.explode("tokens").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    counts = tokens.select(T.each("tokens").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
     return stage(stem_terms(counts), "stems")
 
 

@@ -2,31 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 200_000  # most rows a broadcast side may have
-KEY_BYTES = 256  # longest key a broadcast side may have
+MAX_ROWS = 1_000_000  # most rows a broadcast side may have
+MAX_BYTES = 64_000_000  # most key bytes a broadcast side may have
 
 
-def _key_bytes(table: DataFrame, keys: list[str]):
+def _key_bytes(table: DataFrame, keys: list[str]) -> Column:
     return sum((F.octet_length(F.col(k).cast("string")) for k in keys), F.lit(0))
 
 
-def _hot_level(table: DataFrame, weight: str, hot_rows: int) -> int:
-    """Lowest power of two such that at most hot_rows keys are at least that frequent."""
+def _level(weight: str) -> Column:
+    """Size class of a weight: the power of two below it."""
+    return F.floor(F.log2(F.greatest(F.col(weight), F.lit(1))))
+
+
+def _hot_level(table: DataFrame, keys: list[str], weight: str, max_rows: int, max_bytes: int) -> int:
+    """Lowest size class such that all keys from there on up may be broadcast."""
     levels = (
-        table.groupBy(F.floor(F.log2(F.greatest(F.col(weight), F.lit(1)))).alias("lv"))
-        .agg(F.count("*").alias("n"))
+        table.groupBy(_level(weight).alias("lv"))
+        .agg(F.count("*").alias("n"), F.sum(_key_bytes(table, keys)).alias("b"))
         .orderBy(F.desc("lv"))
         .collect()  # at most 64 rows
     )
-    total, cut = 0, 64
-    for row in levels:
-        total += row["n"]
-        if total > hot_rows:
+    rows, size, cut = 0, 0, 64
+    for level in levels:
+        rows, size = rows + level["n"], size + level["b"]
+        if rows > max_rows or size > max_bytes:
             break
-        cut = row["lv"]
+        cut = level["lv"]
     return cut
 
 
@@ -36,27 +41,23 @@ def lookup(
     keys: list[str],
     weight: str | None = None,
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    max_rows: int = MAX_ROWS,
+    max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
-    """Join rows to a table that is unique on keys.
+    """Join rows to a lookup table.
 
     The whole table is broadcast when its size allows. Beyond that, the keys that the
     weight column says are most frequent are broadcast and never shuffled, and only the
     rows of the remaining keys are shuffled; together both parts cover every row.
-    `table` should be a written table, because it is counted first.
+    `table` should be a written table, because it is measured first.
     """
-    size = table.agg(
-        F.count("*").alias("n"), F.coalesce(F.max(_key_bytes(table, keys)), F.lit(0)).alias("b")
-    ).first()
+    size = table.agg(F.count("*").alias("n"), F.coalesce(F.sum(_key_bytes(table, keys)), F.lit(0)).alias("b")).first()
     values = table.drop(weight) if weight else table
-    if size["n"] <= hot_rows and size["b"] <= KEY_BYTES:
+    if size["n"] <= max_rows and size["b"] <= max_bytes:
         return rows.join(F.broadcast(values), keys, how)
     if weight is None:
         return rows.join(values, keys, how)
-    cut = _hot_level(table, weight, hot_rows)
-    is_hot = (F.floor(F.log2(F.greatest(F.col(weight), F.lit(1)))) >= cut) & (
-        _key_bytes(table, keys) <= KEY_BYTES
-    )
+    is_hot = _level(weight) >= _hot_level(table, keys, weight, max_rows, max_bytes)
     hot = table.where(is_hot).drop(weight)
     cold = table.where(~is_hot).drop(weight)
     near = rows.join(F.broadcast(hot), keys, "inner")

@@ -24,8 +24,8 @@ def read_labelled_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_text_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """(path, text): every *.txt file below a folder, one row per file."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt")
-    files = reader.option("recursiveFileLookup", True).text(folder)
+    reader = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True)
+    files = reader.text(folder, wholetext=True)
     if not files.inputFiles():
         raise FileNotFoundError(f"no .txt files below {folder}")
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
@@ -41,7 +41,7 @@ def write_digest_files(digests: DataFrame, folder: str, timestamp: str) -> DataF
     )
     named.write.mode("overwrite").partitionBy("name").option("lineSep", "\n").text(folder)
     spark = digests.sparkSession
-    back = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder)
+    back = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
     name = F.url_decode(F.regexp_extract("_metadata.file_path", r"name=([^/]*)/", 1))
     return back.select(name.alias("name"), F.col("value").alias("digest"))
 
