@@ -214,35 +214,21 @@ def _lancaster_rule(rule: str) -> tuple[str, bool, int, str, bool]:
 def lancaster(df: DataFrame, term: str, out: str) -> DataFrame:
     """Rules apply again and again, at most once per letter of the word."""
 
-    by_letter: dict[str, list] = {}
-    for rule in map(_lancaster_rule, LANCASTER):
-        by_letter.setdefault(rule[0][-1], []).append(rule)
-
-    def applied(state: Column, rule: tuple, otherwise: Column) -> Column:
-        ending, fresh_only, removed, added, again = rule
-        word = state.getField("word")
-        left = F.length(word) - removed
-        fits = word.endswith(ending) & (
-            (word.rlike("^[aeiouy]") & (left >= 2)) | (word.rlike("^[^aeiouy](.?)[aeiouy]") & (left >= 3))
+    by_letter: dict[str, list[str]] = {}
+    for ending, fresh_only, removed, added, again in map(_lancaster_rule, LANCASTER):
+        left = f"length(s.word) - {removed}"
+        fits = (
+            f"endswith(s.word, '{ending}') AND ((s.word RLIKE '^[aeiouy]' AND {left} >= 2)"
+            f" OR (s.word RLIKE '^[^aeiouy](.?)[aeiouy]' AND {left} >= 3))" + (" AND s.fresh" if fresh_only else "")
         )
-        if fresh_only:
-            fits = fits & state.getField("fresh")
-        changed = F.concat(F.substring(word, F.lit(1), left), F.lit(added))
-        new = F.struct(changed.alias("word"), F.lit(False).alias("fresh"), F.lit(again).alias("go"))
-        return F.when(fits, new).otherwise(otherwise)
-
-    def once(state: Column, _turn: Column) -> Column:
-        word = state.getField("word")
-        done = F.struct(word.alias("word"), F.lit(False).alias("fresh"), F.lit(False).alias("go"))
-        result = done
-        for letter, rules in by_letter.items():
-            chain = done
-            for rule in reversed(rules):
-                chain = applied(state, rule, chain)
-            result = F.when(word.endswith(letter), chain).otherwise(result)
-        return F.when(state.getField("go"), result).otherwise(state)
-
-    word = F.lower(term)
-    start = F.struct(word.alias("word"), F.lit(True).alias("fresh"), F.lit(True).alias("go"))
-    turns = F.sequence(F.lit(1), F.greatest(F.length(term), F.lit(1)))
-    return df.withColumn(out, F.aggregate(turns, start, once, lambda s: s.getField("word")))
+        changed = f"concat(substring(s.word, 1, {left}), '{added}')"
+        new = f"named_struct('word', {changed}, 'fresh', false, 'go', {str(again).lower()})"
+        by_letter.setdefault(ending[-1], []).append(f"WHEN {fits} THEN {new}")
+    done = "named_struct('word', s.word, 'fresh', false, 'go', false)"
+    letters = " ".join(
+        f"WHEN '{letter}' THEN CASE {' '.join(rules)} ELSE {done} END" for letter, rules in by_letter.items()
+    )
+    once = f"(s, i) -> CASE WHEN s.go THEN CASE right(s.word, 1) {letters} ELSE {done} END ELSE s END"
+    start = f"named_struct('word', lower({term}), 'fresh', true, 'go', true)"
+    turns = f"sequence(1, greatest(length({term}), 1))"
+    return df.withColumn(out, F.expr(f"aggregate({turns}, {start}, {once}, s -> s.word)"))

@@ -39,7 +39,8 @@ def to_symbols(text: Column) -> Column:
 
 
 def from_symbols(symbols: Column) -> Column:
-    as_latin = F.translate(symbols, _SHOWN, _PLAIN)
+    # translate would delete a character instead of turning it into the zero byte
+    as_latin = F.replace(F.translate(symbols, _SHOWN[1:], _PLAIN[1:]), F.lit(_SHOWN[0]), F.lit(_PLAIN[0]))
     return F.decode(F.encode(as_latin, "ISO-8859-1"), "UTF-8")
 
 

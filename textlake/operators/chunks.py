@@ -80,9 +80,13 @@ def chunk_recursive(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUN
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                chunks = list(split_text(text or "", size, overlap))
-                yield pd.DataFrame({"doc_id": doc_id, "chunk_no": range(len(chunks)), "text": chunks})
+            cut = [
+                (doc_id, number, chunk)
+                for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True)
+                for number, chunk in enumerate(split_text(text or "", size, overlap))
+            ]
+            if cut:
+                yield pd.DataFrame(cut, columns=["doc_id", "chunk_no", "text"])
 
     cut = docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, chunk_no bigint, text string")
     chunk_id = F.col("doc_id") * CHUNKS_PER_DOC + F.col("chunk_no")

@@ -67,24 +67,23 @@ def guarded_exp(mean: Column) -> Column:
 
 
 def pair_losses(tokens: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc_id, times, loss): add-one smoothed loss of every pair of a document, with its count."""
+    """(doc_id, loss): add-one smoothed loss of every pair of a document."""
     size = tokens.select(T.each("tokens").alias("t")).distinct().count()
     rows = tokens.select("doc_id", F.explode(_pairs()).alias("p"))
-    rows = rows.groupBy("doc_id", "p.prev", "p.next").agg(F.count("*").alias("times"))
-    found = lookup(rows, pairs.select("prev", "next", "n", F.col("n").alias("w"), "prev_n"), ["prev", "next"], weight="w", how="inner")
+    found = lookup(rows.select("doc_id", "p.prev", "p.next"), pairs.select("prev", "next", "n", F.col("n").alias("w"), "prev_n"), ["prev", "next"], weight="w", how="inner")
     loss = -F.log((F.col("n") + 1) / (F.col("prev_n") + F.lit(size)))
-    return found.select("doc_id", "times", loss.alias("loss"))
+    return found.select("doc_id", loss.alias("loss"))
 
 
 def perplexity(losses: DataFrame) -> DataFrame:
     """(doc_id, mean_loss, perplexity) per document."""
-    mean = F.sum(F.col("times") * F.col("loss")) / F.sum("times")
-    return losses.groupBy("doc_id").agg(mean.alias("mean_loss")).withColumn("perplexity", guarded_exp(F.col("mean_loss")))
+    means = losses.groupBy("doc_id").agg(F.avg("loss").alias("mean_loss"))
+    return means.withColumn("perplexity", guarded_exp(F.col("mean_loss")))
 
 
 def corpus_perplexity(losses: DataFrame) -> DataFrame:
-    mean = F.sum(F.col("times") * F.col("loss")) / F.sum("times")
-    return losses.agg(mean.alias("mean_loss")).withColumn("perplexity", guarded_exp(F.col("mean_loss")))
+    mean = losses.agg(F.avg("loss").alias("mean_loss"))
+    return mean.withColumn("perplexity", guarded_exp(F.col("mean_loss")))
 
 
 def token_losses(tokens: DataFrame, vocab: DataFrame) -> DataFrame:

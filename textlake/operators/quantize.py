@@ -25,7 +25,7 @@ def quantize_int8(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     scaled = vectors.withColumn("scale", F.nullif(_scale(vectors, column), F.lit(0.0)))
     step = lambda x: F.rint((x.cast("double") - ZERO_POINT) / F.col("scale"))
     clipped = F.transform(column, lambda x: F.greatest(F.least(step(x), F.lit(Q_MAX)), F.lit(Q_MIN)).cast("tinyint"))
-    return scaled.withColumn("q", clipped)
+    return scaled.withColumn("q", F.when(F.col("scale").isNotNull(), clipped))
 
 
 def dequantize_error(quantized: DataFrame, column: str = "embedding") -> DataFrame:

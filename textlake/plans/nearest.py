@@ -25,14 +25,28 @@ SPARSE_CELL_BLOCK = 40_000  # … and their terms, give or take one query
 Score = Callable[[pd.DataFrame], np.ndarray]
 
 
-def best_rows(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k highest scores, ties to the smaller id."""
-    if len(scores) > k:
-        floor = np.partition(scores, len(scores) - k)[len(scores) - k]
-        keep = np.flatnonzero(scores >= floor)
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]  # query number, row id, score
+
+
+def prune(found: Found, k: int) -> Found:
+    """The k highest scores per query, ties to the smaller id."""
+    query, ids, scores = found
+    order = np.lexsort((ids, -scores, query))
+    query = query[order]
+    first = np.searchsorted(query, query)  # where the query's rows begin
+    order = order[np.arange(len(query)) - first < k]
+    return tuple(part[order] for part in found)
+
+
+def candidates(ids: np.ndarray, values: np.ndarray, k: int) -> Found:
+    """Cells of a rows x queries array that reach the k-th best of their query; NaN never does."""
+    filled = np.where(np.isnan(values), -np.inf, values)
+    if len(ids) > k:
+        floor = np.partition(filled, len(ids) - k, axis=0)[len(ids) - k]
     else:
-        keep = np.arange(len(scores))
-    return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
+        floor = np.full(values.shape[1], -np.inf)
+    rows, query = np.nonzero((filled >= floor) & np.isfinite(filled))
+    return prune((query, ids[rows], filled[rows, query]), k)
 
 
 def scan_block(
@@ -44,24 +58,17 @@ def scan_block(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = [(np.empty(0, "int64"), np.empty(0)) for _ in names]
+        kept: Found = (np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0))
         for batch in batches:
             if batch.empty:
                 continue
             ids, values = batch[id_col].to_numpy("int64"), score(batch)
-            for q in range(len(names)):
-                column = values[:, q]
-                allowed = ~np.isnan(column)
-                if excluded is not None and len(excluded[q]):
-                    allowed &= ~np.isin(ids, excluded[q])
-                some, best = ids[allowed], column[allowed]
-                top = best_rows(some, best, k)
-                some, best = np.concatenate([kept[q][0], some[top]]), np.concatenate([kept[q][1], best[top]])
-                top = best_rows(some, best, k)
-                kept[q] = (some[top], best[top])
-        for name, (some, best) in zip(names, kept, strict=True):
-            if len(some):
-                yield pd.DataFrame({"query_id": name, id_col: some, "score": best})
+            for q, barred in enumerate(excluded or []):
+                values[np.isin(ids, barred), q] = np.nan
+            new = candidates(ids, values, k)
+            kept = prune(tuple(np.concatenate(p) for p in zip(kept, new, strict=True)), k)
+        if len(kept[0]):
+            yield pd.DataFrame({"query_id": np.asarray(names)[kept[0]], id_col: kept[1], "score": kept[2]})
 
     return rows.mapInPandas(run, f"query_id bigint, {id_col} bigint, score double")
 
