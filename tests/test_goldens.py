@@ -234,12 +234,12 @@ def test_entities_longest_leftmost(spark):
     phrases = [("new york", "GPE"), ("new york times", "ORG"), ("york", "PERSON"), ("times square", "GPE"), ("x", "DATE")]
     listed = stage(spark.createDataFrame(phrases, "entity string, type string"), "gaz")
     tokens = docs(spark, "the new york times square york x", "nothing").withColumn("tokens", T.ws_tokens(F.col("text")))
-    spans = entities.entity_spans(tokens, listed)
-    found = rows(entities.entity_mentions(spans).select("start", "len", "type", "entity"), "start")
+    mentions = entities.entity_mentions(tokens, listed)
+    found = rows(mentions.select("start", "len", "type", "entity"), "start")
     assert found == [(1, 3, "ORG", "new york times"), (5, 1, "PERSON", "york")]
-    tags = [r.tag for r in entities.iob_tags(tokens, spans).where("doc_id = 1").orderBy("pos").collect()]
+    tags = [r.tag for r in entities.iob_tags(tokens, mentions).where("doc_id = 1").orderBy("pos").collect()]
     assert tags == ["O", "B-ORG", "I-ORG", "I-ORG", "O", "B-PERSON", "O"]
-    top = entities.top_entities(entities.entity_mentions(spans), 5)
+    top = entities.top_entities(mentions, 5)
     assert {r.type for r in top.collect()} == {"ORG", "PERSON"}
 
 

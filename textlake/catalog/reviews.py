@@ -155,13 +155,13 @@ def _gazetteer(t):
     return stage(first.select("entity", kind.alias("type")), "gazetteer")
 
 
-def _spans(t):
-    return E.entity_spans(words_of(t), _gazetteer(t))
+def _mentions(t):
+    return E.entity_mentions(words_of(t), _gazetteer(t))
 
 
 @query("extract_entities", f"WITH {ENTITIES} SELECT * FROM mentions")
 def _(t):
-    return E.entity_mentions(_spans(t))
+    return _mentions(t)
 
 
 TOP = """topent AS (SELECT * FROM (SELECT type, row_number() OVER (PARTITION BY type ORDER BY n DESC, d, s) AS rank, entity, n FROM (
@@ -171,7 +171,7 @@ TOP = """topent AS (SELECT * FROM (SELECT type, row_number() OVER (PARTITION BY
 
 @query("top_entities", f"WITH {ENTITIES}, {TOP} SELECT * FROM topent")
 def _(t):
-    return E.top_entities(E.entity_mentions(_spans(t)))
+    return E.top_entities(_mentions(t))
 
 
 @query(
@@ -183,8 +183,7 @@ def _(t):
     """,
 )
 def _(t):
-    tokens = words_of(t)
-    return E.iob_tags(tokens, _spans(t))
+    return E.iob_tags(words_of(t), _mentions(t))
 
 
 @query("lda_topics")

@@ -201,9 +201,9 @@ def _(t):
     """,
 )
 def _(t):
-    known = t.documents.join(t.labels.select("doc_id"), "doc_id", "left_semi")
     tokens = t.documents.select("doc_id", T.raw_ws_tokens(F.col("text")).alias("tokens"))
-    losses = W.token_losses(tokens, V.word_vocab_first_seen(known))
+    known = tokens.join(t.labels.select("doc_id"), "doc_id", "left_semi")
+    losses = W.token_losses(tokens, W.token_counts(known))
     return W.masked_mean(losses, ["doc_id"]).withColumn("masked_mean", F.round("masked_mean", 6))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlake.functions import text as T
+from textlake.operators.features import term_counts
 from textlake.plans.lookup import lookup
 from textlake.plans.ranking import running_total
 from textlake.plans.staging import stage
@@ -86,11 +87,17 @@ def corpus_perplexity(losses: DataFrame) -> DataFrame:
     return mean.withColumn("perplexity", guarded_exp(F.col("mean_loss")))
 
 
-def token_losses(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(doc_id, token, loss, mask): unigram add-one loss; mask 0 for tokens outside the vocabulary."""
-    t = vocab.agg(F.sum("n").alias("total"), F.count("*").alias("size")).first()
+def token_counts(tokens: DataFrame) -> DataFrame:
+    """Written (token, n): occurrences of every token."""
+    counts = term_counts(tokens.select("tokens"))
+    return stage(counts.groupBy(F.col("term").alias("token")).agg(F.sum("tf").alias("n")), "token-counts")
+
+
+def token_losses(tokens: DataFrame, counts: DataFrame) -> DataFrame:
+    """(doc_id, token, loss, mask): unigram add-one loss; mask 0 for tokens that were not counted."""
+    t = counts.agg(F.sum("n").alias("total"), F.count("*").alias("size")).first()
     rows = tokens.select("doc_id", T.each("tokens").alias("token"))
-    found = lookup(rows, vocab.select("token", "n", F.col("n").alias("w")), ["token"], weight="w")
+    found = lookup(rows, counts.select("token", "n", F.col("n").alias("w")), ["token"], weight="w")
     share = (F.coalesce("n", F.lit(0)) + 1) / F.lit(float(t["total"] + t["size"] + 1))
     return found.select("doc_id", "token", (-F.log(share)).alias("loss"), F.col("n").isNotNull().cast("int").alias("mask"))
 

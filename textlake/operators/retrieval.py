@@ -75,9 +75,9 @@ def search_pages(records: DataFrame, queries: DataFrame, k: int = 5) -> DataFram
 
     records: (page_id, content); queries: (query_id, text).
     """
-    tokens = records.where(F.col("content").isNotNull()).select(
-        F.col("page_id").alias("doc_id"), T.word_tokens(F.col("content")).alias("tokens")
-    )
+    # written once: the words are read for the term weights, the page vectors and the page count
+    tokens = records.select(F.col("page_id").alias("doc_id"), T.word_tokens(F.col("content")).alias("tokens"))
+    tokens = stage(tokens, "page-words").where(F.col("tokens").isNotNull())
     idf = idf_table(tokens)
     asked = queries.select(F.col("query_id").alias("doc_id"), T.word_tokens(F.col("text")).alias("tokens"))
     asked = tfidf_transform(asked, idf).select(F.col("doc_id").alias("query_id"), "term", "weight")

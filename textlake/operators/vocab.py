@@ -54,13 +54,16 @@ def char_decode(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
 def word_vocab_first_seen(docs: DataFrame) -> DataFrame:
     """Written table (token, id, n): whitespace tokens numbered by first appearance.
 
-    Ids 0-2 are reserved for padding, start and end; words begin at 3.
+    Ids 0-2 are reserved for padding, start and end; words begin at 3. n is the number of
+    documents. The place among a document's distinct tokens orders them like their first
+    positions do, and leaves one row per token and document.
     """
-    tokens = docs.select("doc_id", F.posexplode(T.raw_ws_tokens(F.col("text"))).alias("pos", "token"))
+    distinct = F.array_distinct(T.raw_ws_tokens(F.col("text")))
+    tokens = docs.select("doc_id", F.posexplode(distinct).alias("pos", "token"))
     firsts = tokens.groupBy("token").agg(
-        F.min(F.struct("doc_id", "pos")).alias("at"), F.count("*").alias("n")
+        F.min("doc_id").alias("first_doc"), F.min_by("pos", "doc_id").alias("pos"), F.count("*").alias("n")
     )
-    firsts = stage(firsts.select("token", "n", "at.doc_id", "at.pos"), "firsts")
+    firsts = stage(firsts.withColumnRenamed("first_doc", "doc_id"), "firsts")
     ranked = running_total(firsts, ["doc_id", "pos"], out="rank")
     ids = (F.col("rank") + F.lit(FIRST_WORD_ID - 1)).cast("int")
     return stage(ranked.select("token", ids.alias("id"), "n"), "vocab")

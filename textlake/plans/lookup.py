@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_ROWS = 1_000_000  # most rows a broadcast side may have
+MAX_ROWS = 2_000_000  # most rows a broadcast side may have
 MAX_BYTES = 64_000_000  # most key bytes a broadcast side may have
 
 
