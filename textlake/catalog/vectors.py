@@ -170,7 +170,8 @@ found AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDE
 @query("search_pages", f"WITH {SEARCH} SELECT query_id, page_id, title, url, content, score, rank FROM found JOIN recs USING (page_id)")
 def _(t):
     records = R.page_records(t.pages)
-    return R.search_pages(records, _questions(t)).join(records, "page_id")
+    found = R.search_pages(records, _questions(t))
+    return R.with_records(found, records)
 
 
 @query(

@@ -41,9 +41,11 @@ def news_digest(topics: DataFrame, records: DataFrame, run_date: str, k: int = 5
     topics: (query_id, topic, search_query); the date is an argument, so a rerun gives the
     same text. Only pages that were found are summarized.
     """
+    # written once: title and text of a page are read by the search, the weights and the digest
+    records = stage(records, "records")
     found = stage(search_pages(records, search_queries(topics), k), "found")
     hits = found.select("page_id").distinct()
-    kept = lookup(records, stage(hits, "hits"), ["page_id"], how="inner")
+    kept = lookup(records, stage(hits, "hits"), ["page_id"], how="left_semi")
     idf = idf_table(tokenized(records.where(F.col("content").isNotNull()).select("content"), text="content"))
     summaries = page_summaries(kept, idf)
     articles = default_result_fields(

@@ -92,6 +92,13 @@ def search_pages(records: DataFrame, queries: DataFrame, k: int = 5) -> DataFram
     return nearest_sparse(stage(cells, "page-cells"), "page_id", asked, k)
 
 
+def with_records(found: DataFrame, records: DataFrame) -> DataFrame:
+    """Found pages with title, url and content; only found pages are taken apart."""
+    found = stage(found, "found")
+    kept = lookup(records, stage(found.select("page_id").distinct(), "hits"), ["page_id"], how="left_semi")
+    return lookup(kept, found, ["page_id"], how="inner")
+
+
 def article_block(number: Column) -> Column:
     return F.concat(
         F.lit("**Article "), number.cast("string"), F.lit(":** "), F.col("title"),
@@ -101,7 +108,7 @@ def article_block(number: Column) -> Column:
 
 def format_results(queries: DataFrame, found: DataFrame, records: DataFrame) -> DataFrame:
     """(query_id, n_articles, results): numbered articles, or a fixed sentence when none."""
-    hits = lookup(default_result_fields(records), stage(found, "found"), ["page_id"], how="inner")
+    hits = default_result_fields(with_records(found, records))
     ordered = F.sort_array(F.collect_list(F.struct("rank", article_block(F.col("rank")).alias("block"))))
     texts = hits.groupBy("query_id").agg(
         F.count("*").alias("n_articles"), F.array_join(ordered.getField("block"), "\n").alias("results")
