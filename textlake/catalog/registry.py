@@ -34,6 +34,7 @@ def query(name: str, sql: str | None = None):
     def add(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            spark.conf.set("spark.sql.unionOutputPartitioning", "false")  # see stacked()
             return build(Tables(spark, folder))
 
         QUERIES[name] = run

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textlake.plans.staging import stacked
+
 MAX_ROWS = 2_000_000  # most rows a broadcast side may have
 MAX_BYTES = 64_000_000  # most key bytes a broadcast side may have
 
@@ -62,4 +64,4 @@ def lookup(
     cold = table.where(~is_hot).drop(weight)
     near = rows.join(F.broadcast(hot), keys, "inner")
     far = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, how)
-    return near.unionByName(far)
+    return stacked([near, far])

@@ -8,7 +8,6 @@ bounded; more queries than one block take one more pass over the rows each.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlake.plans.ranking import running_total
-from textlake.plans.staging import stage
+from textlake.plans.staging import stage, stacked
 
 QUERY_BLOCK = 2048  # dense query vectors sent to the tasks at once
 SPARSE_QUERY_BLOCK = 256  # sparse queries sent at once …
@@ -76,7 +75,7 @@ def scan_block(
 def keep_best(parts: list[DataFrame], rows: DataFrame, id_col: str, k: int) -> DataFrame:
     if not parts:
         return rows.sparkSession.createDataFrame([], f"query_id bigint, {id_col} bigint, score double, rank int")
-    found = reduce(DataFrame.unionByName, parts)
+    found = stacked(parts)
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), id_col)
     return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 

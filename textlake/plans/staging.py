@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stacked(parts: list[DataFrame]) -> DataFrame:
+    """Rows of all parts.
+
+    Parts that share a partitioning would be zipped by partition, which fails when adaptive
+    execution reads one of them with another number of partitions; so that is turned off.
+    """
+    parts[0].sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread an input that has fewer splits than the cluster has cores.
 
