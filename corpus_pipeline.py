@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textlake.llm import bpe_stream, minhash, mixing, toxicity
+from textlake.llm import bpe_stream, minhash, mixing, suffix_dedup, toxicity
 from textlake.plans.staging import new_path
 
 
@@ -19,6 +19,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return minhash.drop_near_duplicates(docs)
 
 
+def drop_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that a smaller doc_id has too."""
+    return suffix_dedup.drop_repeated(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mix(docs)
@@ -32,6 +37,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", drop_repeated),
     ("mixing", mix_sources),
     ("tokens", tokenize),
 ]

@@ -5,13 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textlake.llm import bpe_stream, embedding_dedup, interpolation, minhash, mixing, token_files, toxicity, warc, weighted_sampling
+from textlake.llm import bpe_stream, embedding_dedup, interpolation, minhash, mixing, suffix_dedup, token_files, toxicity, warc, weighted_sampling
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeated strings of 50 bytes removed from all documents."""
+    return suffix_dedup.repeated_digests(_table(spark, folder, "documents"))
+
+
 def op2_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every text and of its edited text."""
     return weighted_sampling.edited_fingerprints(_table(spark, folder, "documents"))
@@ -58,6 +63,6 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_weighted_sampling, op3_minhash, op4_token_files, op5_interpolation, op6_mixing, op7_bpe_stream, op8_toxicity, op9_warc, op10_embedding_dedup,
+    op1_suffix_dedup, op2_weighted_sampling, op3_minhash, op4_token_files, op5_interpolation, op6_mixing, op7_bpe_stream, op8_toxicity, op9_warc, op10_embedding_dedup,
 )}
 ORACLES: dict[str, str] = {}
