@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 # Fixed value: how byte-level vocabularies split text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 STRETCH = 64  # characters of a stretch that is remembered
-REMEMBERED = 500_000  # stretches and pieces that a task remembers
+REMEMBERED = 300_000  # stretches and pieces that a task remembers
 AT_ONCE = 8192  # ids decoded at once
 NO_MERGE, _RESULT = 1 << 62, (1 << 32) - 1
 
