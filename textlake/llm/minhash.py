@@ -5,10 +5,11 @@ band of MinHash samples are candidates; an odd sketch, the parities of the hashe
 in a bitmap, estimates their similarity from the population count of an exclusive or and
 drops pairs that are far off. What is left is confirmed on the full sets.
 
-A bucket is settled in two passes, so that not all of its pairs are formed. First every
-class is compared with the bucket's first class, which joins the many copies of a text.
-Then only classes outside the first one's component are compared with the rest, in blocks.
-No pair that could join two components is left out.
+Candidates are settled in three rounds, so that not all pairs of a bucket are formed. First every
+class is compared with the likest of its buckets' first classes, which joins the many copies of
+a text; then with those of the other first classes that it isn't joined with yet. Last, in
+buckets that still hold several components, the classes outside the first one's component
+are compared with the rest, in blocks. No pair that could join two components is left out.
 
 Defined results: null, empty or blank texts have no shingles and are linked with nothing; a
 text with fewer words than a shingle is one shingle. Rows with equal sets, repeated rows
@@ -25,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlake.llm.arrays import mix, pieces, ranges, spreads, text_bytes, words
+from textlake.llm.arrays import ODD_A, mix, pieces, ranges, spreads, text_bytes, words
 from textlake.llm.graph import components
 from textlake.plans.staging import stage
 
 WORDS = 5  # words of a shingle
 SIMILARITY = 80  # percent of the union that two linked sets share
-BANDS, ROWS = 20, 4  # a pair at 0.8 is missed with probability 0.00003, at 0.85 with 0.0000004
-BITS = 512  # of an odd sketch
+BANDS, ROWS = 24, 5  # a pair at 0.8 is missed with probability 0.00007, at 0.85 with 0.0000008
+BINS, BITS = 256, 512  # samples that an odd sketch folds, and its bits
 BLOCK = 1024  # classes compared with all of their bucket at once
 
 _SAMPLES = BANDS * ROWS
@@ -71,37 +72,42 @@ def signatures(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     """(band values, odd sketches as 64-bit words) of non-empty sets."""
     texts = len(offsets) - 1
     bands = np.zeros((texts, BANDS), "uint64")
-    bits = np.zeros((texts, BITS), bool)
-    row = np.arange(texts)
     for k in range(_SAMPLES):
         least = np.minimum.reduceat(sets * _FACTORS[k] + _SHIFTS[k], offsets[:-1]) if texts else np.empty(0, "uint64")
-        sample = mix(least + _SHIFTS[k])
-        bands[:, k // ROWS] = mix(bands[:, k // ROWS] ^ sample)
-        bits[row, (sample >> np.uint64(20)) % np.uint64(BITS)] ^= True
-    return bands, np.packbits(bits, axis=1, bitorder="little").view("<u8").reshape(texts, BITS // 64)
+        bands[:, k // ROWS] = mix(bands[:, k // ROWS] ^ mix(least + _SHIFTS[k]))
+    # for the sketch, one MinHash sample from each of many ranges of hashes: sets are sorted, so
+    # a range's least hash is its first
+    owner = np.repeat(np.arange(texts), np.diff(offsets))
+    which = sets >> np.uint64(64 - BINS.bit_length() + 1)
+    new = np.ones(len(sets), bool)
+    new[1:] = (which[1:] != which[:-1]) | (owner[1:] != owner[:-1])
+    bit = (mix(sets[new] ^ ODD_A) % np.uint64(BITS)).astype("int64")
+    odd = np.bincount(owner[new] * BITS + bit, minlength=texts * BITS) & 1
+    return bands, np.packbits(odd.astype("uint8").reshape(texts, BITS), axis=1, bitorder="little").view("<u8").reshape(texts, BITS // 64)
 
 
-def most_different(similarity: int) -> int:
-    """Bits in which the sketches of a linked pair differ at most, but for a chance below 1e-9.
+def most_different(samples, similarity: int, root):
+    """Bits in which the sketches of a linked pair differ at most, but for a chance below 1e-6.
 
     Each of the samples differs with probability 1 - J and then changes at most two bits.
     """
     p = 1 - similarity / 100
-    return int(min(BITS, 2 * (_SAMPLES * p + 6.5 * np.sqrt(_SAMPLES * p * (1 - p)) + 1)))
+    return 2 * (samples * p + 5 * root(samples * p * (1 - p)) + 1)
 
 
-_SETS = "doc_id bigint, n_shingles bigint, node string, bands array<bigint>, sketch array<bigint>"
+_SETS = "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, sketch array<bigint>"
 
 
-def _node(sets: np.ndarray, offsets: np.ndarray) -> list[str | None]:
+def _node(sets: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
     """A 128-bit name of each set."""
     filled = np.flatnonzero(np.diff(offsets))
-    names: list[str | None] = [None] * (len(offsets) - 1)
+    names: list[bytes | None] = [None] * (len(offsets) - 1)
     if len(filled):
         one = np.add.reduceat(mix(sets), offsets[filled])
         two = np.add.reduceat(mix(sets ^ np.uint64(0x5851F42D4C957F2D)), offsets[filled])
-        for i, a, b in zip(filled, one.tolist(), two.tolist(), strict=True):
-            names[i] = f"{a:016x}{b:016x}"
+        both = np.stack([one, two], axis=1).astype(">u8")
+        for i, name in zip(filled, both, strict=True):
+            names[i] = name.tobytes()
     return names
 
 
@@ -123,15 +129,20 @@ def described(docs: DataFrame) -> DataFrame:
                     np.append(0, np.cumsum(n * x.shape[1])).astype("int32"), x.astype("int64", copy=False).view("int64").reshape(-1)
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, last - first), pa.array(sizes), pa.array(_node(sets, at), pa.string()), lists(bands.view("int64")), lists(sketch.view("int64"))],
+                    [batch.column("doc_id").slice(first, last - first), pa.array(sizes), pa.array(_node(sets, at), pa.binary()), lists(bands.view("int64")), lists(sketch.view("int64"))],
                     names=["doc_id", "n_shingles", "node", "bands", "sketch"],
                 )
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _SETS)
 
 
-def _differing(a: str, b: str):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+def _alike(one: str, two: str, similarity: int):
+    """Whether two classes (n, sketch) may be as similar, by their sizes and sketches."""
+    n, m = F.col(f"{one}.n"), F.col(f"{two}.n")
+    bits = F.zip_with(f"{one}.sketch", f"{two}.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    far = F.aggregate(bits, F.lit(0), lambda s, x: s + x)
+    near = far <= most_different(F.least(n + m, F.lit(BINS)), similarity, F.sqrt)
+    return (100 * F.least(n, m) >= similarity * F.greatest(n, m)) & near, far
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -144,12 +155,12 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 begin = offsets[first]
                 sets, at = shingle_sets(data[begin : offsets[last]], offsets[first : last + 1] - begin)
                 blobs = [sets[at[i] : at[i + 1]].tobytes() for i in range(last - first)]
-                yield pa.RecordBatch.from_pydict({"node": pa.array(_node(sets, at), pa.string()), "shingles": pa.array(blobs, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"node": pa.array(_node(sets, at), pa.binary()), "shingles": pa.array(blobs, pa.binary())})
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     asked = wanted.select(F.col("doc_id").alias("_asked"))
     texts = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("_asked")), "left_semi")
-    found = texts.select("text").mapInArrow(run, "node string, shingles binary")
+    found = texts.select("text").mapInArrow(run, "node binary, shingles binary")
     # an id may repeat with other texts: keep the sets asked for, each once
     found = found.join(wanted.select("node"), "node", "left_semi")
     return stage(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingle-sets")
@@ -169,41 +180,45 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
                 keep.append(100 * both >= similarity * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a string, b string")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-def _across(members: DataFrame, most: int) -> DataFrame:
-    """Pairs of a bucket that lie in different components, at least one outside the first's.
+def _across(members: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of a bucket that lie in different components, neither of them the first class.
 
-    Those outside are dealt out in blocks, and each block meets all of its bucket.
+    members: (band, value, node, n, sketch, root, outside, first). Classes outside the first one's
+    component are dealt out in blocks, and each block meets all of its bucket.
     """
     outside = members.where("outside")
-    sizes = outside.groupBy("band", "value").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK)
-    left = outside.join(sizes, ["band", "value"]).withColumn("block", F.pmod(F.xxhash64("node"), blocks)).drop("n")
-    right = members.join(sizes, ["band", "value"]).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("n")
+    sizes = stage(outside.groupBy("band", "value").agg(F.count("*").alias("size")), "bucket-sizes")
+    blocks = F.ceil(F.col("size") / BLOCK)
+    left = outside.join(sizes, ["band", "value"]).withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+    right = members.join(sizes, ["band", "value"]).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
 
     def run(one: pa.Table, two: pa.Table) -> pa.Table:
         def plain(t: pa.Table):
+            column = lambda c, kind: np.array(t.column(c).to_pylist(), kind)
             sketch = np.asarray(t.column("sketch").combine_chunks().flatten()).view("uint64").reshape(t.num_rows, -1)
-            return np.array(t.column("node").to_pylist(), object), np.array(t.column("root").to_pylist(), object), sketch
+            return column("node", object), column("root", object), column("n", "int64"), sketch
 
         found_a, found_b = [], []
         if one.num_rows and two.num_rows:
-            node_a, root_a, sketch_a = plain(one)
-            node_b, root_b, sketch_b = plain(two)
+            node_a, root_a, n_a, sketch_a = plain(one)
+            node_b, root_b, n_b, sketch_b = plain(two)
             for i in range(len(node_a)):
                 far = np.bitwise_count(sketch_b ^ sketch_a[i]).sum(axis=1)
-                hit = np.flatnonzero((far <= most) & (root_b != root_a[i]))
+                most = most_different(np.minimum(n_b + n_a[i], BINS), similarity, np.sqrt)
+                size = 100 * np.minimum(n_a[i], n_b) >= similarity * np.maximum(n_a[i], n_b)
+                hit = np.flatnonzero((far <= most) & size & (root_b != root_a[i]))
                 found_a += [min(node_a[i], node_b[j]) for j in hit]
                 found_b += [max(node_a[i], node_b[j]) for j in hit]
-        return pa.table({"a": pa.array(found_a, pa.string()), "b": pa.array(found_b, pa.string())})
+        return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
 
     keys = ["band", "value", "block"]
-    columns = [*keys, "node", "root", "sketch"]
-    # renamed, because both sides come from one table
-    pairs = left.select(columns).groupBy(*keys).cogroup(right.select(columns).toDF(*columns).groupBy(*keys))
-    return pairs.applyInArrow(run, "a string, b string").distinct()
+    columns = [*keys, "node", "root", "n", "sketch"]
+    # renamed, because both sides come from one table; the first class has met all others
+    left, right = left.where("not first").select(columns), right.where("not first").select(columns).toDF(*columns)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -212,52 +227,64 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     component_id is the smallest doc_id reachable over links, kept marks that document.
     """
     rows = stage(described(docs), "shingled")
-    most = most_different(similarity)
-    classes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    heads = (
-        rows.where("node is not null")
-        .join(classes.withColumnRenamed("doc_id", "_first"), "node")
-        .where(F.col("doc_id").eqNullSafe(F.col("_first")))
-        .dropDuplicates(["node"])
-    )
-    entries = stage(
-        heads.select("node", "doc_id", "sketch", F.posexplode("bands").alias("band", "value")), "bands"
-    )
-    first = entries.groupBy("band", "value").agg(
-        F.count("*").alias("n"), F.min(F.struct("node", "sketch")).alias("head")
-    ).where("n > 1")
-    members = stage(entries.join(first.drop("n"), ["band", "value"]), "buckets")
-    sets = full_sets(docs, members.select("doc_id", "node").distinct())
-    stars = (
-        members.where(F.col("node") != F.col("head.node"))
-        .where(_differing("sketch", "head.sketch") <= most)
-        .select(F.col("head.node").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
-    links = stage(confirmed(stars, sets, similarity), "links")
+    filled = rows.where("node is not null")
+    classes = stage(filled.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "classes")
+    heads = filled.join(classes.withColumnRenamed("doc_id", "_first"), "node")
+    heads = heads.where(F.col("doc_id").eqNullSafe(F.col("_first"))).dropDuplicates(["node"])
+    entries = heads.select("node", F.posexplode("bands").alias("band", "value"))
+    entries = stage(entries.select("node", F.col("band").cast("tinyint").alias("band"), "value"), "bands")
+    buckets = entries.groupBy("band", "value").agg(F.count("*").alias("size"), F.min("node").alias("head"))
+    members = stage(entries.join(buckets.where("size > 1").drop("size"), ["band", "value"]), "buckets")
+    # sketches of those that share a bucket; pairs of a class and a first class
+    shared = members.select("node").distinct()
+    looks = stage(filled.select("node", F.col("n_shingles").alias("n"), "sketch").join(shared, "node").dropDuplicates(["node"]), "sketches")
+    side = lambda name: looks.select(F.col("node").alias(name), F.struct("n", "sketch").alias(f"_{name}"))
+    alike, far = _alike("_head", "_node", similarity)
+    tried = members.where("node <> head").select("node", "head").distinct()
+    tried = tried.join(side("node"), "node").join(side("head"), "head").where(alike)
+    tried = stage(tried.select(F.col("head").alias("a"), F.col("node").alias("b"), far.alias("far")), "candidates")
+    named = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
+    sets = full_sets(docs, classes.join(named, "node"))
+    # first the likest of the first classes, then the others that would join two components
+    best = tried.groupBy("b").agg(F.min(F.struct("far", "a")).alias("m")).select("m.a", "b")
+    links = stage(confirmed(best, sets, similarity), "links")
     roots = components(links)
-    named = (
-        members.join(roots, "node", "left")
-        .join(roots.select(F.col("node").alias("_h"), F.col("root").alias("_hr")), F.col("head.node") == F.col("_h"), "left")
-        .select(
-            "band", "value", "node", "sketch",
-            F.coalesce("root", "node").alias("root"),
-            F.coalesce("_hr", "head.node").alias("_head"),
-        )
-        .withColumn("outside", F.col("root") != F.col("_head"))
-    )
-    more = stage(confirmed(_across(stage(named, "buckets"), most), sets, similarity), "links")
-    roots = components(links.union(more))
+    rest = apart(tried.select("a", "b").exceptAll(best), roots)
+    links = stage(links.union(confirmed(rest, sets, similarity)), "links")
+    roots = components(links)
+    # last the pairs without a first class, in buckets that still hold several components
+    own = roots.select("node", F.col("root").alias("_own"))
+    top = roots.select(F.col("node").alias("head"), F.col("root").alias("_top"))
+    now = members.join(own, "node", "left").join(top, "head", "left").select(
+        "band", "value", "node", F.coalesce("_own", "node").alias("root"),
+        (F.coalesce("_own", "node") != F.coalesce("_top", "head")).alias("outside"), (F.col("node") == F.col("head")).alias("first"),
+    )
+    now = stage(now, "buckets")
+    open_ = now.groupBy("band", "value").agg(F.max("outside").alias("open")).where("open").drop("open")
+    now = stage(now.join(open_, ["band", "value"]).join(looks, "node"), "buckets")
+    pairs = stage(_across(now, similarity), "candidates")
+    more = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    new = classes.join(more.join(sets.select("node"), "node", "left_anti"), "node")
+    sets = sets.union(full_sets(docs, new))
+    roots = components(links.union(confirmed(pairs, sets, similarity)))
     # smallest document of each component, by class
     owned = classes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = owned.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = owned.select("node", "root").join(least, "root").select("node", "component_id")
     empty = rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    filled = rows.where("node is not null").join(named, "node").select("doc_id", "n_shingles", "component_id")
-    result = filled.unionByName(empty)
+    found = filled.join(named, "node").select("doc_id", "n_shingles", "component_id")
+    result = found.unionByName(empty)
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not in one component yet."""
+    one = roots.select(F.col("node").alias("a"), F.col("root").alias("_one"))
+    two = roots.select(F.col("node").alias("b"), F.col("root").alias("_two"))
+    both = pairs.join(one, "a", "left").join(two, "b", "left")
+    return both.where(F.coalesce("_one", "a") != F.coalesce("_two", "b")).select("a", "b")
+
+
 def drop_near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """One document of each group stays, that with the smallest doc_id; its columns are kept.
 
