@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from textlake.llm.arrays import packed, packed_sorted, pieces, text_bytes, unpacked, unpacked_sorted
 from textlake.plans.staging import new_path, stage
 
-SHARD = 4_000_000  # bytes of text in a shard, or one document
+SHARD = 2_000_000  # bytes of text in a shard, or one document
 
 
 def block(table: pa.Table) -> bytes:

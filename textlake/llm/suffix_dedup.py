@@ -38,7 +38,7 @@ from textlake.plans.staging import stage
 WINDOW = 50  # bytes of a repeated string
 GRAM = 16  # bytes that name a window
 CROWDED = 2000  # a name with more runs of windows is split by window
-BLOCK = 2_000_000  # bytes sorted at once
+BLOCK = 1_000_000  # bytes sorted at once
 NEVER = np.iinfo("int64").max
 
 
@@ -116,8 +116,10 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int = WINDOW, lan
     is gone through in lanes side by side, each of `lanes` bytes, carrying what is known.
     """
     n = len(data)
+    eight = words_at(np.append(data, np.zeros(most + 16, "uint8")), n + most + 8)
     before = np.full(n, -1)
     before[order[1:]] = order[:-1]
+    room = n - np.maximum(np.arange(n), before)  # bytes up to the end
     shared = np.zeros(n, "int64")
     known = np.zeros(-(-n // lanes), "int64")
     for step in range(lanes):
@@ -127,12 +129,12 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int = WINDOW, lan
         known[other < 0] = 0
         going = np.flatnonzero((other >= 0) & (known < most))
         while len(going):
-            i, j = at[going] + known[going], other[going] + known[going]
-            ok = (i < n) & (j < n)
-            ok[ok] = data[i[ok]] == data[j[ok]]
-            going = going[ok]
-            known[going] += 1
-            going = going[known[going] < most]
+            differ = eight[at[going] + known[going]] ^ eight[other[going] + known[going]]
+            # equal bytes from the lowest on: eight if nothing differs
+            equal = (np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3).astype("int64")
+            known[going] += equal
+            going = going[(equal == 8) & (known[going] < most)]
+        np.minimum(known, np.minimum(room[at], most), out=known)
         shared[at] = known
     return shared[order]
 
@@ -296,35 +298,51 @@ def _send(shard: Shard, strings: Strings, name: int) -> Iterator[dict]:
 
 def _sorted(rows: pa.Table) -> pa.Table:
     """For each shard of a sorter: (string, first window, windows, smallest document) where it is not the shard's own."""
-    blobs = [(r["shard"], unpacked(r["data"], "uint8"), unpacked(r["sizes"], "int64"), unpacked(r["docs"], "int64")) for r in rows.to_pylist()]
-    blocks, held, size = [], [], 0
-    for number, blob in enumerate(blobs):
-        held.append(number)
-        size += len(blob[1])
-        if size >= BLOCK or number == len(blobs) - 1:
-            data, sizes, docs = (np.concatenate([blobs[i][k] for i in held]) for k in (1, 2, 3))
-            blocks.append((held, Block(data, sizes, docs), sizes, docs))
-            held, size = [], 0
-    merge([b for _, b, _, _ in blocks])
-    found = []
-    for held, b, sizes, docs in blocks:
-        string = np.repeat(np.arange(len(sizes)), b.windows)
+    shards = rows.column("shard").to_pylist()
+    parts = lambda c, kind: [unpacked(x.as_buffer(), kind) for x in rows.column(c)]
+    sizes, docs = parts("sizes", "int64"), parts("docs", "int64")
+    upto = np.cumsum([0, *map(len, sizes)])
+    data, sizes, docs = np.concatenate(parts("data", "uint8")), np.concatenate(sizes), np.concatenate(docs)
+    begins = np.cumsum(sizes) - sizes
+    # equal strings of several shards are sorted once, with their smallest document
+    one, two = Strings.hashes(data, begins, begins + sizes)
+    order = np.lexsort((docs, two, one))
+    new = np.append(True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))
+    number = np.empty(len(order), "int64")
+    number[order] = np.cumsum(new) - 1
+    head = order[new]
+    blocks, at = [], 0
+    total = np.cumsum(sizes[head])
+    while at < len(head):
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + BLOCK, "right")))
+        some = head[at:stop]
+        blocks.append(Block(data[ranges(begins[some], sizes[some])], sizes[some], docs[some]))
+        at = stop
+    merge(blocks)
+    # runs of windows of one string with the same smallest document
+    runs, base = [], 0
+    for b in blocks:
+        string = np.repeat(np.arange(len(b.begins)), b.windows)
         place = ranges(b.begins, b.windows)
         least = b.least[b.place[place]]
-        offset = place - b.begins[string]
-        # runs of windows of one string with the same, smaller document
-        smaller = least < docs[string]
-        new = np.append(True, (string[1:] != string[:-1]) | (least[1:] != least[:-1]) | (smaller[1:] != smaller[:-1]))[: len(string)]
-        first = np.flatnonzero(new)
-        length = np.diff(np.append(first, len(string)))
-        first, length = first[smaller[first]], length[smaller[first]]
-        upto = np.cumsum([0, *(len(blobs[i][2]) for i in held)])
-        for k, i in enumerate(held):
-            some = slice(*np.searchsorted(string[first], [upto[k], upto[k + 1]]))
-            if some.stop > some.start:
-                at = first[some]
-                numbers = (string[at] - upto[k], offset[at], length[some], least[at])
-                found.append((blobs[i][0], rows.column("sorter")[0].as_py(), *(packed(x.astype("int64")) for x in numbers)))
+        first = np.flatnonzero(np.append(True, (string[1:] != string[:-1]) | (least[1:] != least[:-1])))
+        runs.append((string[first] + base, (place - b.begins[string])[first], np.diff(np.append(first, len(string))), least[first]))
+        base += len(b.begins)
+    string, offset, length, least = (np.concatenate(x) for x in zip(*runs, strict=True))
+    times = np.bincount(string, minlength=len(head))
+    starts = np.cumsum(times) - times
+    which = ranges(starts[number], times[number])
+    owner = np.repeat(np.arange(len(number)), times[number])
+    smaller = least[which] < docs[owner]
+    which, owner = which[smaller], owner[smaller]
+    edges = np.searchsorted(owner, upto)
+    found = []
+    for k, shard in enumerate(shards):
+        some = slice(edges[k], edges[k + 1])
+        if some.stop > some.start:
+            w = which[some]
+            numbers = (owner[some] - upto[k], offset[w], length[w], least[w])
+            found.append((shard, rows.column("sorter")[0].as_py(), *(packed(x.astype("int64")) for x in numbers)))
     names = ["shard", "part", "string", "offset", "length", "least"]
     kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
     columns = list(zip(*found, strict=True)) if found else [[]] * 6
@@ -364,7 +382,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     """docs with spans (begin, end of removed bytes), kept (what remains) as bytes."""
     docs = docs.drop("spans", "kept")
     shards = packed_shards(docs)
-    sorters = 4 * ranges_of(docs)
+    sorters = 2 * ranges_of(docs)
     replies = ask(shards, lambda d: Shard(d).questions(), _answer, KINDS)
 
     def send(table: pa.Table, answers: pa.Table) -> pa.Table:
