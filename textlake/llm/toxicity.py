@@ -25,9 +25,9 @@ from textlake.llm.arrays import BYTES, LOWER, cut, pieces, range_hashes, text_by
 
 SAMPLE_ROWS = 12_000  # most labelled texts that the model is fitted on
 SAMPLE_BYTES = 96_000_000  # most bytes of text among them
-SLOTS = 1 << 18  # words are hashed to so many weights
-MIN_TEXTS = 5  # a word in fewer sample texts gets no weight
-STEPS, RATE, PENALTY = 250, 0.15, 2e-5
+SLOTS = 1 << 20  # words are hashed to so many weights
+TELLING = 12.0  # likelihood ratio (G) with the labels from which a word gets a weight
+STEPS, RATE, PENALTY = 300, 0.1, 1e-6
 REJECT = 0.7  # a text that scores as much is toxic
 OFFENDING = 0.5  # a sentence that scores as much is reported
 
@@ -58,6 +58,10 @@ def softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -67,28 +71,41 @@ class Model:
         return self.bias + np.bincount(b.sentence, self.weights[b.slot], len(b.starts))
 
 
+def telling(b: Bag, toxic: np.ndarray) -> np.ndarray:
+    """How much more a slot's texts are toxic, or clean, than texts at large (G of a 2 by 2 table)."""
+    pair = np.unique(b.text[b.sentence].astype("int64") * SLOTS + b.slot)
+    text, slot = pair // SLOTS, pair % SLOTS
+    has = np.bincount(slot, minlength=SLOTS).astype("float64")
+    bad = np.bincount(slot, toxic[text], SLOTS)
+    n, t = len(toxic), float(toxic.sum())
+    total = np.zeros(SLOTS)
+    cells = ((bad, has * t / n), (has - bad, has * (n - t) / n), (t - bad, (n - has) * t / n), (n - t - has + bad, (n - has) * (n - t) / n))
+    for seen, expected in cells:
+        some = (seen > 0) & (expected > 0)
+        total[some] += 2 * seen[some] * np.log(seen[some] / expected[some])
+    return total
+
+
 def fit(b: Bag, labels: np.ndarray, steps: int = STEPS) -> Model:
     """Weights that make the noisy-or of the sentences agree with the texts' labels."""
     texts = len(labels)
     if texts == 0 or not len(b.slot) or not labels.any():
         return Model(np.zeros(SLOTS, "float64"), -50.0)
-    pair = np.unique(b.text[b.sentence].astype("int64") * SLOTS + b.slot) % SLOTS
-    known = np.bincount(pair, minlength=SLOTS) >= MIN_TEXTS
+    known = telling(b, labels == 1) >= TELLING
     number = np.cumsum(known) - 1
     used = known[b.slot]
     sentence, feature = b.sentence[used], number[b.slot[used]]
     size, count = int(known.sum()), len(b.starts)
-    prior = np.clip(labels.mean(), 1e-3, 0.5)
     w = np.zeros(size + 1)  # the last one is the bias
-    w[-1] = np.log(prior * texts / max(count, 1))
+    w[-1] = np.log(np.clip(labels.mean(), 1e-3, 0.5) * texts / max(count, 1))
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     toxic = labels == 1
     weight = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1))
     for step in range(1, steps + 1):
         z = w[-1] + np.bincount(sentence, w[feature], count)
         total = np.bincount(b.text, softplus(z), texts)  # -log of "no sentence is toxic"
-        slope = np.where(toxic, -1.0 / np.expm1(np.maximum(total, 1e-9)), 1.0) * weight
-        by_sentence = slope[b.text] * (1.0 / (1.0 + np.exp(-z)))
+        slope = np.where(toxic, -1.0 / np.expm1(np.clip(total, 1e-9, 500)), 1.0) * weight
+        by_sentence = slope[b.text] * sigmoid(z)
         g = np.append(np.bincount(feature, by_sentence[sentence], size), by_sentence.sum()) + PENALTY * np.append(w[:-1], 0)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
@@ -163,7 +180,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 b = bag(data[begin : offsets[last]], offsets[first : last + 1] - begin)
                 z = own.sentence_logits(b)
                 total = np.bincount(b.text, softplus(z), last - first)
-                p = 1.0 / (1.0 + np.exp(-z))
+                p = sigmoid(z)
                 spans: list[list[dict]] = [[] for _ in range(last - first)]
                 for i in np.flatnonzero(p >= OFFENDING):
                     t = b.text[i]
