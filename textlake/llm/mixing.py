@@ -58,7 +58,7 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
         ).first()
         if seen[0] == full or not seen[2]:
             break
-        full, level = (seen[0] if level else -1), (total - seen[1]) / seen[2]
+        full, level = seen[0], (total - seen[1]) / seen[2]
     return ranked.select("source", "source_size", F.least(F.col("_weight") * level, cap).alias("target"))
 
 
@@ -80,7 +80,7 @@ def tilts(sizes: DataFrame, wanted: DataFrame, most: float = MOST) -> DataFrame:
         wanted.withColumnRenamed("source", "_s").join(scale, F.col("_s").eqNullSafe(F.col("source")))
         .select(
             "source", "target", F.greatest("scale", F.lit(1.0)).alias("scale"),
-            F.when(open_, 0.0).when(F.col("target") > 0, 700.0).otherwise(-700.0).alias("tilt"),
+            F.when(open_, 0.0).when(F.col("target") > 0, 1e300).otherwise(-1e300).alias("tilt"),
             F.lit(-700.0).alias("low"), F.lit(700.0).alias("high"), (~open_).alias("done"),
         ),
         "tilts",
