@@ -115,8 +115,7 @@ def _(t):
     "zero_shot_scores",
     f"""
     WITH {TFIDF}, pc AS (SELECT lang AS label, term, count(DISTINCT doc_id) AS n FROM words JOIN documents USING (doc_id) GROUP BY 1, 2),
-    pr AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, term) AS r FROM pc),
-    prof AS (SELECT label, term, n / sqrt(sum(n * n) OVER (PARTITION BY label)) AS lw FROM pr WHERE r <= 20),
+    prof AS (SELECT label, term, n / sqrt(sum(n * n) OVER (PARTITION BY label)) AS lw FROM pc),
     cells AS (SELECT doc_id, label, coalesce(s, 0) AS c FROM documents CROSS JOIN (SELECT DISTINCT lang AS label FROM documents)
       LEFT JOIN (SELECT doc_id, label, sum(weight * lw) AS s FROM tfidf JOIN prof USING (term) GROUP BY ALL) USING (doc_id, label)),
     sm AS (SELECT doc_id, label, round(exp(c) / sum(exp(c)) OVER (PARTITION BY doc_id), 6) AS score FROM cells)

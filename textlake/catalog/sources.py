@@ -58,8 +58,11 @@ def _(t):
 @query(
     "write_digest_files",
     r"""
-    SELECT '20260701_120000_' || substring(replace(regexp_replace(text, '[^\p{L}\p{N} _-]', '', 'g'), ' ', '_'), 1, 50) AS name,
-           'Topic: ' || text || chr(10) AS digest FROM benchmark
+    WITH named AS (
+      SELECT '20260701_120000_' || substring(replace(regexp_replace(text, '[^\p{L}\p{N} _-]', '', 'g'), ' ', '_'), 1, 50) AS name, text,
+             'Topic: ' || text || chr(10) AS digest FROM benchmark),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY text, digest) AS n FROM named)
+    SELECT CASE WHEN n > 1 THEN name || '_' || n ELSE name END AS name, digest FROM numbered
     """,
 )
 def _(t):

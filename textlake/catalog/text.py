@@ -108,7 +108,7 @@ def _(t):
     "default_result_fields",
     r"""
     SELECT d.doc_id, coalesce(nullif(regexp_extract(p.html, '(?is)<title>(.*?)</title>', 1), ''), 'No Title') AS title,
-           coalesce(p.url, '') AS url, coalesce(CASE WHEN d.lang = 'en' THEN d.text END, 'No content available.') AS content
+           coalesce(p.url, '') AS url, coalesce(d.text, 'No content available.') AS content
     FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id
     """,
 )
@@ -116,7 +116,7 @@ def _(t):
     pages = t.pages.select(
         F.col("page_id").alias("doc_id"), "url", F.nullif(T.page_title(F.col("html")), F.lit("")).alias("title")
     )
-    docs = t.documents.select("doc_id", F.when(F.col("lang") == "en", F.col("text")).alias("content"))
+    docs = t.documents.select("doc_id", F.col("text").alias("content"))
     return C.default_result_fields(docs.join(pages, "doc_id", "left"))
 
 

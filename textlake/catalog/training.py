@@ -194,7 +194,7 @@ def _(t):
 @query(
     "masked_mean",
     f"""
-    WITH {RAW}, vocab AS (SELECT token, count(*) AS n FROM raw_words SEMI JOIN labels USING (doc_id) GROUP BY token),
+    WITH {RAW}, vocab AS (SELECT token, count(*) AS n FROM raw_words GROUP BY token),
     tot AS (SELECT sum(n) + count(*) + 1 AS t FROM vocab),
     loss AS (SELECT doc_id, -ln((coalesce(n, 0) + 1) / t::DOUBLE) AS loss, (n IS NOT NULL)::INT AS mask FROM raw_words LEFT JOIN vocab USING (token), tot)
     SELECT doc_id, round(sum(loss * mask) / nullif(sum(mask), 0), 6) AS masked_mean, sum(mask)::BIGINT AS n_real FROM loss GROUP BY doc_id
@@ -202,8 +202,7 @@ def _(t):
 )
 def _(t):
     tokens = t.documents.select("doc_id", T.raw_ws_tokens(F.col("text")).alias("tokens"))
-    known = tokens.join(t.labels.select("doc_id"), "doc_id", "left_semi")
-    losses = W.token_losses(tokens, W.token_counts(known))
+    losses = W.token_losses(tokens, W.token_counts(tokens))
     return W.masked_mean(losses, ["doc_id"]).withColumn("masked_mean", F.round("masked_mean", 6))
 
 

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 from textlake.catalog.registry import RAW, query
 from textlake.operators import vocab as V
 
-# The word vocabulary is learned from labelled documents, so the other documents have
-# unknown words.
 WORD_VOCAB = f"""{RAW},
 vocab AS (SELECT token, row_number() OVER (ORDER BY seen) + 2 AS id FROM (
-  SELECT token, min({{'d': doc_id, 'p': pos}}) AS seen FROM raw_words SEMI JOIN labels USING (doc_id) GROUP BY token)),
+  SELECT token, min({{'d': doc_id, 'p': pos}}) AS seen FROM raw_words GROUP BY token)),
 coded AS (SELECT doc_id, pos, token, coalesce(id, 0) AS id, id IS NULL AS unknown
           FROM raw_words LEFT JOIN vocab USING (token)),
 seqs AS (SELECT doc_id, [1] || coalesce(ids, []) || [2] AS ids, coalesce(n_unknown, 0) AS n_unknown
@@ -21,8 +19,7 @@ seqs AS (SELECT doc_id, [1] || coalesce(ids, []) || [2] AS ids, coalesce(n_unkno
 
 
 def _learned(t):
-    known = t.documents.join(t.labels.select("doc_id"), "doc_id", "left_semi")
-    return V.word_vocab_first_seen(known)
+    return V.word_vocab_first_seen(t.documents)
 
 
 def joined(ids):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlake.functions import text as T
@@ -74,14 +74,14 @@ def nb_predict(tokens: DataFrame, model: NaiveBayes) -> DataFrame:
     return scored.withColumn("prediction", best)
 
 
-def label_profiles(tokens: DataFrame, group: str, k: int = 20) -> DataFrame:
-    """(label, term, weight): the k terms most typical by document count, unit length per label."""
+def label_profiles(tokens: DataFrame, group: str) -> DataFrame:
+    """(label, term, weight): all terms of the label's texts by document count, unit length per label."""
     counts = tokens.select(F.col(group).alias("label"), T.each(F.array_distinct("tokens")).alias("term"))
     counts = counts.groupBy("label", "term").agg(F.count("*").alias("n"))
-    window = Window.partitionBy("label").orderBy(F.desc("n"), "term")
-    top = counts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
-    length = F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy("label")))
-    return stage(top.select("label", "term", (F.col("n") / length).alias("weight")), "label-profiles")
+    counts = stage(counts, "label-terms")
+    length = counts.groupBy("label").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("length"))
+    profiles = lookup(counts, stage(length, "label-lengths"), ["label"], how="inner")
+    return stage(profiles.select("label", "term", (F.col("n") / F.col("length")).alias("weight")), "label-profiles")
 
 
 def zero_shot_scores(weights: DataFrame, docs: DataFrame, profiles: DataFrame) -> DataFrame:

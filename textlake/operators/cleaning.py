@@ -65,12 +65,15 @@ def take_first_n(df: DataFrame, key: str, n: int) -> DataFrame:
 
 def remove_stopwords(df: DataFrame, stop: list[str] | None = None) -> DataFrame:
     """Drop stop words from the `tokens` array, order and duplicates kept."""
-    return df.withColumn("tokens", T.without(F.col("tokens"), stop or fixed.STOP_WORDS))
+    return df.withColumn("tokens", T.without(F.col("tokens"), fixed.STOP_WORDS if stop is None else stop))
 
 
 def lemma_column(token: Column, lemmas: dict[str, str] | None = None) -> Column:
     """Dictionary form of a token, the token itself when unknown."""
-    pairs = [F.lit(v) for kv in (lemmas or fixed.LEMMAS).items() for v in kv]
+    lemmas = fixed.LEMMAS if lemmas is None else lemmas
+    if not lemmas:
+        return token
+    pairs = [F.lit(v) for kv in lemmas.items() for v in kv]
     return F.coalesce(F.element_at(F.create_map(*pairs), token), token)
 
 

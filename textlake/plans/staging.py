@@ -7,7 +7,6 @@ a lost executor costs no recomputation, and its row count is known cheaply.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
@@ -15,15 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only on a local master."""
+    """The folder named by spark.checkpoint.dir, or one in the warehouse, which is shared too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="textlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staged"
 
 
 def new_path(spark: SparkSession, label: str) -> str:

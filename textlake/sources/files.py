@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,11 +34,16 @@ def read_text_corpus(spark: SparkSession, folder: str) -> DataFrame:
 def write_digest_files(digests: DataFrame, folder: str, timestamp: str) -> DataFrame:
     """Write one text per topic into a folder named from the timestamp and the topic.
 
-    `digests` has topic and digest. Returns what was written: name, digest.
+    `digests` has topic and digest. Topics that give the same name are told apart by a number.
+    Returns what was written: name, digest.
     """
     named = digests.select(
-        F.concat(F.lit(timestamp + "_"), T.safe_topic(F.col("topic"))).alias("name"), "digest"
+        F.concat(F.lit(timestamp + "_"), T.safe_topic(F.col("topic"))).alias("name"), "topic", "digest"
     )
+    number = F.row_number().over(Window.partitionBy("name").orderBy("topic", "digest"))
+    named = named.withColumn("_number", number)
+    numbered = F.when(F.col("_number") > 1, F.concat_ws("_", "name", "_number")).otherwise(F.col("name"))
+    named = named.select(numbered.alias("name"), "digest")
     named.write.mode("overwrite").partitionBy("name").option("lineSep", "\n").text(folder)
     spark = digests.sparkSession
     back = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
