@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -91,6 +95,8 @@ def test_sparse_search_equals_brute_force(spark, monkeypatch, cells):
         best = sorted((-round(d, 6), i) for i, d in dots.items() if d > 0)[:3]
         assert sorted((-r.score, r.page_id) for r in found if r.query_id == q) == best
 
+ROOT = Path(__file__).resolve().parents[1]
+
 
 def test_top_p_in_many_ranges_is_the_same(spark):
     text = " ".join(f"aa w{i % 40:02d}" for i in range(300)) + " bb cc bb dd"
@@ -110,3 +116,24 @@ def test_results_do_not_depend_on_partitioning(spark, parts):
     ids = vocab.word_vocab_first_seen(docs).agg(F.sum(F.hash("token", "id").cast("bigint"))).first()[0]
     alone = vocab.word_vocab_first_seen(docs.coalesce(1)).agg(F.sum(F.hash("token", "id").cast("bigint"))).first()[0]
     assert ids == alone
+
+
+def test_a_query_runs_from_another_folder(tmp_path):
+    """Workers import the package though neither path nor folder leads there; staging needs no setting."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "2").config("spark.sql.warehouse.dir", {str(tmp_path / "warehouse")!r}).getOrCreate())
+from textlake.catalog import QUERIES
+sys.path.remove({str(ROOT)!r})
+for name in ("tfidf", "most_similar"):
+    print("rows", QUERIES[name](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_CONF_DIR")}
+    env["SPARK_CONF_DIR"] = str(tmp_path)  # no defaults, so no checkpoint folder
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    counts = [int(line.split()[1]) for line in done.stdout.splitlines() if line.startswith("rows")]
+    assert len(counts) == 2 and min(counts) > 0, done.stderr[-2000:]
+    assert (tmp_path / "warehouse" / "staged").is_dir()

@@ -7,6 +7,7 @@ from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textlake.plans.shipping import ship
 from textlake.plans.staging import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,7 @@ def query(name: str, sql: str | None = None):
 
     def add(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             spark.conf.set("spark.sql.unionOutputPartitioning", "false")  # see stacked()
             return build(Tables(spark, folder))
