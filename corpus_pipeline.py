@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from textlake.llm import bpe_stream, minhash, mixing, suffix_dedup, toxicity
+from textlake.plans.shipping import ship
 from textlake.plans.staging import new_path
 
 
@@ -47,6 +48,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = new_path(spark, f"pipeline-{name}")

@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textlake.llm import bpe_stream, embedding_dedup, interpolation, minhash, mixing, suffix_dedup, token_files, toxicity, warc, weighted_sampling
 
+from textlake.plans.shipping import ship
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
