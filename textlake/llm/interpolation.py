@@ -174,7 +174,8 @@ def scored(docs: DataFrame) -> DataFrame:
     shards = packed_shards(docs.select("doc_id", "text"))
     replies = ask(shards, lambda d: Shard(d).questions(), _answer, KINDS)
     distinct, kept, gone = summed(replies, 0, 3)
-    weights, total = learned(shards, replies, distinct, kept), kept + gone
+    total = kept + gone
+    weights = learned(shards, replies, distinct, kept) if total else np.tile([0.0, 0.0, 1.0], (BUCKETS, 1))
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(docs)

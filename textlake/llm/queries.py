@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textlake.llm import bpe_stream, embedding_dedup, interpolation, minhash, mixing, suffix_dedup, token_files, toxicity, warc, weighted_sampling
-
+from textlake.llm import (
+    bpe_stream, embedding_dedup, interpolation, minhash, mixing, suffix_dedup, token_files, toxicity, warc, weighted_sampling,
+)
 from textlake.plans.shipping import ship
 
 
