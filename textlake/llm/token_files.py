@@ -22,19 +22,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlake.llm import files
-from textlake.llm.arrays import ranges, text_bytes
+from textlake.llm.arrays import pieces, ranges, text_bytes
 from textlake.plans.ranking import running_total
 from textlake.plans.staging import new_path, stage
 
 END = 1  # id after each document
 BLOCK = 1024  # ids of a block
 MAGIC = b"TLS8B\x01\0\0"
-CACHED_WORDS = 1_000_000  # words whose ids a task remembers
+CACHED_WORDS = 500_000  # words whose ids a task remembers
+TAIL = ".,;:!?"  # punctuation that often ends a word
 # ids and bits of each selector, most ids first; selector 0 is the escape
 SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 _LONGEST = SELECTORS[0][0]
@@ -157,49 +159,69 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known: dict[str, int] = {}
+        self.parts: dict[str, list[int]] = {"": []}
         self.ids = np.empty(1 << 16, "uint32")
         self.used = 0
         self.places = np.empty((1 << 16, 2), "int64")  # start and number of the ids of each word
 
-    def learn(self, words: list[bytes]) -> None:
-        """Encode new words, joined by blanks; offsets tell whose each id is."""
-        texts = [w.decode("utf-8", "replace") for w in words]
-        found = self.library.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(found.ids, "uint32")
-        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
-        at = np.array(found.offsets, "int64").reshape(-1, 2)[:, 0]
-        sizes = np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(words))
-        while self.used + len(ids) > len(self.ids):
+    def learn(self, words: list[str]) -> None:
+        """Ids of new words: plain letters by the vocabulary's model, others by all its rules."""
+        split = []
+        for word in words:
+            core = word.rstrip(TAIL)
+            # letters, then punctuation: the rules part them, and lower the letters
+            split.append((core.lower(), word[len(core) :]) if core.isascii() and core.isalpha() else (word, ""))
+        new = {part for pair in split for part in pair if part and part not in self.parts}
+        tokenize = self.library.model.tokenize
+        for part in new:
+            if part.isascii() and part.isalpha() and part.islower():
+                self.parts[part] = [token.id for token in tokenize(part)]
+        self.by_rules([part for part in new if part not in self.parts])
+        found = [self.parts[core] + self.parts[tail] if tail else self.parts[core] for core, tail in split]
+        sizes = np.array([len(x) for x in found], "int64")
+        total = int(sizes.sum())
+        while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.ids[self.used : self.used + len(ids)] = ids
+        self.ids[self.used : self.used + total] = [i for x in found for i in x]
         first = len(self.known)
         while first + len(words) > len(self.places):
             self.places = np.concatenate([self.places, np.empty_like(self.places)])
         self.places[first : first + len(words), 0] = self.used + np.cumsum(sizes) - sizes
         self.places[first : first + len(words), 1] = sizes
         self.known.update(zip(words, range(first, first + len(words)), strict=True))
-        self.used += len(ids)
+        self.used += total
+
+    def by_rules(self, words: list[str]) -> None:
+        """Encode words joined by blanks; offsets tell whose each id is."""
+        found = self.library.encode(" ".join(words), add_special_tokens=False)
+        begins = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
+        at = np.array(found.offsets, "int64").reshape(-1, 2)[:, 0]
+        ends = np.cumsum(np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(words)))
+        ids, first = found.ids, 0
+        for word, last in zip(words, ends.tolist(), strict=True):
+            self.parts[word] = ids[first:last]
+            first = last
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids with the end id behind each text, ids of each text)."""
-        if len(self.known) > CACHED_WORDS:
+        if len(self.known) > CACHED_WORDS or len(self.parts) > CACHED_WORDS:
             self.clear()
-        split = [t.split() for t in texts]
-        flat = [w for words in split for w in words]
-        number = list(map(self.known.get, flat))
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        number = list(map(self.known.get, distinct))
         if None in number:
-            new = list({w for w, n in zip(flat, number, strict=True) if n is None})
+            new = [w for w, n in zip(distinct, number, strict=True) if n is None]
             for i in range(0, len(new), 10_000):
                 self.learn(new[i : i + 10_000])
-            number = [self.known[w] if n is None else n for w, n in zip(flat, number, strict=True)]
-        number = np.array(number, "int64")
-        starts, counts = self.places[number].T
-        ends = np.cumsum(counts)
+            number = list(map(self.known.__getitem__, distinct))
+        place = self.places[number][words.indices.to_numpy()] if distinct else self.places[:0]
+        starts, counts = place[:, 0], place[:, 1]
+        ends = np.append(0, np.cumsum(counts))
         found = self.ids[ranges(starts, counts)]
-        upto = np.append(0, ends)[np.cumsum([len(w) for w in split])] if texts else np.empty(0, "int64")
-        ids = np.insert(found, upto, END)
-        return ids, np.diff(upto, prepend=0) + 1
+        upto = ends[np.cumsum(pc.list_value_length(split).to_numpy())]
+        return np.insert(found, upto, END), np.diff(upto, prepend=0) + 1
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -243,10 +265,9 @@ def write_tokens(docs: DataFrame, rules_path: str) -> DataFrame:
                 words_out += len(words)
 
             while first is not None:
-                data, offsets = text_bytes(first.column("text"))
-                for row in range(0, first.num_rows, 256):
-                    upto = min(row + 256, first.num_rows)
-                    ids, counts = own.encode([data[offsets[i] : offsets[i + 1]].tobytes() for i in range(row, upto)])
+                _, offsets = text_bytes(first.column("text"))
+                for row, upto in pieces(offsets):
+                    ids, counts = own.encode(first.column("text").slice(row, upto - row))
                     sizes.append(counts)
                     total += len(ids)
                     left = np.append(left, ids.astype("uint64"))

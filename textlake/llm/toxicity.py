@@ -213,6 +213,6 @@ def toxic_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below the threshold, with their columns."""
-    name = "_toxicity"
-    scored = score(docs, train(docs, labels)).withColumnRenamed("score", name)
-    return scored.where(F.col(name) < REJECT).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = {c: f"_own_{c}" for c in docs.columns if c in ("score", "offending")}
+    scored = score(docs.withColumnsRenamed(kept), train(docs, labels)).where(F.col("score") < REJECT)
+    return scored.drop("score", "offending").withColumnsRenamed({v: k for k, v in kept.items()}).select(docs.columns)
