@@ -20,7 +20,7 @@ from datetime import UTC, datetime
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlake.llm import files
@@ -34,9 +34,13 @@ SKIPPABLE = 0x184D2A5D  # fixed value: mark of a dictionary frame in a .warc.zst
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
 
 
-def record(kind: str, page_id, number: int, url: str | None, payload: bytes, refers: str | None, day: str) -> bytes:
+def name_of(page_id: int | None, digest: str, number: int) -> str:
+    """The name of the number-th record of a page with that payload."""
+    return f"<urn:page:{'' if page_id is None else page_id}:{digest}:{number}>"
+
+
+def record(kind: str, name: str, url: str | None, payload: bytes, refers: str | None, day: str) -> bytes:
     """One WARC/1.1 record; a revisit has the head of the response but not its payload."""
-    name = f"<urn:page:{'' if page_id is None else page_id}:{number}>"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http + (payload if kind == "response" else b"")
     uri = name[1:-1] if url is None else "".join(c if " " < c != "\x7f" else f"%{ord(c):02X}" for c in url)
@@ -101,18 +105,22 @@ def frames(stream, size: int = 1 << 18) -> Iterator[bytes]:
 
 
 def _typed(pages: DataFrame) -> DataFrame:
-    """Pages with a row number, and for revisits the number and id of the response; written."""
-    rows = stage(
-        pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("_row", F.monotonically_increasing_id()),
-        "pages",
-    )
-    body = F.encode("html", "UTF-8")
-    narrow = rows.select("page_id", "_row", F.sha1(body).alias("digest"), F.octet_length("html").alias("bytes")).where(F.col("bytes") >= LEAST)
+    """Pages with digest, number among rows of the same page and payload, and for revisits _of.
+
+    Which payloads repeat is found on narrow rows; the pages themselves move once, by page.
+    """
+    keyed = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    keyed = keyed.withColumn("digest", F.sha1(F.encode("html", "UTF-8"))).withColumn("bytes", F.octet_length("html"))
+    narrow = keyed.where(F.col("bytes") >= LEAST).groupBy("page_id", "digest", "bytes").agg(F.count("*").alias("n"))
     narrow = stage(narrow, "digests")
-    best = narrow.groupBy("digest", "bytes").agg(F.count("*").alias("n"), F.max(F.struct("page_id", F.col("_row").alias("row"))).alias("best"))
-    again = narrow.join(best.where("n > 1"), ["digest", "bytes"]).where(F.col("_row") != F.col("best.row"))
-    again = again.select("_row", F.col("best.page_id").alias("_of"), F.col("best.row").alias("_of_row"))
-    return rows.join(again, "_row", "left")
+    best = narrow.groupBy("digest", "bytes").agg(F.sum("n").alias("rows"), F.max("page_id").alias("_of")).where("rows > 1")
+    again = narrow.join(best.drop("rows"), ["digest", "bytes"])
+    again = stage(again.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "_of"), "repeated")
+    same = F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest"))
+    number = F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url"))
+    rows = keyed.join(again, same, "left").withColumn("_number", number)
+    visited = F.col("_digest").isNotNull() & (~F.col("page_id").eqNullSafe(F.col("_of")) | (F.col("_number") > 1))
+    return rows.select("page_id", "url", "html", "digest", "_number", "_of", visited.alias("_again"))
 
 
 def write_archives(pages: DataFrame, day: str | None = None) -> DataFrame:
@@ -120,9 +128,11 @@ def write_archives(pages: DataFrame, day: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     rows, folder = _typed(pages), new_path(spark, "warc")
     day = day or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
-    sample = rows.where(F.col("_of_row").isNull()).orderBy(F.xxhash64("_row")).limit(SAMPLE_RECORDS)
-    sample = sample.select("page_id", "_row", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html")).collect()  # bounded
-    learned = dictionary([record("response", r["page_id"], r["_row"], r["url"], r["html"].encode(), None, day) for r in sample])
+    sample = pages.select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html")).where("html is not null")
+    # by hash, so many that the limit is reached; no more than that comes to the driver
+    share = min(1.0, 2 * SAMPLE_RECORDS / max(1, pages.count()))
+    sample = sample.where(F.pmod(F.xxhash64("page_id", "url"), 1_000_000) < share * 1_000_000).limit(SAMPLE_RECORDS).collect()
+    learned = dictionary([record("response", name_of(r["page_id"], "", 1), r["url"], r["html"].encode(), None, day) for r in sample])
     shared = spark.sparkContext.broadcast(learned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,11 +142,11 @@ def write_archives(pages: DataFrame, day: str | None = None) -> DataFrame:
         def records() -> Iterator[bytes]:
             for batch in batches:
                 for r in range(batch.num_rows):
-                    row = {c: batch.column(c)[r].as_py() for c in ("page_id", "_row", "url", "html", "_of", "_of_row")}
-                    again = row["_of_row"] is not None
-                    refers = f"<urn:page:{'' if row['_of'] is None else row['_of']}:{row['_of_row']}>" if again else None
-                    kind = "revisit" if again else "response"
-                    yield packer.compress(record(kind, row["page_id"], row["_row"], row["url"], row["html"].encode(), refers, day))
+                    row = {c: batch.column(c)[r].as_py() for c in batch.schema.names}
+                    refers = name_of(row["_of"], row["digest"], 1) if row["_again"] else None
+                    name = name_of(row["page_id"], row["digest"], row["_number"])
+                    kind = "revisit" if row["_again"] else "response"
+                    yield packer.compress(record(kind, name, row["url"], row["html"].encode(), refers, day))
 
         source = records()
         frame = next(source, None)
