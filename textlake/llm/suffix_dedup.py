@@ -210,7 +210,7 @@ class Shard:
             run = np.flatnonzero(new & inside)
             row = np.searchsorted(place, run, "right") - 1
             stop = np.minimum(np.append(run[1:], len(name)), place[row] + lengths[row])
-            names.append(name[run])
+            names.append(mix(name[run]))  # least hashes are small: spread them over all key ranges
             starts.append(run + begin)
             sizes.append(stop - run)
             rows.append(row + first)
