@@ -26,8 +26,8 @@ from textlake.llm.arrays import BYTES, LOWER, cut, pieces, range_hashes, text_by
 SAMPLE_ROWS = 12_000  # most labelled texts that the model is fitted on
 SAMPLE_BYTES = 96_000_000  # most bytes of text among them
 SLOTS = 1 << 20  # words are hashed to so many weights
-TELLING = 12.0  # likelihood ratio (G) with the labels from which a word gets a weight
-STEPS, RATE, PENALTY = 300, 0.1, 1e-6
+TELLING = 20.0  # likelihood ratio (G) with the labels from which a word gets a weight
+STEPS, RATE, PENALTY = 400, 0.1, 1e-6
 REJECT = 0.7  # a text that scores as much is toxic
 OFFENDING = 0.5  # a sentence that scores as much is reported
 
@@ -100,7 +100,8 @@ def fit(b: Bag, labels: np.ndarray, steps: int = STEPS) -> Model:
     w[-1] = np.log(np.clip(labels.mean(), 1e-3, 0.5) * texts / max(count, 1))
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     toxic = labels == 1
-    weight = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1))
+    # the rarer class counts more, by the root of the classes' ratio
+    weight = np.sqrt(np.where(toxic, (~toxic).sum() / max(toxic.sum(), 1), 1.0)) / texts
     for step in range(1, steps + 1):
         z = w[-1] + np.bincount(sentence, w[feature], count)
         total = np.bincount(b.text, softplus(z), texts)  # -log of "no sentence is toxic"
@@ -109,6 +110,7 @@ def fit(b: Bag, labels: np.ndarray, steps: int = STEPS) -> Model:
         g = np.append(np.bincount(feature, by_sentence[sentence], size), by_sentence.sum()) + PENALTY * np.append(w[:-1], 0)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
+        np.maximum(w[:-1], 0, out=w[:-1])  # no word makes up for an offending one
     weights = np.zeros(SLOTS)
     weights[known] = w[:-1]
     return Model(weights, float(w[-1]))
