@@ -34,6 +34,7 @@ WORDS = 5  # words of a shingle
 SIMILARITY = 80  # percent of the union that two linked sets share
 BANDS, ROWS = 24, 5  # a pair at 0.8 is missed with probability 0.00007, at 0.85 with 0.0000008
 BINS, BITS = 256, 512  # samples that an odd sketch folds, and its bits
+ALL_BITS = 1024  # of the odd sketch of the whole set, which is sharp for all but long texts
 BLOCK = 1024  # classes compared with all of their bucket at once
 
 _SAMPLES = BANDS * ROWS
@@ -81,9 +82,12 @@ def signatures(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     which = sets >> np.uint64(64 - BINS.bit_length() + 1)
     new = np.ones(len(sets), bool)
     new[1:] = (which[1:] != which[:-1]) | (owner[1:] != owner[:-1])
-    bit = (mix(sets[new] ^ ODD_A) % np.uint64(BITS)).astype("int64")
-    odd = np.bincount(owner[new] * BITS + bit, minlength=texts * BITS) & 1
-    return bands, np.packbits(odd.astype("uint8").reshape(texts, BITS), axis=1, bitorder="little").view("<u8").reshape(texts, BITS // 64)
+    bit = (mix(sets ^ ODD_A) >> np.uint64(20)).astype("int64")
+    parts = []
+    for some, size in ((new, BITS), (slice(None), ALL_BITS)):
+        odd = np.bincount(owner[some] * size + bit[some] % size, minlength=texts * size) & 1
+        parts.append(np.packbits(odd.astype("uint8").reshape(texts, size), axis=1, bitorder="little").view("<u8").reshape(texts, size // 64))
+    return bands, np.concatenate(parts, axis=1)
 
 
 def most_different(samples, similarity: int, root):
@@ -95,6 +99,14 @@ def most_different(samples, similarity: int, root):
     return 2 * (samples * p + 5 * root(samples * p * (1 - p)) + 1)
 
 
+def most_apart(total, similarity: int):
+    """Shingles that are in one of two linked sets only, at most, by their sizes' total.
+
+    Each flips one bit of the whole sets' sketches, so that no linked pair differs in more.
+    """
+    return total * (100 - similarity) / (100 + similarity)
+
+
 _SETS = "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, sketch array<bigint>"
 
 
@@ -137,12 +149,13 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def _alike(one: str, two: str, similarity: int):
-    """Whether two classes (n, sketch) may be as similar, by their sizes and sketches."""
+    """Whether two classes (n, sketch) may be as similar by sizes and sketches, and how far they are."""
     n, m = F.col(f"{one}.n"), F.col(f"{two}.n")
     bits = F.zip_with(f"{one}.sketch", f"{two}.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    far = F.aggregate(bits, F.lit(0), lambda s, x: s + x)
-    near = far <= most_different(F.least(n + m, F.lit(BINS)), similarity, F.sqrt)
-    return (100 * F.least(n, m) >= similarity * F.greatest(n, m)) & near, far
+    total = lambda part: F.aggregate(part, F.lit(0), lambda s, x: s + x)
+    sampled, whole = total(F.slice(bits, 1, BITS // 64)), total(F.slice(bits, BITS // 64 + 1, ALL_BITS // 64))
+    near = (sampled <= most_different(F.least(n + m, F.lit(BINS)), similarity, F.sqrt)) & (whole <= most_apart(n + m, similarity))
+    return (100 * F.least(n, m) >= similarity * F.greatest(n, m)) & near, sampled + whole
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -159,7 +172,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     asked = wanted.select(F.col("doc_id").alias("_asked"))
-    texts = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("_asked")), "left_semi")
+    texts = texts.join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_asked")), "left_semi")
     found = texts.select("text").mapInArrow(run, "node binary, shingles binary")
     # an id may repeat with other texts: keep the sets asked for, each once
     found = found.join(wanted.select("node"), "node", "left_semi")
@@ -206,10 +219,11 @@ def _across(members: DataFrame, similarity: int) -> DataFrame:
             node_a, root_a, n_a, sketch_a = plain(one)
             node_b, root_b, n_b, sketch_b = plain(two)
             for i in range(len(node_a)):
-                far = np.bitwise_count(sketch_b ^ sketch_a[i]).sum(axis=1)
-                most = most_different(np.minimum(n_b + n_a[i], BINS), similarity, np.sqrt)
+                bits, total = np.bitwise_count(sketch_b ^ sketch_a[i]), n_b + n_a[i]
+                near = bits[:, : BITS // 64].sum(axis=1) <= most_different(np.minimum(total, BINS), similarity, np.sqrt)
+                near &= bits[:, BITS // 64 :].sum(axis=1) <= most_apart(total, similarity)
                 size = 100 * np.minimum(n_a[i], n_b) >= similarity * np.maximum(n_a[i], n_b)
-                hit = np.flatnonzero((far <= most) & size & (root_b != root_a[i]))
+                hit = np.flatnonzero(near & size & (root_b != root_a[i]))
                 found_a += [min(node_a[i], node_b[j]) for j in hit]
                 found_b += [max(node_a[i], node_b[j]) for j in hit]
         return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
