@@ -30,6 +30,11 @@ HEADLINES = [
     "perplexity",
     "numeric_summary",
     "quantize_int8",
+    "token_windows",
+    "chunk_recursive",
+    "extract_entities",
+    "fit_logistic_regression",
+    "lda_topics",
 ]
 
 
