@@ -69,4 +69,38 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_weighted_sampling, op3_minhash, op4_token_files, op5_interpolation, op6_mixing, op7_bpe_stream, op8_toxicity, op9_warc, op10_embedding_dedup,
 )}
-ORACLES: dict[str, str] = {}
+# Components in SQL: everything reachable over links(x, y), which holds both directions.
+_REACH = """reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+least AS (SELECT x, least(x, min(y)) AS component_id FROM reach GROUP BY x)"""
+
+ORACLES: dict[str, str] = {
+    "op3_minhash": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+{_REACH}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least ON x = doc_id""",
+    "op9_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+best AS (SELECT payload_digest, payload_bytes, max(page_id) AS best FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN best <> page_id THEN best END AS refers_to
+FROM p LEFT JOIN best USING (payload_digest, payload_bytes)""",
+    "op10_embedding_dedup": f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+u AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS r FROM v WHERE len(e) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.r > 0 AND b.r > 0 AND list_inner_product(a.e, b.e) / (a.r * b.r) >= 0.95),
+{_REACH}
+SELECT vec_id, coalesce(k, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN (SELECT x, count(*) AS k FROM links GROUP BY x) c ON c.x = vec_id LEFT JOIN least ON least.x = vec_id""",
+}
