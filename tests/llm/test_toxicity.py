@@ -85,3 +85,15 @@ def test_a_bag_without_known_words_is_clean():
     empty = toxicity.bag(np.empty(0, "uint8"), np.zeros(3, "int64"))
     model = toxicity.fit(empty, np.array([1.0, 0.0]))
     assert model.sentence_logits(empty).size == 0 and model.bias == pytest.approx(-50)
+
+
+def test_length_is_no_evidence(spark):
+    docs, bad = cases(4)
+    labels = spark.createDataFrame([(i, int(i in bad)) for i, _ in docs], "doc_id long, toxic int")
+    rng = random.Random(5)
+    clean = ". ".join(" ".join(rng.choice([f"w{i}" for i in range(300)]) for _ in range(8)) for _ in range(100_000))
+    long = [(9000, clean), (9001, "none of it. " * 100_000), (9002, clean + ". so vile"), (9003, "!a" * 100_000)]
+    df = spark.createDataFrame(docs + long, SCHEMA)
+    rows = {r["doc_id"]: r for r in toxicity.toxic_scores(df, labels).collect()}
+    assert [rows[i]["predicted"] for i in (9000, 9001, 9002, 9003)] == [0, 0, 1, 0]
+    assert rows[9001]["score"] == rows[9003]["score"] == 0.0 and rows[9002]["n_offending"] == 1

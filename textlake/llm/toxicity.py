@@ -1,9 +1,11 @@
 """Toxicity by multiple-instance learning.
 
-A text is a bag of sentences. Each sentence has a logistic score from its words, and the
-text's score is their noisy-or, 1 - prod(1 - p): it is toxic if any sentence is. Only texts
-carry labels; the sentence scores are learned through the noisy-or and then tell which
-sentences offend.
+A text is a bag of sentences, and its score is their noisy-or, 1 - prod(1 - p): it is toxic
+if any sentence is. -log(1 - p) of a sentence is the softplus of its words' weights and a
+constant, less that of the constant alone: a sentence without weighted words adds nothing,
+and sentences of a text with the same weighted words are one, so that length is no evidence.
+Only texts carry labels; the weights are learned through the noisy-or and then tell which
+sentences offend. Labels that no sentence explains fall to a base rate, once a text.
 
 Defined results: a null or empty text has no sentence and scores 0. A label that is neither
 0 nor 1 is ignored; a document with several labels is toxic if one of them says so. Without
@@ -21,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlake.llm.arrays import BYTES, LOWER, cut, pieces, range_hashes, text_bytes
+from textlake.llm.arrays import BYTES, LOWER, ODD_A, ODD_B, cut, mix, pieces, range_hashes, text_bytes
 
 SAMPLE_ROWS = 12_000  # most labelled texts that the model is fitted on
 SAMPLE_BYTES = 96_000_000  # most bytes of text among them
 SLOTS = 1 << 20  # words are hashed to so many weights
 TELLING = 20.0  # likelihood ratio (G) with the labels from which a word gets a weight
+EMPTY = -7.0  # logit of a sentence without weighted words
 STEPS, RATE, PENALTY = 400, 0.1, 1e-6
 REJECT = 0.7  # a text that scores as much is toxic
 OFFENDING = 0.5  # a sentence that scores as much is reported
@@ -70,6 +73,24 @@ class Model:
     def sentence_logits(self, b: Bag) -> np.ndarray:
         return self.bias + np.bincount(b.sentence, self.weights[b.slot], len(b.starts))
 
+    def hazards(self, b: Bag) -> np.ndarray:
+        """-log(1 - p) of each sentence; exactly 0 without weighted words."""
+        return softplus(self.sentence_logits(b)) - softplus(self.bias)
+
+
+def distinct(sentence: np.ndarray, word: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Of each text's sentences with the same words, the first; those without words are left out.
+
+    sentence and word list the words of the sentences in order, text has the sentences' texts.
+    """
+    if not len(sentence):
+        return np.empty(0, "int64")
+    begins = np.flatnonzero(np.diff(sentence, prepend=-1))
+    content = np.add.reduceat(mix(word.astype("uint64") * ODD_A + ODD_B), begins)
+    at = sentence[begins]
+    _, first = np.unique(np.stack([text[at].astype("uint64"), content]), axis=1, return_index=True)
+    return np.sort(at[first])
+
 
 def telling(b: Bag, toxic: np.ndarray) -> np.ndarray:
     """How much more a slot's texts are toxic, or clean, than texts at large (G of a 2 by 2 table)."""
@@ -95,25 +116,29 @@ def fit(b: Bag, labels: np.ndarray, steps: int = STEPS) -> Model:
     number = np.cumsum(known) - 1
     used = known[b.slot]
     sentence, feature = b.sentence[used], number[b.slot[used]]
-    size, count = int(known.sum()), len(b.starts)
-    w = np.zeros(size + 1)  # the last one is the bias
-    w[-1] = np.log(np.clip(labels.mean(), 1e-3, 0.5) * texts / max(count, 1))
+    own = distinct(sentence, feature, b.text)
+    kept = np.isin(sentence, own)
+    sentence, feature, text = np.searchsorted(own, sentence[kept]), feature[kept], b.text[own]
+    size, count = int(known.sum()), len(own)
+    w = np.zeros(size + 1)  # the last one is the base rate's
+    w[-1] = np.log(np.clip(labels.mean(), 1e-3, 0.5))
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     toxic = labels == 1
     # the rarer class counts more, by the root of the classes' ratio
     weight = np.sqrt(np.where(toxic, (~toxic).sum() / max(toxic.sum(), 1), 1.0)) / texts
     for step in range(1, steps + 1):
-        z = w[-1] + np.bincount(sentence, w[feature], count)
-        total = np.bincount(b.text, softplus(z), texts)  # -log of "no sentence is toxic"
+        z = EMPTY + np.bincount(sentence, w[feature], count)
+        # -log of "no sentence is toxic, nor the text without one"
+        total = softplus(w[-1]) + np.bincount(text, softplus(z) - softplus(EMPTY), texts)
         slope = np.where(toxic, -1.0 / np.expm1(np.clip(total, 1e-9, 500)), 1.0) * weight
-        by_sentence = slope[b.text] * sigmoid(z)
-        g = np.append(np.bincount(feature, by_sentence[sentence], size), by_sentence.sum()) + PENALTY * np.append(w[:-1], 0)
+        by_sentence = slope[text] * sigmoid(z)
+        g = np.append(np.bincount(feature, by_sentence[sentence], size) + PENALTY * w[:-1], slope.sum() * sigmoid(w[-1]))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         np.maximum(w[:-1], 0, out=w[:-1])  # no word makes up for an offending one
     weights = np.zeros(SLOTS)
     weights[known] = w[:-1]
-    return Model(weights, float(w[-1]))
+    return Model(weights, EMPTY)
 
 
 def _fold(folds: int):
@@ -180,9 +205,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for first, last in pieces(offsets):
                 begin = offsets[first]
                 b = bag(data[begin : offsets[last]], offsets[first : last + 1] - begin)
-                z = own.sentence_logits(b)
-                total = np.bincount(b.text, softplus(z), last - first)
-                p = sigmoid(z)
+                hazard = own.hazards(b)
+                used = weights[b.slot] > 0
+                once = distinct(b.sentence[used], b.slot[used], b.text)
+                total = np.bincount(b.text[once], hazard[once], last - first)
+                p = -np.expm1(-hazard)
                 spans: list[list[dict]] = [[] for _ in range(last - first)]
                 for i in np.flatnonzero(p >= OFFENDING):
                     t = b.text[i]
