@@ -97,3 +97,26 @@ def test_length_is_no_evidence(spark):
     rows = {r["doc_id"]: r for r in toxicity.toxic_scores(df, labels).collect()}
     assert [rows[i]["predicted"] for i in (9000, 9001, 9002, 9003)] == [0, 0, 1, 0]
     assert rows[9001]["score"] == rows[9003]["score"] == 0.0 and rows[9002]["n_offending"] == 1
+
+
+def test_rare_words_of_many_labels(spark):
+    rng = random.Random(6)
+    words, docs, bad = [f"w{i}" for i in range(300)], [], set()
+    for i in range(3000):
+        text = " ".join(rng.choice(words) for _ in range(40))
+        if rng.random() < 0.11:
+            bad.add(i)
+            text += f". such x{len(bad) % 55}"  # some four of each outside the held-out fold
+        docs.append((i, text))
+    labels = spark.createDataFrame([(i, int(i in bad)) for i, _ in docs], "doc_id long, toxic int")
+    rows = toxicity.toxic_scores(spark.createDataFrame(docs, SCHEMA), labels).collect()
+    found = {r["doc_id"] for r in rows if r["predicted"]}
+    assert len(found & bad) >= 0.85 * len(bad) and len(found - bad) <= 5
+
+
+def test_few_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxic_scores(docs, labels).join(labels, "doc_id").collect()
+    # words of three toxic texts and more are learned, nothing is rejected for its length
+    assert sum(r["predicted"] for r in rows if r["toxic"] == 1) >= 6
+    assert not any(r["predicted"] for r in rows if r["toxic"] == 0)

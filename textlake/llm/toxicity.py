@@ -7,9 +7,14 @@ and sentences of a text with the same weighted words are one, so that length is
 Only texts carry labels; the weights are learned through the noisy-or and then tell which
 sentences offend. Labels that no sentence explains fall to a base rate, once a text.
 
+Words get a weight by the counts of all labelled texts: if they are found in toxic texts so much
+more often than chance has it that, of all words chosen so, fewer than CHANCE are expected to be
+there by chance. The more labels there are, the rarer a word may be. The weights are fitted on
+what is left of all labelled texts, their sentences with such words; equal ones are counted.
+
 Defined results: a null or empty text has no sentence and scores 0. A label that is neither
 0 nor 1 is ignored; a document with several labels is toxic if one of them says so. Without
-labelled rows every score is 0. Repeated rows are scored row by row; a null doc_id is never
+labelled rows of both kinds every score is 0. Repeated rows are scored row by row; a null doc_id is never
 learned from and never held out. Columns named like the new ones are replaced.
 """
 
@@ -24,13 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlake.llm.arrays import BYTES, LOWER, ODD_A, ODD_B, cut, mix, pieces, range_hashes, text_bytes
+from textlake.plans.ranking import running_total
+from textlake.plans.staging import stage
 
-SAMPLE_ROWS = 12_000  # most labelled texts that the model is fitted on
-SAMPLE_BYTES = 96_000_000  # most bytes of text among them
-SLOTS = 1 << 20  # words are hashed to so many weights
-TELLING = 20.0  # likelihood ratio (G) with the labels from which a word gets a weight
+SAMPLE_BYTES = 32_000_000  # most bytes of weighted words, 4 each, that the model is fitted on
+RANGE = 5_000  # texts put in order at once to choose them
+CHANCE = 0.5  # share of the weighted words that may be there by chance
+FINE, MOST = 16, 100  # evidence is told apart in so many parts of one, up to so much
 EMPTY = -7.0  # logit of a sentence without weighted words
-STEPS, RATE, PENALTY = 400, 0.1, 1e-6
+STEPS, RATE = 400, 0.1
+SPARSE = 0.3  # cost of a word's own -log(1 - p), in texts: words in the wake of others get none
 REJECT = 0.7  # a text that scores as much is toxic
 OFFENDING = 0.5  # a sentence that scores as much is reported
 
@@ -40,21 +48,29 @@ _IS_END = np.isin(BYTES, [10, 13, 33, 46, 63])  # line ends and ! . ?
 
 @dataclass
 class Bag:
-    """Sentences of some texts: where they lie, and the slots of their words."""
+    """Sentences of some texts: where they lie, and the hashes of their words."""
 
     starts: np.ndarray
     ends: np.ndarray
     text: np.ndarray  # text of each sentence
     sentence: np.ndarray  # sentence of each word
-    slot: np.ndarray
+    word: np.ndarray  # hash of each word
 
 
 def bag(data: np.ndarray, offsets: np.ndarray) -> Bag:
     starts, ends = cut(~_IS_END[data], offsets)
     first, last = cut(_IS_WORD[data], offsets)
     sentence = np.searchsorted(starts, first, "right") - 1
-    slot = (range_hashes(LOWER[data], first, last) % np.uint64(SLOTS)).astype("int32")
-    return Bag(starts, ends, np.searchsorted(offsets, starts, "right") - 1, sentence, slot)
+    return Bag(starts, ends, np.searchsorted(offsets, starts, "right") - 1, sentence, range_hashes(LOWER[data], first, last))
+
+
+def found(words: np.ndarray, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions in sought that are among the sorted words, and which they are)."""
+    if not len(words):
+        return np.empty(0, "int64"), np.empty(0, "int64")
+    at = np.minimum(np.searchsorted(words, sought), len(words) - 1)
+    known = np.flatnonzero(words[at] == sought)
+    return known, at[known]
 
 
 def softplus(z: np.ndarray) -> np.ndarray:
@@ -67,15 +83,22 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
+    words: np.ndarray  # hashes, in order
     weights: np.ndarray
-    bias: float
+    bias: float = EMPTY
 
     def sentence_logits(self, b: Bag) -> np.ndarray:
-        return self.bias + np.bincount(b.sentence, self.weights[b.slot], len(b.starts))
+        known, which = found(self.words, b.word)
+        return self.bias + np.bincount(b.sentence[known], self.weights[which], len(b.starts))
+
+    def hazards(self, b: Bag) -> tuple[np.ndarray, np.ndarray]:
+        """(-log(1 - p) of each sentence, the sentences that count for their texts)."""
+        known, which = found(self.words, b.word)
+        z = self.bias + np.bincount(b.sentence[known], self.weights[which], len(b.starts))
+        return softplus(z) - softplus(self.bias), distinct(b.sentence[known], which, b.text)
 
-    def hazards(self, b: Bag) -> np.ndarray:
-        """-log(1 - p) of each sentence; exactly 0 without weighted words."""
-        return softplus(self.sentence_logits(b)) - softplus(self.bias)
+
+NOTHING = Model(np.empty(0, "uint64"), np.empty(0), -50.0)
 
 
 def distinct(sentence: np.ndarray, word: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -92,122 +115,198 @@ def distinct(sentence: np.ndarray, word: np.ndarray, text: np.ndarray) -> np.nda
     return np.sort(at[first])
 
 
-def telling(b: Bag, toxic: np.ndarray) -> np.ndarray:
-    """How much more a slot's texts are toxic, or clean, than texts at large (G of a 2 by 2 table)."""
-    pair = np.unique(b.text[b.sentence].astype("int64") * SLOTS + b.slot)
-    text, slot = pair // SLOTS, pair % SLOTS
-    has = np.bincount(slot, minlength=SLOTS).astype("float64")
-    bad = np.bincount(slot, toxic[text], SLOTS)
-    n, t = len(toxic), float(toxic.sum())
-    total = np.zeros(SLOTS)
-    cells = ((bad, has * t / n), (has - bad, has * (n - t) / n), (t - bad, (n - has) * t / n), (n - t - has + bad, (n - has) * (n - t) / n))
-    for seen, expected in cells:
-        some = (seen > 0) & (expected > 0)
-        total[some] += 2 * seen[some] * np.log(seen[some] / expected[some])
-    return total
+def counts(b: Bag, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, texts that have them, toxic ones among these)."""
+    words, which = np.unique(b.word, return_inverse=True)
+    pair = np.unique(b.text[b.sentence].astype("int64") * max(len(words), 1) + which)
+    text, which = pair // max(len(words), 1), pair % max(len(words), 1)
+    return words, np.bincount(which, minlength=len(words)), np.bincount(which, toxic[text], len(words)).astype("int64")
+
 
+def least_evidence(own: list[tuple[int, int]], most: list[tuple[int, int]]) -> float | None:
+    """Evidence from which words count; (bin, words) by evidence, and by the most that it could be.
+
+    Evidence is -log of the chance that a word is in as many toxic texts (Chernoff's bound). Words
+    that cannot reach it, being in too few texts, add nothing to what chance alone would choose.
+    """
+    seen, able = np.zeros(FINE * MOST + 2), np.zeros(FINE * MOST + 2)
+    for total, bins in ((seen, own), (able, most)):
+        for at, n in bins:
+            total[at] += n
+    seen, able = seen[::-1].cumsum()[::-1], able[::-1].cumsum()[::-1]
+    by_chance = able * np.exp(-np.arange(len(able)) / FINE)
+    enough = np.flatnonzero((seen > 0) & (by_chance <= CHANCE * seen))
+    return enough[0] / FINE if len(enough) else None
 
-def fit(b: Bag, labels: np.ndarray, steps: int = STEPS) -> Model:
-    """Weights that make the noisy-or of the sentences agree with the texts' labels."""
+
+def starting(has: np.ndarray, bad: np.ndarray, rate: float) -> np.ndarray:
+    """Weights that words have by their counts alone."""
+    hazard = np.maximum(-np.log1p(-(bad + rate) / (has + 1)) + np.log1p(-rate), 0)
+    return np.log(np.expm1(hazard + softplus(EMPTY))) - EMPTY
+
+
+def fit(b: Bag, labels: np.ndarray, rows: np.ndarray | None = None, start: np.ndarray | None = None, steps: int = STEPS) -> Model:
+    """Weights of all words that make the noisy-or of the sentences agree with the texts' labels.
+
+    rows: how often each text is there. start: weights to begin with, of the words in order.
+    """
     texts = len(labels)
-    if texts == 0 or not len(b.slot) or not labels.any():
-        return Model(np.zeros(SLOTS, "float64"), -50.0)
-    known = telling(b, labels == 1) >= TELLING
-    number = np.cumsum(known) - 1
-    used = known[b.slot]
-    sentence, feature = b.sentence[used], number[b.slot[used]]
-    own = distinct(sentence, feature, b.text)
-    kept = np.isin(sentence, own)
-    sentence, feature, text = np.searchsorted(own, sentence[kept]), feature[kept], b.text[own]
-    size, count = int(known.sum()), len(own)
-    w = np.zeros(size + 1)  # the last one is the base rate's
-    w[-1] = np.log(np.clip(labels.mean(), 1e-3, 0.5))
-    m, v = np.zeros(size + 1), np.zeros(size + 1)
+    if texts == 0 or not len(b.word) or not labels.any():
+        return NOTHING
+    words, which = np.unique(b.word, return_inverse=True)
+    own = distinct(b.sentence, which, b.text)
+    kept = np.isin(b.sentence, own)
+    sentence, feature, text = np.searchsorted(own, b.sentence[kept]), which[kept], b.text[own]
+    size, count = len(words), len(own)
+    rows = np.ones(texts) if rows is None else rows
     toxic = labels == 1
+    rate = np.clip(rows[toxic].sum() / rows.sum(), 1e-3, 0.5)
+    w = np.append(np.zeros(size) if start is None else start, np.log(rate))  # the last one is the base rate's
+    m, v = np.zeros(size + 1), np.zeros(size + 1)
     # the rarer class counts more, by the root of the classes' ratio
-    weight = np.sqrt(np.where(toxic, (~toxic).sum() / max(toxic.sum(), 1), 1.0)) / texts
+    weight = rows * np.where(toxic, np.sqrt(rows[~toxic].sum() / max(rows[toxic].sum(), 1)), 1.0)
     for step in range(1, steps + 1):
         z = EMPTY + np.bincount(sentence, w[feature], count)
         # -log of "no sentence is toxic, nor the text without one"
         total = softplus(w[-1]) + np.bincount(text, softplus(z) - softplus(EMPTY), texts)
         slope = np.where(toxic, -1.0 / np.expm1(np.clip(total, 1e-9, 500)), 1.0) * weight
         by_sentence = slope[text] * sigmoid(z)
-        g = np.append(np.bincount(feature, by_sentence[sentence], size) + PENALTY * w[:-1], slope.sum() * sigmoid(w[-1]))
+        g = np.append(np.bincount(feature, by_sentence[sentence], size) + SPARSE * sigmoid(EMPTY + w[:-1]), slope.sum() * sigmoid(w[-1]))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         np.maximum(w[:-1], 0, out=w[:-1])  # no word makes up for an offending one
-    weights = np.zeros(SLOTS)
-    weights[known] = w[:-1]
-    return Model(weights, EMPTY)
+    return Model(words, w[:-1])
 
 
 def _fold(folds: int):
     return F.crc32(F.col("doc_id").cast("string")) % folds
 
 
-def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, folds: int = 3) -> Model:
-    """Fit on a bounded, hash-ordered sample of the labelled documents outside the held-out fold."""
-    known = (
-        labels.where(F.col("toxic").isin(0, 1) & (_fold(folds) != held_out))
-        .groupBy("doc_id")
-        .agg(F.max("toxic").cast("double").alias("_label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(SAMPLE_ROWS)
-    )
-    sample = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(known), "doc_id")
-        .select(F.xxhash64("doc_id").alias("_order"), "_label", "text")
-        .repartition(1)  # at most SAMPLE_ROWS documents, but for repeated ids
-        .sortWithinPartitions("_order", "_label", F.xxhash64("text"))
-    )
+def _bags(batch: pa.RecordBatch) -> Iterator[tuple[Bag, int, int]]:
+    """The batch's texts in pieces: (sentences, first row, last row + 1)."""
+    data, offsets = text_bytes(batch.column("text"))
+    for first, last in pieces(offsets):
+        begin = offsets[first]
+        yield bag(data[begin : offsets[last]], offsets[first : last + 1] - begin), first, last
+
+
+def _counts(texts: DataFrame) -> DataFrame:
+    """(word, has, bad): texts and toxic texts by word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, labels, taken = [], [], 0
         for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            label = batch.column("_label").to_numpy()
-            fits = int(np.searchsorted(offsets, SAMPLE_BYTES - taken, "right")) - 1
-            fits = max(0, min(fits, SAMPLE_ROWS - len(labels), len(label)))
-            texts += [data[offsets[i] : offsets[i + 1]] for i in range(fits)]
-            labels += label[:fits].tolist()
-            taken += int(offsets[fits])
-            if fits < len(label):
-                break
-        parts, base_text, base_sentence = [], 0, 0
-        offsets = np.cumsum([0, *(len(x) for x in texts)])
-        for first, last in pieces(offsets):
-            b = bag(np.concatenate(texts[first:last]), offsets[first : last + 1] - offsets[first])
-            parts.append((b.starts, b.ends, b.text + base_text, b.sentence + base_sentence, b.slot))
-            base_text, base_sentence = last, base_sentence + len(b.starts)
-        if parts:
-            model = fit(Bag(*(np.concatenate(x) for x in zip(*parts, strict=True))), np.asarray(labels))
-            yield pa.RecordBatch.from_pydict({"weights": [model.weights.astype("<f4").tobytes()], "bias": [model.bias]})
-
-    found = sample.mapInArrow(run, "weights binary, bias double").collect()  # one row of fixed size
-    if not found:
-        return Model(np.zeros(SLOTS), -50.0)
-    return Model(np.frombuffer(found[0]["weights"], "<f4").astype("float64"), found[0]["bias"])
+            labels = batch.column("label").to_numpy()
+            for b, first, last in _bags(batch):
+                words, has, bad = counts(b, labels[first:last])
+                yield pa.RecordBatch.from_arrays([pa.array(words.view("int64")), pa.array(has), pa.array(bad)], names=["word", "has", "bad"])
+
+    parts = texts.mapInArrow(run, "word bigint, has bigint, bad bigint")
+    return parts.groupBy("word").agg(F.sum("has").alias("has"), F.sum("bad").alias("bad"))
+
+
+def _telling(texts: DataFrame, n: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words that get a weight, in order; weights by their counts alone)."""
+    rate = toxic / n
+    share = F.col("bad") / F.col("has")
+    rest = F.when(share < 1, (1 - share) * F.ln((1 - share) / (1 - rate))).otherwise(0.0)
+    evidence = F.when(share > rate, F.col("has") * (share * F.ln(share / rate) + rest)).otherwise(0.0)
+    counted = stage(_counts(texts).withColumn("evidence", evidence), "word-counts")
+    fine = lambda x: F.least(F.floor(x * FINE + 1e-6), F.lit(FINE * MOST + 1)).cast("int")
+    own, most = fine(F.col("evidence")), fine(F.col("has") * float(np.log(1 / rate)))
+    bins = [counted.groupBy(x.alias("bin")).count().collect() for x in (own, most)]  # MOST * FINE + 2 rows each at most
+    enough = least_evidence(*bins)
+    if enough is None:
+        return NOTHING.words, NOTHING.weights
+    chosen = counted.where(own >= int(enough * FINE)).select("word", "has", "bad").toArrow()
+    words, has, bad = (chosen.column(c).to_numpy() for c in ("word", "has", "bad"))
+    order = np.argsort(words.view("uint64"))
+    return words.view("uint64")[order], starting(has[order], bad[order], rate)
+
+
+def _sentences(texts: DataFrame, words: np.ndarray) -> DataFrame:
+    """(label, said, rows): the weighted words of each text's sentences, by number, -1 behind each sentence."""
+    shared = texts.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in batches:
+            for b, first, last in _bags(batch):
+                known, which = found(words, b.word)
+                sentence = b.sentence[known]
+                kept = np.isin(sentence, distinct(sentence, which, b.text))
+                sentence, which = sentence[kept], which[kept]
+                begins = np.flatnonzero(np.diff(sentence, prepend=-1))
+                said = np.insert(which, np.append(begins[1:], len(which))[: len(begins)], -1).astype("<i4")
+                size = np.bincount(b.text[sentence], minlength=last - first) + np.bincount(b.text[sentence[begins]], minlength=last - first)
+                ends = np.append(0, np.cumsum(size))
+                blobs = [said[ends[i] : ends[i + 1]].tobytes() for i in range(last - first)]
+                yield pa.RecordBatch.from_arrays([batch.column("label").slice(first, last - first), pa.array(blobs, pa.binary())], names=["label", "said"])
+
+    return texts.mapInArrow(run, "label bigint, said binary").groupBy("label", "said").agg(F.count("*").alias("rows"))
+
+
+def bounded(said: DataFrame) -> DataFrame:
+    """Rows of SAMPLE_BYTES together at most, in the order of hashes; what doesn't fit is left out, not what follows."""
+    size = F.length("said").cast("bigint")
+    if (said.agg(F.sum(size)).first()[0] or 0) <= SAMPLE_BYTES:
+        return said
+    some = said.where(size <= SAMPLE_BYTES // 16).withColumn("_order", F.xxhash64("said"))
+    return running_total(some, ["_order", "label", "said"], size, out="_upto", rows_per_range=RANGE).where(F.col("_upto") <= SAMPLE_BYTES).select(said.columns)
+
+
+def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, folds: int = 3) -> Model:
+    """Fit on the labelled documents outside the held-out fold."""
+    learned = F.col("doc_id").isNotNull() & (_fold(folds) != held_out)
+    known = labels.where(F.col("toxic").isin(0, 1) & learned).groupBy("doc_id").agg(F.max("toxic").cast("bigint").alias("label"))
+    # texts are shuffled alike at every size
+    texts = docs.where(learned).select("doc_id", "text").join(known.hint("merge"), "doc_id")
+    texts = stage(texts.select("label", "text"), "labelled")
+    n, toxic = texts.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not 0 < toxic < n:
+        return NOTHING
+    words, start = _telling(texts, n, toxic)
+    if not len(words):
+        return NOTHING
+    said = bounded(stage(_sentences(texts, words), "sentences"))
+    shared = texts.sparkSession.sparkContext.broadcast(start)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.column("label").to_numpy(), b.column("rows").to_numpy(), text_bytes(b.column("said"))) for b in batches]
+        if not parts:
+            return
+        all_ = np.concatenate([data.view("uint8") for *_, (data, _) in parts]).view("<i4")
+        size = np.concatenate([np.diff(offsets) // 4 for *_, (_, offsets) in parts])
+        text, end = np.repeat(np.arange(len(size)), size), all_ < 0
+        sentence = (np.cumsum(end) - end)[~end]
+        nowhere = np.empty(0, "int64")
+        start, own = shared.value, np.unique(all_[~end])
+        b = Bag(nowhere, nowhere, text[end], sentence, all_[~end])
+        model = fit(b, np.concatenate([x for x, *_ in parts]), np.concatenate([x for _, x, _ in parts]).astype("float64"), start[own])
+        weights = start.copy()  # words that no text of the sample has keep theirs
+        if len(model.words):
+            weights[model.words] = model.weights
+        yield pa.RecordBatch.from_pydict({"weights": [weights.astype("<f4").tobytes()]})
+
+    one = said.repartition(1).sortWithinPartitions("said", "label")  # SAMPLE_BYTES at most
+    weights = np.frombuffer(one.mapInArrow(run, "weights binary").first()[0], "<f4").astype("float64")
+    return Model(words[weights > 0], weights[weights > 0])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs with score, and offending: byte ranges and scores of its toxic sentences."""
     docs = docs.drop("score", "offending")
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.weights.astype("float32"), model.bias))  # 1 MB, fixed
+    shared = spark.sparkContext.broadcast((model.words, model.weights, model.bias))  # 16 bytes a weighted word
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value
-        own = Model(weights, bias)
+        own = Model(*shared.value)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for first, last in pieces(offsets):
                 begin = offsets[first]
                 b = bag(data[begin : offsets[last]], offsets[first : last + 1] - begin)
-                hazard = own.hazards(b)
-                used = weights[b.slot] > 0
-                once = distinct(b.sentence[used], b.slot[used], b.text)
+                hazard, once = own.hazards(b)
                 total = np.bincount(b.text[once], hazard[once], last - first)
                 p = -np.expm1(-hazard)
                 spans: list[list[dict]] = [[] for _ in range(last - first)]
