@@ -120,3 +120,14 @@ def test_few_labels(spark):
     # words of three toxic texts and more are learned, nothing is rejected for its length
     assert sum(r["predicted"] for r in rows if r["toxic"] == 1) >= 6
     assert not any(r["predicted"] for r in rows if r["toxic"] == 0)
+
+
+def test_a_text_that_does_not_fit_is_left_out_alone(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 6_000)
+    monkeypatch.setattr(toxicity, "RANGE", 50, raising=False)
+    docs, bad = cases(7)
+    docs += [(i, ". ".join(" vile" * k for k in range(1, 120))) for i in range(2000, 2030)]
+    bad |= {i: "" for i in range(2000, 2030)}
+    labels = spark.createDataFrame([(i, int(i in bad)) for i, _ in docs], "doc_id long, toxic int")
+    rows = toxicity.toxic_scores(spark.createDataFrame(docs, SCHEMA), labels).collect()
+    assert sum(r["predicted"] == (r["doc_id"] in bad) for r in rows) >= 0.98 * len(rows)
