@@ -87,3 +87,29 @@ def test_components_of_long_paths(spark):
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a string, b string")).collect()}
     for i in range(0, 300, 50):
         assert {found[n] for n in names[i : i + 50]} == {min(names[i : i + 50])}
+
+
+def test_no_task_gets_more_than_two_blocks(spark, monkeypatch):
+    from pyspark.sql.group import GroupedData
+
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    sides = []
+    cogroup = GroupedData.cogroup
+    monkeypatch.setattr(GroupedData, "cogroup", lambda one, two: sides.extend([one._df, two._df]) or cogroup(one, two))
+    # one bucket: 20 components of 10 classes and 100 classes of their own, all alike by their sketches
+    rows = []
+    for i in range(300):
+        root = i // 10 if i < 200 else i
+        rows.append((0, 7, f"n{i:03d}".encode(), 50, [0] * 24, f"r{root:03d}".encode(), root != 0, i == 0))
+    kind = "band tinyint, value bigint, node binary, n bigint, sketch array<bigint>, root binary, outside boolean, first boolean"
+    found = {(bytes(r["a"]), bytes(r["b"])) for r in minhash._across(spark.createDataFrame(rows, kind), 85).collect()}
+    names = [(r[2], r[5], r[6]) for r in rows if not r[7]]
+    expected = {(a, b) for a, x, u in names for b, y, v in names if a < b and x != y and (u or v)}
+    assert found == expected
+    for side in sides:
+        keys = [c for c in side.columns if c not in ("node", "root", "n", "sketch")]
+        assert side.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 40
+    # blocks of one component are not compared with each other
+    same = [(*r[:5], b"r", True, r[7]) for r in rows]
+    sides.clear()
+    assert minhash._across(spark.createDataFrame(same, kind), 85).count() == 0 and sides[0].count() == 0

@@ -9,7 +9,8 @@ Candidates are settled in three rounds, so that not all pairs of a bucket are fo
 class is compared with the likest of its buckets' first classes, which joins the many copies of
 a text; then with those of the other first classes that it isn't joined with yet. Last, in
 buckets that still hold several components, the classes outside the first one's component
-are compared with the rest, in blocks. No pair that could join two components is left out.
+are compared with the rest, block by block on both sides. No pair that could join two components
+is left out.
 
 Defined results: null, empty or blank texts have no shingles and are linked with nothing; a
 text with fewer words than a shingle is one shingle. Rows with equal sets, repeated rows
@@ -35,7 +36,7 @@ SIMILARITY = 80  # percent of the union that two linked sets share
 BANDS, ROWS = 24, 5  # a pair at 0.8 is missed with probability 0.00007, at 0.85 with 0.0000008
 BINS, BITS = 256, 512  # samples that an odd sketch folds, and its bits
 ALL_BITS = 1024  # of the odd sketch of the whole set, which is sharp for all but long texts
-BLOCK = 1024  # classes compared with all of their bucket at once
+BLOCK = 1024  # classes of a bucket that are compared with as many others of it at once
 
 _SAMPLES = BANDS * ROWS
 _FACTORS = spreads(_SAMPLES, 101) | np.uint64(1)
@@ -200,13 +201,22 @@ def _across(members: DataFrame, similarity: int) -> DataFrame:
     """Pairs of a bucket that lie in different components, neither of them the first class.
 
     members: (band, value, node, n, sketch, root, outside, first). Classes outside the first one's
-    component are dealt out in blocks, and each block meets all of its bucket.
+    component are dealt out in blocks, and so is all of the bucket; each block meets each, in a
+    task of two blocks. Two blocks that lie in the same component alone do not meet.
     """
-    outside = members.where("outside")
-    sizes = stage(outside.groupBy("band", "value").agg(F.count("*").alias("size")), "bucket-sizes")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    left = outside.join(sizes, ["band", "value"]).withColumn("block", F.pmod(F.xxhash64("node"), blocks))
-    right = members.join(sizes, ["band", "value"]).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    # the first class has met all others
+    rest = members.where("not first")
+    sizes = rest.groupBy("band", "value").agg(F.count("*").alias("size"), F.count(F.when(F.col("outside"), 1)).alias("out"))
+    dealt = rest.join(stage(sizes.where("out > 0"), "bucket-sizes"), ["band", "value"])
+    block = lambda size, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.ceil(F.col(size) / BLOCK)).cast("int")
+    dealt = stage(dealt.withColumn("left", F.when(F.col("outside"), block("out", 1))).withColumn("right", block("size", 2)), "dealt")
+    span = [F.min("root").alias("low"), F.max("root").alias("high")]
+    lefts = dealt.where("outside").groupBy("band", "value", "left").agg(*span)
+    rights = dealt.groupBy("band", "value", "right").agg(*span).withColumnsRenamed({"low": "_low", "high": "_high"})
+    met = lefts.join(rights, ["band", "value"]).where("low <> high or _low <> _high or low <> _low")
+    met = stage(met.select("band", "value", "left", "right"), "block-pairs")
+    left = dealt.where("outside").drop("right").join(met, ["band", "value", "left"])
+    right = dealt.drop("left").join(met, ["band", "value", "right"])
 
     def run(one: pa.Table, two: pa.Table) -> pa.Table:
         def plain(t: pa.Table):
@@ -228,10 +238,10 @@ def _across(members: DataFrame, similarity: int) -> DataFrame:
                 found_b += [max(node_a[i], node_b[j]) for j in hit]
         return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
 
-    keys = ["band", "value", "block"]
+    keys = ["band", "value", "left", "right"]
     columns = [*keys, "node", "root", "n", "sketch"]
-    # renamed, because both sides come from one table; the first class has met all others
-    left, right = left.where("not first").select(columns), right.where("not first").select(columns).toDF(*columns)
+    # renamed, because both sides come from one table
+    left, right = left.select(columns), right.select(columns).toDF(*columns)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "a binary, b binary").distinct()
 
 
