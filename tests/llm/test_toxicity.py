@@ -131,3 +131,16 @@ def test_a_text_that_does_not_fit_is_left_out_alone(spark, monkeypatch):
     labels = spark.createDataFrame([(i, int(i in bad)) for i, _ in docs], "doc_id long, toxic int")
     rows = toxicity.toxic_scores(spark.createDataFrame(docs, SCHEMA), labels).collect()
     assert sum(r["predicted"] == (r["doc_id"] in bad) for r in rows) >= 0.98 * len(rows)
+
+
+def test_weak_words_do_not_add_up():
+    import numpy as np
+
+    text = ". ".join(f"weak{i}" for i in range(100_000)).encode()
+    data = np.frombuffer(text + b". vile", "uint8")
+    b = toxicity.bag(data, np.array([0, len(text), len(data)]))
+    words, which = np.unique(b.word, return_inverse=True)
+    weights = np.full(len(words), 4.0)  # 0.05 a sentence
+    weights[which[-1]] = 12.0
+    hazard, once = toxicity.Model(words, weights).hazards(b)
+    assert hazard[:100_000].sum() > 100 and b.text[once].tolist() == [1]

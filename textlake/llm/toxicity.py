@@ -3,7 +3,8 @@
 A text is a bag of sentences, and its score is their noisy-or, 1 - prod(1 - p): it is toxic
 if any sentence is. -log(1 - p) of a sentence is the softplus of its words' weights and a
 constant, less that of the constant alone: a sentence without weighted words adds nothing,
-and sentences of a text with the same weighted words are one, so that length is no evidence.
+sentences of a text with the same weighted words are one, and in a text's score those count that
+are more likely toxic than not, so that length is no evidence.
 Only texts carry labels; the weights are learned through the noisy-or and then tell which
 sentences offend. Labels that no sentence explains fall to a base rate, once a text.
 
@@ -40,7 +41,7 @@ EMPTY = -7.0  # logit of a sentence without weighted words
 STEPS, RATE = 400, 0.1
 SPARSE = 0.3  # cost of a word's own -log(1 - p), in texts: words in the wake of others get none
 REJECT = 0.7  # a text that scores as much is toxic
-OFFENDING = 0.5  # a sentence that scores as much is reported
+OFFENDING = 0.5  # a sentence that scores as much is reported and counts
 
 _IS_WORD = (BYTES >= 128) | ((BYTES >= 48) & (BYTES <= 57)) | ((BYTES >= 65) & (BYTES <= 90)) | ((BYTES >= 97) & (BYTES <= 122))
 _IS_END = np.isin(BYTES, [10, 13, 33, 46, 63])  # line ends and ! . ?
@@ -95,7 +96,8 @@ class Model:
         """(-log(1 - p) of each sentence, the sentences that count for their texts)."""
         known, which = found(self.words, b.word)
         z = self.bias + np.bincount(b.sentence[known], self.weights[which], len(b.starts))
-        return softplus(z) - softplus(self.bias), distinct(b.sentence[known], which, b.text)
+        hazard, once = softplus(z) - softplus(self.bias), distinct(b.sentence[known], which, b.text)
+        return hazard, once[-np.expm1(-hazard[once]) >= OFFENDING]
 
 
 NOTHING = Model(np.empty(0, "uint64"), np.empty(0), -50.0)
