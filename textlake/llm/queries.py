@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from textlake.llm import (
-    bpe_stream, embedding_dedup, interpolation, minhash, mixing, suffix_dedup, token_files, toxicity, warc, weighted_sampling,
+    bpe_stream, embedding_dedup, interpolation, language_id, minhash, mixing, suffix_dedup, token_files, toxicity, warc, weighted_sampling,
 )
 from textlake.plans.shipping import ship
 
@@ -66,8 +66,14 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_vectors(_table(spark, folder, "embeddings"))
 
 
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    return language_id.predicted(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_weighted_sampling, op3_minhash, op4_token_files, op5_interpolation, op6_mixing, op7_bpe_stream, op8_toxicity, op9_warc, op10_embedding_dedup,
+    op11_language_id,
 )}
 # Components in SQL: everything reachable over links(x, y), which holds both directions.
 _REACH = """reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
