@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from textlake.llm import (
-    bpe_stream, embedding_dedup, interpolation, language_id, minhash, mixing, suffix_dedup, token_files, toxicity, warc, weighted_sampling,
+    bpe_stream, embedding_dedup, interpolation, language_id, minhash, mixing, ranked_search, suffix_dedup, token_files, toxicity, warc, weighted_sampling,
 )
 from textlake.plans.shipping import ship
 
@@ -71,9 +71,14 @@ def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predicted(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranked_search.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), top=50)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_weighted_sampling, op3_minhash, op4_token_files, op5_interpolation, op6_mixing, op7_bpe_stream, op8_toxicity, op9_warc, op10_embedding_dedup,
-    op11_language_id,
+    op11_language_id, op13_ranked_search,
 )}
 # Components in SQL: everything reachable over links(x, y), which holds both directions.
 _REACH = """reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
@@ -109,4 +114,20 @@ links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id <> b
 {_REACH}
 SELECT vec_id, coalesce(k, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN (SELECT x, count(*) AS k FROM links GROUP BY x) c ON c.x = vec_id LEFT JOIN least ON least.x = vec_id""",
+    "op13_ranked_search": """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+sizes AS (SELECT row_number() OVER () AS row, doc_id, ts, len(ts) AS n FROM d WHERE len(ts) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+tf AS (SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(ts) AS term FROM sizes)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+parts AS (SELECT row, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))) AS part
+  FROM tf JOIN w USING (term) JOIN sizes USING (row), total),
+scores AS (SELECT item_id, row, sum(part)::BIGINT AS score FROM q JOIN parts USING (term) GROUP BY ALL HAVING sum(part) > 0),
+ranks AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM scores JOIN sizes USING (row))
+SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= 50""",
 }
