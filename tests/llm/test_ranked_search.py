@@ -80,24 +80,32 @@ def test_empty_tables(spark):
     assert ranked_search.ranked(spark.createDataFrame([(1, "w")], "doc_id long, text string"), items.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_segment_search_skips_and_stays_exact(seed):
-    """The hybrid's best equal those of whole sums; stretches below the bar are not read."""
-    rng = np.random.default_rng(seed)
-    docs, kinds = 6000, 12
-    lists = [np.sort(rng.choice(docs, max(1, int(docs * 0.9 / (k + 1) ** 1.5)), replace=False)) for k in range(kinds)]
-    term = np.repeat(np.arange(kinds, dtype="int32"), [len(x) for x in lists])
+def packed_segment(lists: list, rng, docs: int, weight: np.ndarray):
+    term = np.repeat(np.arange(len(lists), dtype="int32"), [len(x) for x in lists])
     doc = np.concatenate(lists).astype("int32")
-    times = rng.integers(1, 4, len(doc)).astype("int32")
-    times[np.isin(doc, np.arange(640, 700))] += 30  # one stretch is far better than others
-    row = {"ids": rng.permutation(docs), "known": np.ones(docs, bool), "sizes": rng.integers(5, 90, docs), "term": term, "doc": doc, "times": times}
-    packed = {n: ranked_search.packed(v) for n, v in row.items()}
-    weight = rng.integers(1, 9000, kinds)
-    segment = ranked_search.Segment(packed, weight, docs, int(row["sizes"].sum()))
-    whole = np.zeros(docs, "int64")
+    row = {"ids": rng.permutation(docs), "known": np.ones(docs, bool), "sizes": rng.integers(5, 90, docs), "term": term, "doc": doc, "times": rng.integers(1, 40, len(doc)).astype("int32")}
+    return ranked_search.Segment({n: ranked_search.packed(v) for n, v in row.items()}, weight, docs, int(row["sizes"].sum()))
+
+
+def searched(segment, kinds: int) -> int:
+    whole = np.zeros(len(segment.ids), "int64")
     np.add.at(whole, segment.doc, segment.part)
     best = ranked_search.Best(20)
     read = segment.search(np.arange(kinds), best)
-    order = np.lexsort((row["ids"], -whole))[:20]
-    assert best.scores.tolist() == whole[order].tolist() and best.ids.tolist() == row["ids"][order].tolist()
-    assert read < 0.6 * len(doc)
+    order = np.lexsort((segment.ids, -whole))[:20]
+    assert best.scores.tolist() == whole[order].tolist() and best.ids.tolist() == segment.ids[order].tolist()
+    return read
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_segment_search_is_exact(seed):
+    rng = np.random.default_rng(seed)
+    lists = [np.sort(rng.choice(6000, max(1, int(5400 / (k + 1) ** 1.5)), replace=False)) for k in range(12)]
+    searched(packed_segment(lists, rng, 6000, rng.integers(1, 9000, 12)), 12)
+
+
+def test_stretches_below_the_bar_are_not_read():
+    rng = np.random.default_rng(1)
+    lists = [np.arange(20000), np.arange(9000), np.arange(100, 200)]  # the second makes all the difference
+    segment = packed_segment(lists, rng, 20000, np.array([10, 5000, 9000]))
+    assert searched(segment, 3) < 20000
