@@ -180,4 +180,4 @@ def test_one_conversation_in_many_tasks(spark):
 def test_small_tables(spark, rows):
     df = spark.createDataFrame(rows, KIND)
     assert read(C.repair_report(df)) == plain(rows, False)
-    assert C.repair(df).count() == 0
+    assert C.repair(df).count() == sum(len(r[6].replace("D", "")) for r in plain(rows, False).values())
