@@ -43,7 +43,7 @@ LANGUAGES = 32  # learned and compared at once; more take further passes
 WORD = 32  # most bytes of a word
 ROUNDS = 5  # of expectation-maximisation
 ADDED = 0.05  # expected count that every piece has besides
-SLOTS = 400_000  # bytes of distinct words worked on at once
+SLOTS = 100_000  # bytes of distinct words worked on at once
 UNKNOWN = "und"
 
 _IS_LETTER = (BYTES >= 128) | ((BYTES >= 97) & (BYTES <= 122))
@@ -194,7 +194,7 @@ class Model:
     def word_logs(self, walker: Walker, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Log probability of each word in each language."""
         logs = np.empty((len(offsets) - 1, len(self.names)))
-        for first, last in pieces(offsets, max(1000, SLOTS * 4 // max(4, len(self.names)))):
+        for first, last in pieces(offsets, max(1000, 4 * SLOTS // max(4, len(self.names)))):
             some, at = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
             sums = forward(walker.lattice(some, at), self.shares, at)
             logs[first:last] = np.log(sums[at[1:] + np.arange(len(at) - 1)])
@@ -297,8 +297,9 @@ def train(labelled: DataFrame, vocabulary: list[bytes], sample_bytes: int = SAMP
     return models
 
 
-def _letters(texts: pa.Array) -> np.ndarray:
-    return pc.fill_null(pc.match_substring_regex(texts.cast(pa.large_string()), r"\p{L}"), False).to_numpy(zero_copy_only=False)
+def _letters(texts: pa.Array) -> pa.Array:
+    """Whether each text has a letter."""
+    return pc.fill_null(pc.match_substring_regex(texts.cast(pa.large_string()), r"\p{L}"), False)
 
 
 def detect(docs: DataFrame, models: list[Model], vocabulary: list[bytes]) -> DataFrame:
@@ -310,12 +311,11 @@ def detect(docs: DataFrame, models: list[Model], vocabulary: list[bytes]) -> Dat
     while total in [c.lower() for c in docs.columns]:
         total = f"_{total}"
     kept, trie = docs.columns, Trie(vocabulary)
-    schema = f"{ddl(docs)}, lang_pred string, score double, {total} double"
     rows = docs.withColumn("lang_pred", F.lit(None).cast("string")).withColumn("score", F.lit(-np.inf)).withColumn(total, F.lit(-np.inf))
-    for model in models:
-        sent = docs.sparkSession.sparkContext.broadcast((trie, model))
+    for i, model in enumerate(models):
+        sent, last = docs.sparkSession.sparkContext.broadcast((trie, model)), i == len(models) - 1
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, last=last) -> Iterator[pa.RecordBatch]:
             trie, model = sent.value
             walker, names = Walker(trie), pa.array(model.names, pa.string())
             for batch in batches:
@@ -327,20 +327,19 @@ def detect(docs: DataFrame, models: list[Model], vocabulary: list[bytes]) -> Dat
                     score, before = logs[np.arange(len(logs)), best], some.column("score").to_numpy()
                     better = score > before
                     name = pc.if_else(pa.array(better), names.take(pa.array(best)), some.column("lang_pred"))
+                    score = np.where(better, score, before)
                     sums = np.logaddexp(some.column(total).to_numpy(), np.logaddexp.reduce(logs, axis=1))
-                    columns = [some.column(c) for c in kept]
-                    yield pa.RecordBatch.from_arrays([*columns, name, pa.array(np.where(better, score, before)), pa.array(sums)], [*kept, "lang_pred", "score", total])
-
-        rows = rows.mapInArrow(run, schema)
-
-    def end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            letters = pa.array(_letters(batch.column("text")))
-            share = np.minimum(np.exp(batch.column("score").to_numpy() - batch.column(total).to_numpy()), 1.0)
-            name, score = pc.if_else(letters, batch.column("lang_pred"), UNKNOWN), pc.if_else(letters, pa.array(share), 0.0)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], name, score], [*kept, "lang_pred", "score"])
-
-    return rows.mapInArrow(end, f"{ddl(docs)}, lang_pred string, score double")
+                    found = {c: some.column(c) for c in kept}
+                    if last:  # log probabilities become shares
+                        letters = _letters(some.column("text"))
+                        share = pa.array(np.minimum(np.exp(score - sums), 1.0))
+                        found |= {"lang_pred": pc.if_else(letters, name, UNKNOWN), "score": pc.if_else(letters, share, 0.0)}
+                    else:
+                        found |= {"lang_pred": name, "score": pa.array(score), total: pa.array(sums)}
+                    yield pa.RecordBatch.from_arrays(list(found.values()), list(found))
+
+        rows = rows.mapInArrow(run, f"{ddl(docs)}, lang_pred string, score double" + ("" if last else f", {total} double"))
+    return rows
 
 
 def predicted(docs: DataFrame, path: str) -> DataFrame:
