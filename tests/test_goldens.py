@@ -145,13 +145,6 @@ def test_byte_pairs_equal_a_public_tokenizer(spark):
     assert rows(back, "doc_id") == rows(unseen, "doc_id")
 
 
-def test_merge_prefix_stops_at_a_shared_or_known_symbol():
-    known = {"a": 1, "b": 2, "c": 3, "d": 4, "e": 5, "f": 6, "cd": 7}
-    assert bpe.independent_prefix([("a", "b"), ("e", "f"), ("b", "c")], known) == [("a", "b"), ("e", "f")]
-    assert bpe.independent_prefix([("c", "d"), ("a", "b")], known) == [("c", "d")]
-    assert bpe.independent_prefix([], known) == []
-
-
 def seq(spark, *ids):
     return stage(spark.createDataFrame(list(enumerate(ids)), "doc_id bigint, ids array<int>"), "test")
 

@@ -83,7 +83,7 @@ def _(t):
 
 @query("write_tokenizer_tables")
 def _(t):
-    vocab, merges = B.tokenizer_tables(t.spark, B.bpe_train(B.word_counts(t.documents), 5 + 256 + 10))
+    vocab, merges = B.tokenizer_tables(t.spark, B.bpe_train(B.word_counts(t.documents)))
     vocab, merges = S.write_tokenizer_tables(vocab, merges, new_path(t.spark, "tokenizer"))
     return vocab.join(merges.withColumn("token", F.concat("left", "right")), "token", "left")
 

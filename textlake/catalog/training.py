@@ -206,12 +206,9 @@ def _(t):
     return W.masked_mean(losses, ["doc_id"]).withColumn("masked_mean", F.round("masked_mean", 6))
 
 
-BPE_VOCAB = 5 + 256 + 40  # specials, bytes and forty merges
-
-
 def _tokenizer(t):
     words = B.word_counts(t.documents)
-    return words, *B.tokenizer_tables(t.spark, B.bpe_train(words, BPE_VOCAB))
+    return words, *B.tokenizer_tables(t.spark, B.bpe_train(words))
 
 
 @query("bpe_train")

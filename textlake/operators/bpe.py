@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,9 +18,10 @@ from textlake.plans.staging import stage
 # Fixed value: contractions, words, numbers, other marks (with one leading space), spaces.
 PRE_TOKEN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-OPEN, CLOSE = "\u0001", "\u0002"  # around every symbol of a word; never part of a symbol
-CANDIDATES = 200  # most frequent pairs looked at per round
-MERGES_PER_TABLE = 25  # merges after which the words are written anew
+MAX_PAIRS = 100_000  # most pairs that a round looks at
+MAX_CHAINS = 200_000  # most chains of them that the driver holds …
+MAX_SYMBOLS = 3_000_000  # … and their symbols together
+FEW_CHAINS = 20_000  # if there are fewer, the next round looks at more pairs
 
 
 def byte_symbols() -> list[str]:
@@ -55,84 +58,184 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return stage(counts.select(to_symbols(F.col("w")).alias("word"), "n"), "bpe-words")
 
 
-def _wrapped(*symbols: str) -> str:
-    return "".join(OPEN + s + CLOSE for s in symbols)
+def letter(number: int) -> str:
+    """The character that stands for a symbol while merges are learned."""
+    code = number + 0x100
+    return chr(code if code < 0xD800 else code + 0x800)  # surrogates are no characters
 
 
-def _pair_counts(words: DataFrame) -> DataFrame:
-    symbols = words.select("n", F.split(F.substring("spelled", 2, 1_000_000_000), CLOSE + OPEN).alias("s"))
-    symbols = symbols.select("n", F.transform("s", lambda x: F.replace(x, F.lit(CLOSE))).alias("s"))
-    k = F.size("s") - 1
-    pairs = F.arrays_zip(F.slice("s", F.lit(1), k).alias("left"), F.slice("s", F.lit(2), k).alias("right"))
-    rows = symbols.select("n", F.explode(F.when(k > 0, pairs)).alias("p"))
-    return rows.groupBy("p.left", "p.right").agg(F.sum("n").alias("n"))
+def top_pairs(words: DataFrame, k: int, min_frequency: int) -> list[tuple[int, str]]:
+    """(count, pair) of the k most frequent neighbours over words (spelled, n), ties by symbol."""
+    symbols = words.select("n", T.characters(F.col("spelled")).alias("s"))
+    size = F.size("s") - 1
+    pairs = F.zip_with(F.slice("s", F.lit(1), size), F.slice("s", F.lit(2), size), lambda x, y: F.concat(x, y))
+    rows = symbols.select("n", T.each(F.when(size > 0, pairs)).alias("pair"))
+    counts = rows.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= min_frequency)
+    return [(r["n"], r["pair"]) for r in counts.orderBy(F.desc("n"), "pair").limit(k).collect()]
 
 
-def independent_prefix(pairs: list[tuple[str, str]], known: dict[str, int]) -> list[tuple[str, str]]:
-    """The leading pairs that merging one by one would also take next, in this order.
+def chains_of(word: str, pairs: set[str]) -> Iterator[str]:
+    """The longest runs of symbols whose neighbours are all among the pairs."""
+    begin = 0
+    for i in range(1, len(word) + 1):
+        if word[i - 1 : i + 1] not in pairs:
+            if i - begin > 1:
+                yield word[begin:i]
+            begin = i
 
-    pairs: ordered by falling count, ties by the age of the left and then the right symbol.
-    A pair that shares no symbol with those before it keeps its count when they are
-    merged. A pair that arises from a merge is at most as frequent as one that shares a
-    symbol and stands later in the list, and its symbol is younger, so it cannot step in
-    front. That does not hold when the merged symbol exists already, which ends the prefix.
+
+def chains(words: DataFrame, pairs: set[str]) -> DataFrame:
+    """Written (chain, n): the chains of the pairs in all words."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: Counter[str] = Counter()
+            for word, n in zip(batch["spelled"], batch["n"], strict=True):
+                for chain in chains_of(word, pairs):
+                    found[chain] += n
+            yield pd.DataFrame({"chain": list(found), "n": list(found.values())})
+
+    rows = words.mapInPandas(run, "chain string, n bigint")
+    return stage(rows.groupBy("chain").agg(F.sum("n").alias("n")), "bpe-chains")
+
+
+class Chains:
+    """Counts of neighbours in some chains, kept up to date while pairs are merged."""
+
+    def __init__(self, rows: list[tuple[str, int]]) -> None:
+        self.rows = [list(chain) for chain, _ in rows]
+        self.times = [n for _, n in rows]
+        self.counts: Counter[tuple[str, str]] = Counter()
+        self.holders: dict[tuple[str, str], set[int]] = {}  # chains that have had a pair
+        for i, (row, n) in enumerate(zip(self.rows, self.times, strict=True)):
+            for pair in zip(row, row[1:], strict=False):
+                self.counts[pair] += n
+                self.holders.setdefault(pair, set()).add(i)
+        self.heap = [(-n, a, b) for (a, b), n in self.counts.items()]
+        heapq.heapify(self.heap)
+
+    def best(self) -> tuple[int, str, str] | None:
+        """(count, left, right) of the most frequent pair, ties by symbol."""
+        while self.heap:
+            n, a, b = self.heap[0]
+            if self.counts[a, b] == -n:
+                return -n, a, b
+            heapq.heappop(self.heap)  # the pair's count has changed since, which is on the heap as well
+        return None
+
+    def merge(self, a: str, b: str, merged: str) -> None:
+        """Put one symbol for the pair in all chains that have it."""
+        changes: Counter[tuple[str, str]] = Counter()
+        for i in self.holders.pop((a, b), ()):
+            row, n, joined, k = self.rows[i], self.times[i], [], 0
+            end = len(row) - 1
+            while k <= end:
+                if row[k] != a or k == end or row[k + 1] != b:
+                    joined.append(row[k])
+                    k += 1
+                    continue
+                changes[a, b] -= n
+                if joined:
+                    changes[joined[-1], a] -= n
+                    changes[joined[-1], merged] += n
+                    self.holders.setdefault((joined[-1], merged), set()).add(i)
+                joined.append(merged)
+                k += 2
+                if k <= end:  # if a merge follows here, it takes this back
+                    changes[b, row[k]] -= n
+                    changes[merged, row[k]] += n
+                    self.holders.setdefault((merged, row[k]), set()).add(i)
+            self.rows[i] = joined
+        for pair, n in changes.items():
+            if n:
+                self.counts[pair] += n
+                if self.counts[pair]:
+                    heapq.heappush(self.heap, (-self.counts[pair], *pair))
+
+
+def certain_merges(rows: list[tuple[str, int]], last: tuple[int, str] | None, known: dict[str, int], names: list[str], size: int, min_frequency: int) -> list[tuple[str, str]]:
+    """The next merges of training, as far as the chains tell them.
+
+    rows: all chains of the pairs looked at; last: (count, pair) of the last of these, if there
+    may be others. A pair outside of all chains comes behind the last one, and so does any that
+    arises from it: it has one symbol of a pair outside in place of a merge's symbol, is no more
+    frequent, and the new symbol sorts last. So training goes on in the chains alone until the
+    most frequent pair in them comes behind the last one. A merge whose symbol exists already ends this, as
+    the pairs of both origins add up. known and names, symbols by spelling and by number, grow.
     """
-    taken, used = [], set()
-    for left, right in pairs:
-        if left in used or right in used:
+    chained, merges = Chains(rows), []
+    while len(names) < size and (best := chained.best()):
+        n, a, b = best
+        if n < min_frequency or (last and (-n, a + b) > (-last[0], last[1])):
             break
-        taken.append((left, right))
-        used |= {left, right}
-        if left + right in known:
+        spelled = names[number(a)] + names[number(b)]
+        merges.append((a, b))
+        if spelled in known:
             break
-    return taken
-
-
-def _leading_pairs(counts: DataFrame, age: dict[str, int]) -> list[tuple[str, str]]:
-    """Some of the first pairs in the order count, left age, right age, without a gap."""
-    top = counts.orderBy(F.desc("n"), "left", "right").limit(CANDIDATES).collect()
-    if len(top) == CANDIDATES:
-        # pairs as frequent as the last one may be missing from the list
-        sure = [r for r in top if r["n"] > top[-1]["n"]]
-        if not sure:
-            ages = counts.sparkSession.createDataFrame(list(age.items()), "symbol string, age int")
-            left = F.broadcast(ages.select(F.col("symbol").alias("left"), F.col("age").alias("left_age")))
-            right = F.broadcast(ages.select(F.col("symbol").alias("right"), F.col("age").alias("right_age")))
-            aged = counts.where(F.col("n") == top[0]["n"]).join(left, "left").join(right, "right")
-            sure = aged.orderBy("left_age", "right_age").limit(CANDIDATES).collect()
-        top = sure
-    top.sort(key=lambda r: (-r["n"], age[r["left"]], age[r["right"]]))
-    return [(r["left"], r["right"]) for r in top]
+        known[spelled] = len(names)
+        names.append(spelled)
+        chained.merge(a, b, letter(known[spelled]))
+    return merges
+
+
+def number(symbol: str) -> int:
+    code = ord(symbol)
+    return (code if code < 0xD800 else code - 0x800) - 0x100
+
+
+def _merged(word: str, ranks: dict[tuple[str, str], int], joined: dict[tuple[str, str], str]) -> str:
+    if ranks.keys().isdisjoint(zip(word, word[1:], strict=False)):
+        return word
+    return "".join(segment(word, ranks, joined))
+
+
+def rewritten(words: DataFrame, merges: list[tuple[str, str]], known: dict[str, int], names: list[str]) -> DataFrame:
+    """Words (spelled, n) after some merges, written."""
+    ranks = {pair: i for i, pair in enumerate(merges)}
+    joined = {(a, b): letter(known[names[number(a)] + names[number(b)]]) for a, b in merges}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            spelled = [_merged(w, ranks, joined) for w in batch["spelled"]]
+            yield pd.DataFrame({"spelled": spelled, "n": batch["n"]})
+
+    rows = words.mapInPandas(run, "spelled string, n bigint")
+    return stage(rows.where(F.length("spelled") > 1), "bpe-spelled")
 
 
 def bpe_train(words: DataFrame, vocab_size: int = 30_000, min_frequency: int = 2) -> list[tuple[str, str]]:
     """Merges in learned order, from a written (word, n) table.
 
-    Each round counts pairs over the distinct words and looks only at the most frequent
-    ones. All leading pairs that do not touch each other are merged in the same round,
-    which gives the same merges as one per round in far fewer jobs. The driver holds the
-    symbols and merges, as many as the vocabulary has.
+    Words are spelled with a character for each symbol. A round takes the most frequent pairs and
+    cuts the distinct words, in tasks, into chains of these; equal chains are added up. The
+    driver trains on the chains as far as they determine the merges, often thousands, and the tasks
+    merge these in the words. It takes as many pairs as give chains that the driver can hold;
+    one pair needs none. The merges are those of counting anew after each.
     """
-    wrapped = F.transform(T.characters(F.col("word")), lambda c: F.concat(F.lit(OPEN), c, F.lit(CLOSE)))
-    current = words.where(F.length("word") > 1).select("n", F.concat_ws("", wrapped).alias("spelled"))
-    current = stage(current, "bpe-spelled")
-    age = {s: i for i, s in enumerate([*BPE_SPECIALS, *sorted(byte_symbols())])}
-    wanted = vocab_size - len(age)
-    merges: list[tuple[str, str]] = []
-    pending = 0
-    while len(merges) < wanted:
-        counts = _pair_counts(current).where(F.col("n") >= min_frequency)
-        taken = independent_prefix(_leading_pairs(counts, age), age)[: wanted - len(merges)]
-        if not taken:
+    names = [*BPE_SPECIALS, *sorted(byte_symbols())]
+    known = {s: i for i, s in enumerate(names)}
+    shown = "".join(sorted(byte_symbols()))
+    letters = "".join(letter(known[c]) for c in shown)
+    current = words.where(F.length("word") > 1).select(F.translate("word", shown, letters).alias("spelled"), "n")
+    current, merges, k = stage(current, "bpe-spelled"), [], 32
+    while len(names) < vocab_size:
+        top = top_pairs(current, k, min_frequency)
+        if not top:
             break
-        for a, b in taken:
-            merges.append((a, b))
-            age.setdefault(a + b, len(age))
-            merged = F.replace("spelled", F.lit(_wrapped(a, b)), F.lit(_wrapped(a + b)))
-            current = current.withColumn("spelled", merged)
-        pending += len(taken)
-        if pending >= MERGES_PER_TABLE:
-            current, pending = stage(current, "bpe-spelled"), 0
+        last = top[-1] if len(top) == k else None
+        rows = [(top[0][1], top[0][0])]
+        if len(top) > 1:
+            table = chains(current, {pair for _, pair in top})
+            size = table.agg(F.count("*").alias("rows"), F.sum(F.length("chain")).alias("symbols")).first()
+            if size["rows"] > MAX_CHAINS or size["symbols"] > MAX_SYMBOLS:
+                k = max(1, len(top) // 4)
+                continue
+            rows = [(r["chain"], r["n"]) for r in table.collect()]
+            if size["rows"] < FEW_CHAINS:
+                k = min(4 * k, MAX_PAIRS)
+        found = certain_merges(rows, last, known, names, vocab_size, min_frequency)
+        merges += [(names[number(a)], names[number(b)]) for a, b in found]
+        current = rewritten(current, found, known, names)
     return merges
 
 
@@ -144,22 +247,23 @@ def tokenizer_tables(spark, merges: list[tuple[str, str]]) -> tuple[DataFrame, D
     return vocab, spark.createDataFrame(rows, "rank int, left string, right string")
 
 
-def segment(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Apply the learned merges to one word, lowest rank first."""
+def segment(word: str, ranks: dict[tuple[str, str], int], joined: dict[tuple[str, str], str] | None = None) -> list[str]:
+    """Apply the learned merges to one word, lowest rank first; joined: the symbol of each merge."""
     parts = list(word)
     while len(parts) > 1:
         best = min(zip(parts, parts[1:], strict=False), key=lambda p: ranks.get(p, len(ranks)))
         if best not in ranks:
             break
-        joined, i = [], 0
+        symbol = joined[best] if joined else best[0] + best[1]
+        merged, i = [], 0
         while i < len(parts):
             if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
-                joined.append(parts[i] + parts[i + 1])
+                merged.append(symbol)
                 i += 2
             else:
-                joined.append(parts[i])
+                merged.append(parts[i])
                 i += 1
-        parts = joined
+        parts = merged
     return parts
 
 
