@@ -128,26 +128,38 @@ def _(t):
     return N.zero_shot_scores(X.tfidf(tokens), docs, N.label_profiles(tokens, "lang"))
 
 
-# The phrase list: the first word and the first two words of every benchmark text.
+# The phrase list: every run of one to four words of every benchmark text. SQL goes from each document's start on
+# behind a match or by one token, in doubled steps: 2 ** STEPS of them cover a document.
+STEPS = 17
+_REACHED = ",\n".join(
+    f"""s{k + 1} AS MATERIALIZED (SELECT * FROM s{k} UNION ALL SELECT s.doc_id, j.nxt FROM s{k} s JOIN j{k} j USING (doc_id, pos)),
+j{k + 1} AS MATERIALIZED (SELECT a.doc_id, a.pos, b.nxt FROM j{k} a JOIN j{k} b ON a.doc_id = b.doc_id AND a.nxt = b.pos)"""
+    for k in range(STEPS)
+)
 ENTITIES = f"""{WORDS},
 bt AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS t FROM benchmark),
-phrases AS (SELECT item_id, t[1] AS entity FROM bt WHERE len(t) >= 1 UNION ALL SELECT item_id, t[1] || ' ' || t[2] FROM bt WHERE len(t) >= 2),
-gaz AS (SELECT entity, ['PRODUCT', 'ORG', 'GPE', 'PERSON'][1 + min(item_id) % 4] AS type FROM phrases GROUP BY entity),
-grams AS (SELECT doc_id, pos AS start, 1 AS len, term AS entity FROM words
-  UNION ALL SELECT a.doc_id, a.pos, 2, a.term || ' ' || b.term FROM words a JOIN words b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1),
-cand AS (SELECT doc_id, start, max(len) AS len, arg_max(type, len) AS type, arg_max(entity, len) AS entity FROM grams JOIN gaz USING (entity) GROUP BY ALL),
-broken AS (SELECT *, CASE WHEN lag(start) OVER w = start - 1 AND lag(len) OVER w = 2 THEN 0 ELSE 1 END AS b FROM cand WINDOW w AS (PARTITION BY doc_id ORDER BY start)),
-runs AS (SELECT *, sum(b) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM broken),
-mentions AS (SELECT doc_id, start::INT AS start, len, type, entity FROM (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY start) AS k FROM runs) WHERE k % 2 = 1)"""
+sizes AS (SELECT unnest([1, 2, 3, 4]) AS n),
+places AS (SELECT item_id, t, unnest(range(1, len(t) + 1)) AS p FROM bt),
+gaz AS (SELECT entity, ['PRODUCT', 'ORG', 'GPE', 'PERSON'][1 + min(item_id) % 4] AS type
+  FROM (SELECT item_id, array_to_string(t[p:p + n - 1], ' ') AS entity FROM places, sizes WHERE p + n - 1 <= len(t)) GROUP BY entity),
+spots AS (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS p FROM toks),
+grams AS (SELECT doc_id, p - 1 AS start, n AS len, array_to_string(t[p:p + n - 1], ' ') AS entity FROM spots, sizes WHERE p + n - 1 <= len(t)),
+cand AS MATERIALIZED (SELECT doc_id, start, max(len) AS len, arg_max(type, len) AS type, arg_max(entity, len) AS entity FROM grams JOIN gaz USING (entity) GROUP BY ALL),
+j0 AS MATERIALIZED (SELECT words.doc_id, pos, pos + coalesce(len, 1) AS nxt FROM words LEFT JOIN cand ON cand.doc_id = words.doc_id AND start = pos),
+s0 AS (SELECT doc_id, 0::BIGINT AS pos FROM toks WHERE len(t) > 0),
+{_REACHED},
+mentions AS (SELECT c.doc_id, start::INT AS start, len, type, entity FROM cand c JOIN s{STEPS} s ON s.doc_id = c.doc_id AND s.pos = c.start)"""
 
 
 def _gazetteer(t):
     tokens = t.benchmark.select("item_id", T.word_tokens(F.col("text")).alias("tokens"))
-    heads = F.array(F.slice("tokens", 1, 1), F.slice("tokens", 1, 2))
-    phrases = tokens.where(F.size("tokens") > 0).select(
-        "item_id", F.explode(F.transform(heads, lambda h: F.array_join(h, " "))).alias("entity")
-    )
+
+    def runs(n: int):
+        starts = F.sequence(F.lit(1), F.size("tokens") - n + 1)
+        run = F.transform(starts, lambda i: F.array_join(F.slice("tokens", i, n), " "))
+        return F.when(F.size("tokens") >= n, run).otherwise(F.array().cast("array<string>"))
+
+    phrases = tokens.select("item_id", F.explode(F.concat(*[runs(n) for n in range(1, 5)])).alias("entity"))
     first = phrases.groupBy("entity").agg(F.min("item_id").alias("item_id"))
     types = F.array(*[F.lit(x) for x in ENTITY_TYPES])
     kind = F.get(types, (F.col("item_id") % 4).cast("int"))
@@ -177,7 +189,7 @@ def _(t):
     "iob_tags",
     f"""
     WITH {ENTITIES}, tags AS (SELECT doc_id, start AS pos, 'B-' || type AS tag FROM mentions
-      UNION ALL SELECT doc_id, start + 1, 'I-' || type FROM mentions WHERE len = 2)
+      UNION ALL SELECT doc_id, start + unnest(range(1, len)), 'I-' || type FROM mentions)
     SELECT doc_id, pos::INT AS pos, term AS token, coalesce(tag, 'O') AS tag FROM words LEFT JOIN tags USING (doc_id, pos)
     """,
 )
