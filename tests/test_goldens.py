@@ -253,12 +253,6 @@ def test_best_model_ties_go_to_the_first(spark):
     assert report_text == "Best model: A with accuracy 0.9000. All accuracies: {'A': 0.9000, 'B': 0.9000, 'C': 0.5000}"
 
 
-def test_too_many_categories_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(modelsel, "MAX_CATEGORIES", 2)
-    with pytest.raises(ValueError, match="more than 2"):
-        modelsel.categories(docs(spark, "a", "b", "c"), "text")
-
-
 def test_empty_lists_are_empty(spark):
     tokens = docs(spark, "").select(F.array(*map(F.lit, ["the", "was"])).alias("tokens"))
     assert cleaning.remove_stopwords(tokens, []).first().tokens == ["the", "was"]

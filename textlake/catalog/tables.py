@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from textlake.catalog.registry import query
 from textlake.operators import modelsel as M
 from textlake.operators import profile as P
+from textlake.plans.lookup import lookup
+from textlake.plans.staging import stage
 
 BANK = """bank AS (SELECT o_orderkey, o_totalprice, c_acctbal, o_orderpriority, c_mktsegment, o_orderstatus,
          CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS pos
@@ -132,8 +134,8 @@ def _(t):
     return rounded(P.correlation_matrix(t.lineitem, LINE), 6, "corr")
 
 
-def _encoded(t):
-    table = bank(t)
+def _encoded(t, table=None):
+    table = bank(t) if table is None else table
     train, _ = M.train_test_split(table, "o_orderkey")
     return table, M.fit_encoder(table, train, "o_orderstatus", NUMERIC, CATEGORICAL)
 
@@ -154,10 +156,8 @@ def _encoded(t):
 )
 def _(t):
     table, encoder = _encoded(t)
-    cells = encoder.apply(table, "o_orderkey")
-    named = F.arrays_zip(F.array(*[F.lit(n) for n in encoder.names()]).alias("feature"), F.col("features").alias("value"))
-    long = cells.select("o_orderkey", "label", F.explode(named).alias("e"))
-    return long.select("o_orderkey", "label", F.col("e.feature"), F.round("e.value", 6).alias("value"))
+    cells = encoder.cells(encoder.apply(table, "o_orderkey"), "o_orderkey")
+    return cells.select("o_orderkey", "label", "feature", F.round("value", 6).alias("value"))
 
 
 @query(
@@ -170,11 +170,11 @@ def _(t):
 
 
 def _predictions(t, names):
-    table, encoder = _encoded(t)
+    table = bank(t)
     table = table.withColumn("o_orderstatus", F.when(positive(), "yes").otherwise("no"))
-    encoder.classes = ["no", "yes"]
-    train, test = M.train_test_split(table, "o_orderkey")
-    return M.fit_predict(encoder.apply(train, "o_orderkey"), encoder.apply(test, "o_orderkey"), names)
+    table, encoder = _encoded(t, table)
+    train, test = (encoder.vectors(encoder.apply(part, "o_orderkey")) for part in M.train_test_split(table, "o_orderkey"))
+    return M.fit_predict(train, test, names)
 
 
 @query("fit_logistic_regression")
@@ -197,6 +197,11 @@ def _(t):
     return M.accuracy(_predictions(t, M.MODEL_NAMES))
 
 
+@query("best_trained_model")
+def _(t):
+    return M.model_report(stage(M.accuracy(_predictions(t, M.MODEL_NAMES)), "accuracies"))
+
+
 # One rule-based classifier per language: a text is good when it is not toxic.
 RULES = """preds AS (SELECT lang AS model, quality AS label, 1 - toxic AS prediction FROM labels JOIN documents USING (doc_id)),
 models AS (SELECT model, dense_rank() OVER (ORDER BY model) - 1 AS ordinal, label, prediction FROM preds),
@@ -205,11 +210,10 @@ acc AS (SELECT model, ordinal::INT AS ordinal, avg((label = prediction)::INT) AS
 
 def _rule_predictions(t):
     joined = t.labels.join(t.documents.select("doc_id", "lang"), "doc_id")
-    langs = M.categories(joined, "lang")
-    ordinal = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1
-    return joined.select(
+    langs = M.value_ranks(joined, "lang").withColumnRenamed("value", "lang")
+    return lookup(joined, langs, ["lang"], weight="n", how="inner").select(
         F.col("lang").alias("model"),
-        ordinal.cast("int").alias("ordinal"),
+        (F.col("rank") - 1).cast("int").alias("ordinal"),
         F.col("quality").alias("label"),
         (1 - F.col("toxic")).alias("prediction"),
     )

@@ -9,10 +9,19 @@ from pyspark.sql import functions as F
 
 from textlake.functions import text as T
 from textlake.operators.features import idf_table, tfidf_transform
-from textlake.operators.modelsel import categories
 from textlake.plans.lookup import lookup
 from textlake.plans.staging import stage
 
+MAX_CLASSES = 10_000  # classes to tell apart: each is a column of the model
+
+
+def class_list(df: DataFrame, column: str) -> list:
+    """Sorted distinct values of a column; an error, not a cut, when there are too many."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{column} has more than {MAX_CLASSES} classes")
+    return sorted(r[0] for r in rows)
+
 
 @dataclass
 class NaiveBayes:
@@ -27,7 +36,7 @@ class NaiveBayes:
 def nb_train(tokens: DataFrame, labels: DataFrame, alpha: float = 1.0) -> NaiveBayes:
     """Class priors and smoothed term log-likelihoods from (doc_id, tokens) and (doc_id, label)."""
     known = stage(tokens.join(labels, "doc_id").select("doc_id", "tokens", "label"), "nb-train")
-    classes = categories(known, "label")
+    classes = class_list(known, "label")
     sizes = known.agg(F.count("*"), *[F.count_if(F.col("label") == c) for c in classes]).first()
     priors = [n / sizes[0] for n in sizes[1:]]
     idf = idf_table(known.select("doc_id", "tokens"))
@@ -89,7 +98,7 @@ def zero_shot_scores(weights: DataFrame, docs: DataFrame, profiles: DataFrame) -
 
     weights: unit-length (doc_id, term, weight); docs keeps documents without any match.
     """
-    labels = categories(profiles, "label")
+    labels = class_list(profiles, "label")
     found = lookup(weights, profiles.select("label", "term", F.col("weight").alias("lw")), ["term"], how="inner")
     parts = [
         F.sum(F.when(F.col("label") == c, F.col("weight") * F.col("lw"))).alias(f"c{i}") for i, c in enumerate(labels)
