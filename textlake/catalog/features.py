@@ -102,7 +102,7 @@ def _(t):
     f"""
     WITH {WORDS}
     SELECT (SELECT count(*) FROM documents) AS n_docs, (SELECT sum(length(text))::BIGINT FROM documents) AS n_chars,
-           round((SELECT sum(length(text)) FROM documents) / 1e6, 2) AS size_mb, (SELECT count(*) FROM words) AS n_tokens,
+           round((SELECT sum(length(text)) FROM documents) / 1e6, 2) AS size_mb, (SELECT count(*) FROM words) AS n_tokens, (SELECT count(*) // 512 FROM words) AS n_samples,
            (SELECT count(*) FROM (SELECT DISTINCT doc_id, term FROM words)) AS n_cells,
            (SELECT count(DISTINCT term) FROM words) AS vocab_size
     """,

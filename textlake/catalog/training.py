@@ -12,6 +12,7 @@ from textlake.operators import bpe as B
 from textlake.operators import nextword as W
 from textlake.operators import sequences as S
 from textlake.operators import vocab as V
+from textlake.plans.staging import stage, stacked
 
 SEQS = f"""{RAW},
 vocab AS (SELECT token, row_number() OVER (ORDER BY seen) + 2 AS id FROM (
@@ -74,16 +75,19 @@ def _(t):
 @query(
     "next_token_samples",
     f"""
-    WITH {SEQS}, s AS (SELECT id AS k, ('0x' || substr(md5('42:' || id), 1, 12))::BIGINT % ((SELECT n FROM size) - 128) AS start
-      FROM (SELECT unnest(range(greatest(1, (SELECT n FROM size) // (128 * 32)) * 32)) AS id)),
-    pos AS (SELECT k, start, start + unnest(range(129)) AS place_no, unnest(range(129)) AS j FROM s)
-    SELECT (k // 32)::BIGINT AS batch_no, (k % 32)::BIGINT AS row_no, pos.start,
+    WITH {SEQS}, cut AS (SELECT floor(n * 0.9::DOUBLE)::BIGINT AS c, n FROM size),
+    parts AS (SELECT 'train' AS part, 0 AS low, c AS size FROM cut UNION ALL SELECT 'val', c, n - c FROM cut),
+    s AS (SELECT part, id AS k, low + ('0x' || substr(md5('42:' || id), 1, 12))::BIGINT % (size - 128) AS start
+      FROM (SELECT *, unnest(range(greatest(1, size // (128 * 32)) * 32)) AS id FROM parts)),
+    pos AS (SELECT part, k, start, start + unnest(range(129)) AS place_no, unnest(range(129)) AS j FROM s)
+    SELECT part, (k // 32)::BIGINT AS batch_no, (k % 32)::BIGINT AS row_no, pos.start,
       string_agg(id::VARCHAR, ' ' ORDER BY j) FILTER (j < 128) AS inputs, string_agg(id::VARCHAR, ' ' ORDER BY j) FILTER (j > 0) AS targets
-    FROM pos JOIN stream USING (place_no) GROUP BY k, pos.start
+    FROM pos JOIN stream USING (place_no) GROUP BY part, k, pos.start
     """,
 )
 def _(t):
-    found = S.next_token_samples(_sequences(t))
+    seqs = _sequences(t)
+    found = stacked([S.next_token_samples(seqs, part=p).withColumn("part", F.lit(p)) for p in ("train", "val")])
     return found.withColumns({c: joined(c) for c in ("inputs", "targets")})
 
 
@@ -226,3 +230,44 @@ def _(t):
 def _(t):
     words, vocab, merges = _tokenizer(t)
     return B.bpe_decode(B.bpe_encode(t.documents, vocab, merges, words), vocab)
+
+
+# The stream of byte pairs, with newlines between documents. Documents are whole again when their ids are decoded.
+def _byte_pairs(t):
+    words, vocab, merges = _tokenizer(t)
+    return S.byte_pair_sequences(t.documents, vocab, merges), vocab
+
+
+@query("token_blocks_bpe")
+def _(t):
+    return S.token_blocks(_byte_pairs(t)[0]).select("block_id", joined("input_ids").alias("input_ids"))
+
+
+@query("next_token_samples_bpe")
+def _(t):
+    seqs, _ = _byte_pairs(t)
+    found = stacked([S.next_token_samples(seqs, part=p).withColumn("part", F.lit(p)) for p in ("train", "val")])
+    return found.withColumns({c: joined(c) for c in ("inputs", "targets")})
+
+
+@query("contiguous_split_bpe", "SELECT doc_id, coalesce(text, '') || chr(10) AS text FROM documents")
+def _(t):
+    seqs, vocab = _byte_pairs(t)
+    split = S.contiguous_split(seqs)
+    return B.bpe_decode(split.select("doc_id", F.concat("train_ids", "val_ids").alias("ids")), vocab)
+
+
+@query(
+    "sft_tokenize_bpe",
+    f"WITH {CHAT} SELECT conv_id, true AS begins_text, true AS whole_if_short FROM chat",
+)
+def _(t):
+    texts = S.sft_format(t.conversations)
+    words = B.word_counts(texts)
+    vocab, merges = B.tokenizer_tables(t.spark, B.bpe_train(words))
+    coded = S.sft_encode(texts, vocab, merges).select(F.col("conv_id").alias("doc_id"), F.col("input_ids").alias("ids"), F.size("attention_mask").alias("n"))
+    coded = stage(coded, "sft")
+    back = B.bpe_decode(coded, vocab).select(F.col("doc_id").alias("conv_id"), F.rtrim(F.col("text"), F.lit("\ufffd")).alias("back"))
+    rows = texts.join(back, "conv_id").join(coded.select(F.col("doc_id").alias("conv_id"), "n"), "conv_id")
+    whole = (F.col("n") == 512) | (F.col("back") == F.col("text"))
+    return rows.select("conv_id", F.col("text").startswith(F.col("back")).alias("begins_text"), whole.alias("whole_if_short"))

@@ -125,8 +125,11 @@ def top_terms(weights: DataFrame, k: int = 5) -> DataFrame:
     return weights.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def corpus_stats(docs: DataFrame) -> DataFrame:
-    """One row: documents, characters, size in millions, tokens, matrix cells, vocabulary."""
+def corpus_stats(docs: DataFrame, block: int = 512) -> DataFrame:
+    """One row: documents, characters, size in millions, tokens, training samples, matrix cells, vocabulary.
+
+    A training sample is a full block of tokens of all documents put end to end.
+    """
     tokens = docs.select(F.length("text").alias("chars"), T.word_tokens(F.col("text")).alias("tokens"))
     terms = tokens.select(T.each("tokens").alias("term")).distinct()
     return tokens.agg(
@@ -134,6 +137,7 @@ def corpus_stats(docs: DataFrame) -> DataFrame:
         F.sum("chars").alias("n_chars"),
         F.round(F.sum("chars") / F.lit(1e6), 2).alias("size_mb"),
         F.sum(F.size("tokens")).alias("n_tokens"),
+        F.floor(F.sum(F.size("tokens")) / F.lit(block)).alias("n_samples"),
         F.sum(F.size(F.array_distinct("tokens"))).alias("n_cells"),
     ).select("*", terms.agg(F.count("*")).scalar().alias("vocab_size"))
 

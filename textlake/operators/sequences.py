@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from textlake.functions import fixed
 from textlake.functions import text as T
+from textlake.operators.bpe import bpe_encode
 from textlake.operators.chunks import window_count
 from textlake.operators.vocab import encode_tokens
-from textlake.plans.ranking import grand_total, running_total, split_points
+from textlake.plans.lookup import lookup
+from textlake.plans.ranking import grand_total, running_total
 from textlake.plans.staging import stage
 
 
@@ -35,11 +37,13 @@ def token_windows(seqs: DataFrame, size: int = 256, step: int = 128, pad_id: int
 def with_offsets(seqs: DataFrame) -> DataFrame:
     """Add `start`: the position of a document's first id when all documents are put end to end.
 
-    `seqs` should be a written table; the ranges are cut on doc_id alone.
+    `seqs` should be a written table with one row per doc_id. Only ids and sizes of documents are
+    ranked; the sequences meet their positions in a lookup.
     """
-    points = split_points(seqs, ["doc_id"])
-    upto = running_total(seqs, ["doc_id"], F.size("ids"), out="_upto", points=points)
-    return upto.withColumn("start", F.col("_upto") - F.size("ids")).drop("_upto")
+    sizes = stage(seqs.select("doc_id", F.size("ids").alias("_n")), "sizes")
+    upto = running_total(sizes, ["doc_id"], F.col("_n"), out="_upto")
+    starts = stage(upto.select("doc_id", (F.col("_upto") - F.col("_n")).alias("start")), "starts")
+    return lookup(seqs, starts, ["doc_id"], how="inner")
 
 
 def _blocks(placed: DataFrame, size: int) -> DataFrame:
@@ -93,18 +97,23 @@ def contiguous_split(seqs: DataFrame, share: float = 0.9) -> DataFrame:
     )
 
 
-def next_token_samples(seqs: DataFrame, context: int = 128, batch: int = 32, n_batches: int | None = None, seed: int = 42) -> DataFrame:
+def next_token_samples(
+    seqs: DataFrame, context: int = 128, batch: int = 32, n_batches: int | None = None, seed: int = 42, part: str | None = None, share: float = 0.9
+) -> DataFrame:
     """(batch_no, row_no, start, inputs, targets): contexts at hashed start positions.
 
-    Targets are the inputs one position later. By default there are as many batches as
-    the stream could fill once.
+    Targets are the inputs one position later. part takes samples from the training or the validation
+    side ("train", "val") of `contiguous_split` alone: no context or target crosses the cut. By
+    default there are as many batches as that stretch of the stream could fill once.
     """
     total = grand_total(seqs, F.size("ids"))
-    if total <= context:
-        raise ValueError(f"the stream has {total} ids, a sample needs {context + 1}")
-    n_batches = n_batches or max(1, total // (context * batch))
+    cut = int(share * total)
+    low, high = {None: (0, total), "train": (0, cut), "val": (cut, total)}[part]
+    if high - low <= context:
+        raise ValueError(f"the stream has {high - low} ids, a sample needs {context + 1}")
+    n_batches = n_batches or max(1, (high - low) // (context * batch))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
-    start = F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint") % F.lit(total - context)
+    start = F.lit(low) + F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint") % F.lit(high - low - context)
     starts = seqs.sparkSession.range(n_batches * batch).withColumn("start", start)
     first = F.floor(F.col("start") / context)
     wanted = starts.select("id", "start", F.explode(F.array(first, first + 1)).alias("block_id"))
@@ -161,3 +170,17 @@ def staged_sequences(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     return stage(encode_tokens(tokens, vocab).select("doc_id", "ids"), "sequences")
 
 
+def byte_pair_sequences(docs: DataFrame, vocab: DataFrame, merges: DataFrame, words: DataFrame | None = None) -> DataFrame:
+    """Written (doc_id, ids) of whole documents in byte pairs, each with the newline that parts it from the next.
+
+    A null text is empty; its newline stays.
+    """
+    lines = docs.select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).alias("text"))
+    return stage(bpe_encode(lines, vocab, merges, words), "byte-pairs")
+
+
+def sft_encode(texts: DataFrame, vocab: DataFrame, merges: DataFrame, max_length: int = 512) -> DataFrame:
+    """(conv_id, input_ids, attention_mask): byte pairs of a chat text, cut to max_length."""
+    coded = bpe_encode(texts.select(F.col("conv_id").alias("doc_id"), "text"), vocab, merges)
+    ids = F.slice("ids", 1, max_length)
+    return coded.select(F.col("doc_id").alias("conv_id"), ids.alias("input_ids"), F.array_repeat(F.lit(1), F.size(ids)).alias("attention_mask"))
