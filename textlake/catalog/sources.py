@@ -55,6 +55,21 @@ def _(t):
     return corpus.groupBy(source.alias("source")).agg(F.sum(F.length("text")).alias("n_chars"))
 
 
+@query(
+    "read_text_lines",
+    """
+    SELECT source, sum(len(string_split(text, chr(10))))::BIGINT AS n_lines, sum(length(replace(text, chr(10), '')))::BIGINT AS n_chars
+    FROM documents GROUP BY source
+    """,
+)
+def _(t):
+    path = new_path(t.spark, "corpus-lines")
+    t.documents.select("source", "text").write.partitionBy("source").text(path)
+    source = F.regexp_extract("path", "source=([^/]*)/", 1)
+    lines = S.read_text_lines(t.spark, path).groupBy(source.alias("source"))
+    return lines.agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
+
+
 @query(
     "write_digest_files",
     r"""

@@ -203,7 +203,20 @@ def _(t):
 def _(t):
     tokens = t.documents.select(F.explode(T.word_tokens(F.col("text"))).alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
-    return counts.select("token", C.lemma_column(F.col("token")).alias("lemma"), "n")
+    return C.lemma_lookup(counts, C.lemma_table(t.spark)).select("token", "lemma", "n")
+
+
+@query(
+    "lemmatize_documents",
+    f"""
+    WITH {WORDS}, lemmas(form, lemma) AS (VALUES {LEMMA_SQL})
+    SELECT doc_id, coalesce(tokens, '') AS tokens FROM documents LEFT JOIN (
+      SELECT doc_id, string_agg(coalesce(lemma, term), ' ' ORDER BY pos) AS tokens FROM words LEFT JOIN lemmas ON form = term GROUP BY doc_id) USING (doc_id)
+    """,
+)
+def _(t):
+    tokens = t.documents.select("doc_id", T.word_tokens(F.col("text")).alias("tokens"))
+    return C.lemmatize_with(tokens, C.lemma_table(t.spark)).select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
 @query(

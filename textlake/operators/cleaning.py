@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlake.functions import fixed
 from textlake.functions import text as T
+from textlake.plans.lookup import lookup
+from textlake.plans.staging import stage
 
 
 def upper_stage(df: DataFrame) -> DataFrame:
@@ -81,7 +83,34 @@ def lemmatize(df: DataFrame, lemmas: dict[str, str] | None = None) -> DataFrame:
     return df.withColumn("tokens", F.transform("tokens", lambda t: lemma_column(t, lemmas)))
 
 
+def lemma_table(spark: SparkSession, lemmas: dict[str, str] | None = None) -> DataFrame:
+    """Written (form, lemma) of a small dictionary."""
+    rows = list((fixed.LEMMAS if lemmas is None else lemmas).items())
+    return stage(spark.createDataFrame(rows, "form string, lemma string"), "lemmas")
+
+
+def lemma_lookup(words: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Add the lemma of each `token` from a written table (form, lemma), the token itself when unknown."""
+    forms = dictionary.select(F.col("form").alias("token"), F.col("lemma").alias("_lemma"))
+    found = lookup(words, forms, ["token"])
+    return found.withColumn("lemma", F.coalesce("_lemma", "token")).drop("_lemma")
+
+
+def lemmatize_with(df: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(doc_id, tokens) in dictionary forms, from a written table (form, lemma) of any size, one row per form.
+
+    A document's distinct tokens are looked up; only the known ones are gathered again, and the
+    document's tokens are replaced in the row.
+    """
+    words = df.select("doc_id", T.each(F.array_distinct("tokens")).alias("form"))
+    known = lookup(words, dictionary.select("form", "lemma"), ["form"], how="inner")
+    maps = known.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_lemmas"))
+    rows = df.join(maps, "doc_id", "left")
+    changed = F.transform("tokens", lambda t: F.coalesce(F.element_at("_lemmas", t), t))
+    return rows.withColumn("tokens", F.when(F.col("_lemmas").isNull(), F.col("tokens")).otherwise(changed)).drop("_lemmas")
+
+
 def normalise_corpus(df: DataFrame, stop: list[str] | None = None) -> DataFrame:
-    """Clean, tokenize, drop stop words, reduce to dictionary forms; one narrow job."""
+    """Clean, tokenize, drop stop words, reduce to dictionary forms; one narrow job with a small dictionary."""
     tokens = df.transform(clean_text).select("doc_id", T.word_tokens(F.col("text")).alias("tokens"))
     return tokens.transform(lambda d: remove_stopwords(d, stop)).transform(lemmatize)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,11 +26,30 @@ def read_text_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """(path, text): every *.txt file below a folder, one row per file."""
     reader = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True)
     files = reader.text(folder, wholetext=True)
-    if not files.inputFiles():
+    if files.isEmpty():  # reads one file; no list of them comes to the driver
         raise FileNotFoundError(f"no .txt files below {folder}")
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def read_text_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, block_start, place, line): every line of every *.txt file below a folder.
+
+    Files are read by byte ranges in parallel, so that a file may be of any size; a row of
+    `read_text_corpus` holds a whole file and thus 2 GB at most. Lines of a file are in order of
+    (block_start, place).
+    """
+    reader = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True).option("lineSep", "\n")
+    lines = reader.text(folder)
+    if lines.isEmpty():
+        raise FileNotFoundError(f"no lines in .txt files below {folder}")
+    return lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("place"),
+        F.col("value").alias("line"),
+    )
+
+
 def write_digest_files(digests: DataFrame, folder: str, timestamp: str) -> DataFrame:
     """Write one text per topic into a folder named from the timestamp and the topic.
 
@@ -53,9 +72,10 @@ def write_digest_files(digests: DataFrame, folder: str, timestamp: str) -> DataF
 
 def write_processed_corpus(docs: DataFrame, path: str) -> DataFrame:
     """Write cleaned documents and return them read back; fails if rows were lost."""
-    docs.write.mode("overwrite").parquet(path)
+    seen = Observation()  # counts the rows while they are written
+    docs.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     back = docs.sparkSession.read.schema(docs.schema).parquet(path)
-    written, wanted = back.count(), docs.count()
+    written, wanted = back.count(), seen.get["n"]
     if written != wanted:
         raise OSError(f"wrote {written} rows of {wanted} to {path}")
     return back
