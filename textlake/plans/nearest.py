@@ -11,9 +11,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlake.plans.inverted import Lists
 from textlake.plans.ranking import running_total
 from textlake.plans.staging import stage, stacked
 
@@ -161,19 +164,38 @@ def nearest_sparse(rows: DataFrame, id_col: str, queries: DataFrame, k: int, dig
         terms = {t: i for i, t in enumerate(sorted(taken["term"].unique()))}
         weights = np.zeros((len(terms), len(names)))
         weights[taken["term"].map(terms), taken["query_id"].map({q: i for i, q in enumerate(names)})] = taken["weight"]
-        parts.append(scan_block(rows, id_col, names, _sparse_score(terms, weights, digits), k))
+        parts.append(_scan_lists(rows, id_col, names, terms, weights, k, digits))
     return keep_best(parts, rows, id_col, k)
 
 
-def _sparse_score(terms: dict[str, int], weights: np.ndarray, digits: int) -> Score:
-    def score(batch: pd.DataFrame) -> np.ndarray:
-        out = np.full((len(batch), weights.shape[1]), np.nan)
-        for r, cells in enumerate(batch["cells"]):
-            shared = [(terms[c["term"]], c["weight"]) for c in cells if c["term"] in terms]
-            if shared:
-                places, values = zip(*shared, strict=True)
-                found = np.asarray(values) @ weights[list(places)]
-                out[r, found > 0] = np.round(found[found > 0], digits)
-        return out
+def _scan_lists(rows: DataFrame, id_col: str, names: list[int], terms: dict[str, int], weights: np.ndarray, k: int, digits: int) -> DataFrame:
+    """One pass: (query_id, id, score), at most k rows per query and task, by inverted lists of each batch."""
+    slack = 10.0**-digits
+    asked = [(np.flatnonzero(weights[:, q]), weights[weights[:, q] != 0, q]) for q in range(len(names))]
 
-    return score
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(list(terms), pa.string())
+        kept: Found = (np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0))
+        bars = np.full(len(names), -np.inf)
+        for batch in batches:
+            cells = batch.column("cells")
+            ids = batch.column(id_col).to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.list_value_length(cells), 0).to_numpy()
+            flat = cells.flatten()
+            which = pc.index_in(flat.field("term"), known)
+            hit = which.is_valid().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(ids)), sizes)[hit]
+            lists = Lists(row, which.drop_null().to_numpy(), flat.field("weight").to_numpy(zero_copy_only=False)[hit], len(ids), len(terms))
+            found = [kept]
+            for q, (own, weight) in enumerate(asked):
+                near, scores = lists.best(own, weight, k, bars[q], slack)
+                if len(near):
+                    found.append((np.full(len(near), q), ids[near], np.round(scores, digits)))
+            kept = prune(tuple(np.concatenate(p) for p in zip(*found, strict=True)), k)
+            ends = np.searchsorted(kept[0], np.arange(len(names)), "right")
+            full = np.bincount(kept[0], minlength=len(names)) == k
+            bars[full] = kept[2][ends[full] - 1]
+        if len(kept[0]):
+            yield pa.RecordBatch.from_pydict({"query_id": np.asarray(names)[kept[0]], id_col: kept[1], "score": kept[2]})
+
+    return rows.mapInArrow(run, f"query_id bigint, {id_col} bigint, score double")
