@@ -112,3 +112,31 @@ def test_any_text(transducer, libraries, text):
 @given(st.lists(st.integers(0, 50_255), max_size=60))
 def test_any_ids(transducer, libraries, ids):
     assert "".join(transducer.decode(ids)) == libraries[BYTES].decode(ids, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("word", ["слово", "mots", "été", "中", "á", "ß"])
+def test_texts_of_any_script_take_linear_time(transducer, libraries, word):
+    """Every word is a stretch of its own, and long texts are cut in chunks."""
+    text = f"{word} " * 200_000
+    transducer.forget()
+    most = max(len(b) for b in transducer.blobs(text))
+    assert most <= 4 * bpe_stream.STRETCH
+    short = text[: 5000 * (len(word) + 1)] + "  \n" + " " * 3000 + word
+    assert [i for some in transducer.encode(short) for i in some] == libraries[BYTES].encode(short, add_special_tokens=False).ids
+
+
+def test_chunks_change_nothing(transducer, libraries, monkeypatch):
+    monkeypatch.setattr(bpe_stream, "CHUNK", 7)
+    for _, text in docs_of(5):
+        ids = [i for some in transducer.encode(text or "") for i in some]
+        assert ids == libraries[BYTES].encode(text or "", add_special_tokens=False).ids
+
+
+def test_memory_is_bounded_and_freed(transducer, libraries, monkeypatch):
+    monkeypatch.setattr(bpe_stream, "REMEMBERED", 5000)
+    text = " ".join(f"word{i}" for i in range(2000))
+    ids = [i for some in transducer.encode(text) for i in some]
+    assert transducer.held <= 5000 + 1000 and len(transducer.known) < 40
+    assert ids == libraries[BYTES].encode(text, add_special_tokens=False).ids
+    list(bpe_stream.encoded(iter([]), open(BYTES, encoding="utf-8").read()))
+    assert not bpe_stream.transducer(open(BYTES, encoding="utf-8").read()).known

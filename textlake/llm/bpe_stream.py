@@ -8,7 +8,8 @@ emitted, and encoding goes on behind them. The state is a window of that size. D
 the tokens' bytes to a byte-to-text state machine, so that characters may straddle tokens.
 
 Text is first split into pieces by the vocabulary's fixed pattern; pieces never merge with one
-another, and a stretch that follows a visible character and starts with a blank is split alone.
+another, and a stretch that starts with a blank behind a character that is no white space is split
+alone. Short stretches are remembered with their ids, up to a bound in bytes, until the task ends.
 
 Defined results: a null or empty text has no ids and decodes to the empty text. Strings of
 special tokens become their ids, as the library does it. Repeated rows are encoded row by row.
@@ -20,7 +21,9 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
-from collections.abc import Callable, Iterator
+import re
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,10 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textlake.llm.arrays import ranges
+
 # Fixed value: how byte-level vocabularies split text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 STRETCH = 64  # characters of a stretch that is remembered
-REMEMBERED = 300_000  # stretches and pieces that a task remembers
+REMEMBERED = 128_000_000  # bytes of stretches and ids that a task remembers, about
+ENTRY = 200  # bytes of an entry besides
+MARKS = set(",.;:!?")
+CHUNK = 1_000_000  # characters of a text that are cut into stretches at once, and up to the next cut
+BOUNDARY = re.compile(r"(?<=\S) ")
 AT_ONCE = 8192  # ids decoded at once
 NO_MERGE, _RESULT = 1 << 62, (1 << 32) - 1
 
@@ -77,6 +86,9 @@ class MergeList:
             longest = max(longest, reach)
         return longest
 
+    def singles(self, part: bytes) -> list[int]:
+        return [x for x in map(self.single.__getitem__, part) if x is not None]
+
     def merged(self, ids: list[int]) -> list[int]:
         """All merges, in rank order, the leftmost first."""
         if len(ids) < 48:
@@ -125,7 +137,7 @@ class MergeList:
         start, size = 0, window
         while start < len(piece):
             part = piece[start : start + size]
-            ids = self.merged([x for x in map(self.single.__getitem__, part) if x is not None])
+            ids = self.merged(self.singles(part))
             if start + size >= len(piece):
                 yield ids
                 return
@@ -159,58 +171,106 @@ class Transducer:
         self.bytes_of = self.merges.bytes_of | {i: t.encode() for t, i in self.special.items()}
         names = sorted(self.special, key=len, reverse=True)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
-        self.pieces: Callable[[str], list[str]] = regex.compile(PATTERN).findall
-        self.stretches: dict[str, list[int]] = {}
-        self.known: dict[str, list[int]] = {}
-
-    def piece(self, text: str) -> list[int]:
-        if (ids := self.known.get(text)) is None:
-            raw = text.encode("utf-8", "replace")
-            ids = [i for some in self.merges.stream(raw) for i in some]
-            if len(text) <= STRETCH:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[text] = ids
+        self.pattern = regex.compile(PATTERN)
+        self.table = np.frombuffer(b"".join(self.bytes_of[i] for i in sorted(self.bytes_of)), "uint8")
+        sizes = np.zeros(max(self.bytes_of) + 1, "int64")
+        sizes[sorted(self.bytes_of)] = [len(self.bytes_of[i]) for i in sorted(self.bytes_of)]
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the remembered stretches."""
+        self.known: dict[str, bytes] = {}
+        self.held = 0
+
+    def _learned(self, text: str) -> bytes:
+        """Ids of a short stretch, which are remembered."""
+        word = text[1:] if text[0] == " " else text
+        if word.isalpha():
+            ids = self._piece(text)
+        elif word[-1:] in MARKS and word[:-1].isalpha():
+            mark = word[-1]
+            ids = (self.known.get(text[:-1]) or self._learned(text[:-1])) + (self.known.get(mark) or self._learned(mark))
+        else:
+            pieces = self.pattern.findall(text)
+            ids = b"".join([self.known.get(p) or self._learned(p) for p in pieces]) if len(pieces) > 1 else self._piece(text)
+        self.held += ENTRY + 2 * len(text) + len(ids)
+        if self.held > REMEMBERED:
+            self.forget()
+        self.known[text] = ids
         return ids
 
-    def stretch(self, text: str) -> list[int]:
-        ids = [i for p in self.pieces(text) for i in self.piece(p)]
-        if len(text) <= STRETCH:
-            if len(self.stretches) >= REMEMBERED:
-                self.stretches.clear()
-            self.stretches[text] = ids
-        return ids
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece no longer than a window."""
+        return array("I", self.merges.merged(self.merges.singles(piece.encode("utf-8", "replace")))).tobytes()
 
-    def encode(self, text: str) -> Iterator[list[int]]:
-        """Ids of a text, stretch by stretch."""
+    def _streamed(self, piece: str) -> Iterator[bytes]:
+        for ids in self.merges.stream(piece.encode("utf-8", "replace")):
+            yield array("I", ids).tobytes()
+
+    def _stretch(self, text: str) -> Iterator[bytes]:
+        """Ids of a stretch that is not remembered."""
+        if len(text) <= STRETCH:
+            yield self._learned(text)
+            return
+        for found in self.pattern.finditer(text):
+            if len(piece := found[0]) <= STRETCH:
+                yield self.known.get(piece) or self._learned(piece)
+            else:
+                yield from self._streamed(piece)
+
+    def blobs(self, text: str) -> Iterator[bytes]:
+        """Ids of a text, stretch by stretch, as little-endian unsigned 32-bit integers."""
         if self.split_special and any(name in text for name in self.special):
             for part in self.split_special(text):
                 if part in self.special:
-                    yield [self.special[part]]
+                    yield array("I", [self.special[part]]).tobytes()
                 else:
                     yield from self._plain(part)
         else:
             yield from self._plain(text)
 
-    def _plain(self, text: str) -> Iterator[list[int]]:
-        known, held = self.stretches, ""
+    def encode(self, text: str) -> Iterator[list[int]]:
+        """Ids of a text, stretch by stretch."""
+        for blob in self.blobs(text):
+            yield np.frombuffer(blob, "<u4").tolist()
+
+    def _plain(self, text: str) -> Iterator[bytes]:
+        """A blank behind what is no white space always begins a piece: the text is cut there."""
+        start = 0
+        while start < len(text):
+            edge = BOUNDARY.search(text, start + CHUNK) if len(text) - start > CHUNK else None
+            end = edge.start() if edge else len(text)
+            yield from self._chunk(text[start:end] if end - start < len(text) else text)
+            start = end
+
+    def _chunk(self, text: str) -> Iterator[bytes]:
+        known, waiting, blank = self.known, [], ""
         parts = text.split(" ")
         last = len(parts) - 1
         for number, part in enumerate(parts):
-            held = f"{held} {part}" if number else part
-            # a blank behind a visible ASCII character always begins a piece
-            if number < last and not (part and "!" <= part[-1] <= "~"):
+            held = blank + part
+            blank = " "
+            if number < last and (not part or part[-1].isspace()):
+                waiting.append(held)
                 continue
+            if waiting:
+                waiting.append(held)
+                held, waiting = "".join(waiting), []
             if held:
                 ids = known.get(held)
-                yield self.stretch(held) if ids is None else ids
-            held = ""
+                if ids is None:
+                    yield from self._stretch(held)
+                    known = self.known  # it may have been dropped
+                else:
+                    yield ids
 
-    def decode(self, ids: list[int]) -> Iterator[str]:
+    def decode(self, ids: list[int] | np.ndarray) -> Iterator[str]:
         """The text of ids; bytes that are no text become U+FFFD."""
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
+        machine, ids = codecs.getincrementaldecoder("utf-8")("replace"), np.asarray(ids, "int64")
         for i in range(0, len(ids), AT_ONCE):
-            yield machine.decode(b"".join(map(self.bytes_of.__getitem__, ids[i : i + AT_ONCE])))
+            some = ids[i : i + AT_ONCE]
+            yield machine.decode(self.table[ranges(self.starts[some], self.sizes[some])].tobytes())
         yield machine.decode(b"", True)
 
 
@@ -224,44 +284,49 @@ def transducer(rules: str) -> Transducer:
     return _transducer(rules)
 
 
-def encode(docs: DataFrame, rules_path: str) -> DataFrame:
-    """docs with ids, the token ids of text, as little-endian unsigned 32-bit integers."""
-    docs = docs.drop("ids")
-    with open(rules_path, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+ROWS = 256  # encoded or decoded at once
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = transducer(shared.value)
+
+def encoded(batches: Iterator[pa.RecordBatch], rules: str) -> Iterator[pa.RecordBatch]:
+    """Batches with ids; what was remembered is dropped at the end of the task, whose worker goes on."""
+    own = transducer(rules)
+    try:
         for batch in batches:
-            column = batch.column("text")
-            for row in range(0, batch.num_rows, 256):
-                part = batch.slice(row, 256)
-                blobs = []
-                for text in column.slice(row, 256):
-                    ids: list[int] = []
-                    for some in own.encode(text.as_py() or ""):
-                        ids += some
-                    blobs.append(np.array(ids, "<u4").tobytes())
+            for row in range(0, batch.num_rows, ROWS):
+                part = batch.slice(row, ROWS)
+                blobs = [b"".join(own.blobs(text.as_py() or "")) for text in part.column("text")]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(blobs, pa.binary())], names=[*part.schema.names, "ids"])
+    finally:
+        own.forget()
 
-    return docs.mapInArrow(run, f"{_ddl(docs)}, ids binary")
 
+def decoded(batches: Iterator[pa.RecordBatch], rules: str) -> Iterator[pa.RecordBatch]:
+    """Batches with the text of ids."""
+    own = transducer(rules)
+    for batch in batches:
+        for row in range(0, batch.num_rows, ROWS):
+            part = batch.slice(row, ROWS)
+            texts = ["".join(own.decode(np.frombuffer(x.as_py(), "<u4"))) for x in part.column("ids")]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
 
-def decode(tokens: DataFrame, rules_path: str) -> DataFrame:
-    """tokens with decoded, the text of ids."""
-    tokens = tokens.drop("decoded")
+
+def _shared(df: DataFrame, rules_path: str):
     with open(rules_path, encoding="utf-8") as file:
-        shared = tokens.sparkSession.sparkContext.broadcast(file.read())
+        return df.sparkSession.sparkContext.broadcast(file.read())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = transducer(shared.value)
-        for batch in batches:
-            for row in range(0, batch.num_rows, 256):
-                part = batch.slice(row, 256)
-                texts = ["".join(own.decode(np.frombuffer(x.as_py(), "<u4").tolist())) for x in part.column("ids")]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
 
-    return tokens.mapInArrow(run, f"{_ddl(tokens)}, decoded string")
+def encode(docs: DataFrame, rules_path: str) -> DataFrame:
+    """docs with ids, the token ids of text, as little-endian unsigned 32-bit integers."""
+    docs = docs.drop("ids")
+    shared = _shared(docs, rules_path)
+    return docs.mapInArrow(lambda batches: encoded(batches, shared.value), f"{_ddl(docs)}, ids binary")
+
+
+def decode(tokens: DataFrame, rules_path: str) -> DataFrame:
+    """tokens with decoded, the text of ids."""
+    tokens = tokens.drop("decoded")
+    shared = _shared(tokens, rules_path)
+    return tokens.mapInArrow(lambda batches: decoded(batches, shared.value), f"{_ddl(tokens)}, decoded string")
 
 
 def _ddl(df: DataFrame) -> str:
@@ -270,7 +335,14 @@ def _ddl(df: DataFrame) -> str:
 
 def digested(docs: DataFrame, rules_path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text, encoded and decoded again."""
-    done = decode(encode(docs.select("doc_id", "text"), rules_path).drop("text"), rules_path)
+    docs = docs.select("doc_id", "text")
+    shared = _shared(docs, rules_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = (batch.drop_columns(["text"]) for batch in encoded(batches, shared.value))
+        return decoded(tokens, shared.value)  # in the same worker, a few rows at a time
+
+    done = docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary, decoded string")
     return done.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
