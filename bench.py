@@ -35,6 +35,9 @@ HEADLINES = [
     "extract_entities",
     "fit_logistic_regression",
     "lda_topics",
+    "bpe_train",
+    "encode_features",
+    "lemmatize_documents",
 ]
 
 
