@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from textwrap import dedent
 
@@ -59,3 +60,10 @@ raw_words AS (SELECT doc_id, unnest(t) AS token, unnest(range(len(t))) AS pos FR
 
 def quoted(words: list[str]) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+def filled_sql(template: str, **columns: str) -> str:
+    """SQL of a text with expressions in place of its {names}."""
+    text = lambda part: "'" + part.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+    parts = re.split(r"\{(\w+)\}", template)
+    return " || ".join(columns[part] if i % 2 else text(part) for i, part in enumerate(parts))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textlake.catalog.features import words_of
-from textlake.catalog.registry import RAW, WORDS, query
+from textlake.catalog.registry import RAW, WORDS, filled_sql, query
 from textlake.catalog.vocab import joined
 from textlake.functions import text as T
+from textlake.functions.fixed import CHAT_FORMAT
 from textlake.operators import bpe as B
 from textlake.operators import nextword as W
 from textlake.operators import sequences as S
@@ -103,10 +104,9 @@ def _(t):
     return S.shuffled_batches(t.documents, "doc_id", size=16, epochs=2)
 
 
-CHAT = """pairs AS (SELECT conv_id, arg_min(text, turn) FILTER (role = 'user') AS problem, arg_min(text, turn) FILTER (role = 'assistant') AS answer
+CHAT = f"""pairs AS (SELECT conv_id, arg_min(text, turn) FILTER (role = 'user') AS problem, arg_min(text, turn) FILTER (role = 'assistant') AS answer
   FROM conversations GROUP BY conv_id),
-chat AS (SELECT conv_id, '<|begin_of_text|><|start_header_id|>user<|end_header_id|>' || chr(10) || repeat(' ', 24) || problem
-  || '<|eot_id|><|start_header_id|>assistant<|end_header_id|>' || chr(10) || repeat(' ', 24) || answer || '<|eot_id|>' AS text
+chat AS (SELECT conv_id, {filled_sql(CHAT_FORMAT, problem="problem", answer="answer")} AS text
   FROM pairs WHERE problem IS NOT NULL AND answer IS NOT NULL)"""
 
 

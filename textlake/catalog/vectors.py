@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textlake.catalog.features import words_of
-from textlake.catalog.registry import query
+from textlake.catalog.registry import filled_sql, query
+from textlake.functions.fixed import PROMPT_FORMAT
 from textlake.operators import chunks as K
 from textlake.operators import digest as D
 from textlake.operators import quantize as Q
@@ -140,8 +141,7 @@ def _(t):
 @query(
     "build_prompts",
     f"""
-    WITH {RETRIEVED} SELECT item_id AS query_id, 'Answer the question based only on the following context: ' || coalesce(context, '')
-      || chr(10) || '        Question: ' || text || chr(10) || chr(10) || '        Helpful Answer:' AS prompt
+    WITH {RETRIEVED} SELECT item_id AS query_id, {filled_sql(PROMPT_FORMAT, context="coalesce(context, '')", question="text")} AS prompt
     FROM benchmark LEFT JOIN contexts ON query_id = item_id
     """,
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,3 +83,9 @@ def page_text(html: Column) -> Column:
         html, r"(?is)<head\b.*?</head>|<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", " "
     )
     return F.trim(F.regexp_replace(F.regexp_replace(body, r"(?s)<[^>]*>", " "), r"\s+", " "))
+
+
+def filled(template: str, **columns: Column) -> Column:
+    """A text with columns in place of its {names}."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[columns[part] if i % 2 else F.lit(part) for i, part in enumerate(parts)])

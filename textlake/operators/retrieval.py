@@ -51,11 +51,8 @@ def assemble_context(found: DataFrame, chunks: DataFrame) -> DataFrame:
 
 def build_prompts(contexts: DataFrame, questions: DataFrame) -> DataFrame:
     """(query_id, prompt): the question with its context; an empty context when nothing was found."""
-    before, middle, after = fixed.PROMPT_FORMAT
     joined = questions.join(contexts, "query_id", "left")
-    prompt = F.concat(
-        F.lit(before), F.coalesce("context", F.lit("")), F.lit(middle), F.col("text"), F.lit(after)
-    )
+    prompt = T.filled(fixed.PROMPT_FORMAT, context=F.coalesce("context", F.lit("")), question=F.col("text"))
     return joined.select("query_id", prompt.alias("prompt"))
 
 

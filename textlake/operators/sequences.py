@@ -148,8 +148,7 @@ def sft_format(conversations: DataFrame) -> DataFrame:
     first = lambda role: F.min_by(F.when(F.col("role") == role, F.col("text")), F.when(F.col("role") == role, F.col("turn")))
     pairs = conversations.groupBy("conv_id").agg(first("user").alias("problem"), first("assistant").alias("answer"))
     pairs = pairs.where(F.col("problem").isNotNull() & F.col("answer").isNotNull())
-    before, middle, after = fixed.CHAT_FORMAT
-    text = F.concat(F.lit(before), F.col("problem"), F.lit(middle), F.col("answer"), F.lit(after))
+    text = T.filled(fixed.CHAT_FORMAT, problem=F.col("problem"), answer=F.col("answer"))
     return pairs.select("conv_id", text.alias("text"))
 
 
