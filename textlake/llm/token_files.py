@@ -37,7 +37,7 @@ BLOCK = 1024  # ids of a block
 MAGIC = b"TLS8B\x01\0\0"
 CACHED_WORDS = 200_000  # words whose ids a task remembers
 TAIL = ".,;:!?"  # punctuation that often ends a word
-# ids and bits of each selector, most ids first; selector 0 is the escape
+# Ids and bits of each selector, most ids first; selector 0 is the escape
 SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 _LONGEST = SELECTORS[0][0]
 
