@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,20 +97,82 @@ def test_no_task_gets_more_than_two_blocks(spark, monkeypatch):
     sides = []
     cogroup = GroupedData.cogroup
     monkeypatch.setattr(GroupedData, "cogroup", lambda one, two: sides.extend([one._df, two._df]) or cogroup(one, two))
-    # one bucket: 20 components of 10 classes and 100 classes of their own, all alike by their sketches
+    # one bucket: 20 components of 10 classes and 100 classes of their own, all alike by their sketches;
+    # sets are equal within ten of 30 classes each
     rows = []
     for i in range(300):
         root = i // 10 if i < 200 else i
         rows.append((0, 7, f"n{i:03d}".encode(), 50, [0] * 24, f"r{root:03d}".encode(), root != 0, i == 0))
     kind = "band tinyint, value bigint, node binary, n bigint, sketch array<bigint>, root binary, outside boolean, first boolean"
-    found = {(bytes(r["a"]), bytes(r["b"])) for r in minhash._across(spark.createDataFrame(rows, kind), 85).collect()}
-    names = [(r[2], r[5], r[6]) for r in rows if not r[7]]
-    expected = {(a, b) for a, x, u in names for b, y, v in names if a < b and x != y and (u or v)}
-    assert found == expected
+    blobs = [(r[2], np.arange(1000 * (i % 10), 1000 * (i % 10) + 50, dtype="uint64").tobytes()) for i, r in enumerate(rows)]
+    sets = spark.createDataFrame(blobs, "node binary, shingles binary")
+
+    def across(rows):
+        return minhash._across(spark.createDataFrame(rows, kind), 85, lambda nodes: sets.join(nodes, "node", "left_semi"))
+
+    names = {r[2]: (i % 10, r[5]) for i, r in enumerate(rows)}
+    links = [(bytes(r["a"]), bytes(r["b"])) for r in across(rows).collect()]
+    assert all(names[a][0] == names[b][0] and names[a][1] != names[b][1] for a, b in links)
+
+    def joined(links):
+        top = {n: n for n in [*names, *(r for _, r in names.values())]}
+
+        def find(x):
+            while top[x] != x:
+                x = top[x]
+            return x
+
+        for a, b in [*links, *((n, r) for n, (_, r) in names.items())]:
+            top[find(a)] = find(b)
+        return {frozenset(n for n in names if find(n) == t) for t in map(find, names)}
+
+    every = [(a, b) for a in list(names)[1:] for b in list(names)[1:] if names[a][0] == names[b][0]]
+    assert joined(links) == joined(every)
     for side in sides:
-        keys = [c for c in side.columns if c not in ("node", "root", "n", "sketch")]
+        keys = [c for c in side.columns if c not in ("node", "root", "n", "sketch", "shingles")]
         assert side.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 40
     # blocks of one component are not compared with each other
     same = [(*r[:5], b"r", True, r[7]) for r in rows]
     sides.clear()
-    assert minhash._across(spark.createDataFrame(same, kind), 85).count() == 0 and sides[0].count() == 0
+    assert across(same).count() == 0 and sides[0].count() == 0
+
+
+def block(rows: list[tuple]) -> pa.Table:
+    node, root, sets = zip(*rows, strict=True)
+    _, sketch = minhash.signatures(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    return pa.table({
+        "node": pa.array(node, pa.binary()), "root": pa.array(root, pa.binary()), "n": pa.array([len(s) for s in sets], pa.int64()),
+        "sketch": pa.array(sketch.view("int64").tolist(), pa.list_(pa.int64())), "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
+    })
+
+
+def test_blocks_give_a_forest():
+    rng = np.random.default_rng(1)
+    text = rng.integers(0, 1 << 63, 200).astype("uint64")
+    # copies of one text, each with so many other shingles: linked only if few are changed in both
+    rows = []
+    for i in range(240):
+        kept = rng.permutation(200)[: rng.choice([198, 185, 170])]
+        other = rng.integers(0, 1 << 63, 200 - len(kept)).astype("uint64")
+        rows.append((f"n{i:03d}".encode(), f"n{i - i % 3:03d}".encode(), np.sort(np.append(text[kept], other))))
+    one, two = rows[:120], rows[60:]
+    found = list(zip(*minhash.forest(block(one), block(two), 85), strict=True))
+    sets, roots = {r[0]: r[2] for r in rows}, {r[0]: r[1] for r in rows}
+
+    def linked(a, b):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        return 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both)
+
+    assert all(linked(a, b) and roots[a] != roots[b] for a, b in found)
+
+    def tops(links):
+        top = dict(roots)
+        for a, b in links:
+            x, y = top[a], top[b]
+            top = {n: y if t == x else t for n, t in top.items()}
+        return {frozenset(n for n in top if top[n] == t) for t in top.values()}
+
+    every = [(a[0], b[0]) for a in one for b in two if linked(a[0], b[0])]
+    assert tops(found) == tops(every) and len(tops(every)) < 80
+    # each link joins two components, so there are fewer than classes
+    assert len(found) == len(set(roots.values())) - len(tops(found))

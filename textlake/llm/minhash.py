@@ -9,8 +9,9 @@ Candidates are settled in three rounds, so that not all pairs of a bucket are fo
 class is compared with the likest of its buckets' first classes, which joins the many copies of
 a text; then with those of the other first classes that it isn't joined with yet. Last, in
 buckets that still hold several components, the classes outside the first one's component
-are compared with the rest, block by block on both sides. No pair that could join two components
-is left out.
+are compared with the rest, block by block on both sides: a task confirms on the full sets of its
+two blocks, joins components as it goes and returns only links that join some. No pair that could
+join two components is left out.
 
 Defined results: null, empty or blank texts have no shingles and are linked with nothing; a
 text with fewer words than a shingle is one shingle. Rows with equal sets, repeated rows
@@ -20,7 +21,7 @@ any other. Extra columns don't matter.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,8 @@ SIMILARITY = 80  # percent of the union that two linked sets share
 BANDS, ROWS = 24, 5  # a pair at 0.8 is missed with probability 0.00007, at 0.85 with 0.0000008
 BINS, BITS = 256, 512  # samples that an odd sketch folds, and its bits
 ALL_BITS = 1024  # of the odd sketch of the whole set, which is sharp for all but long texts
-BLOCK = 1024  # classes of a bucket that are compared with as many others of it at once
+BLOCK = 512  # classes of a bucket that are compared with as many others of it at once
+BLOCK_BYTES = 16_000_000  # of their shingle sets; a larger set is a block of its own, about
 
 _SAMPLES = BANDS * ROWS
 _FACTORS = spreads(_SAMPLES, 101) | np.uint64(1)
@@ -197,19 +199,24 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-def _across(members: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of a bucket that lie in different components, neither of them the first class.
+def _across(members: DataFrame, similarity: int, fetch: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Confirmed links (a, b) of a bucket's classes that join all components its pairs can join.
 
-    members: (band, value, node, n, sketch, root, outside, first). Classes outside the first one's
-    component are dealt out in blocks, and so is all of the bucket; each block meets each, in a
-    task of two blocks. Two blocks that lie in the same component alone do not meet.
+    members: (band, value, node, n, sketch, root, outside, first); fetch gives the (node,
+    shingles) of a table of nodes. Classes outside the first one's component are dealt out in
+    blocks, by number and by bytes, and so is all of the bucket; each block meets each, in a task
+    of two blocks, which compares the full sets of what sketches leave. A pair of blocks gives a
+    forest: fewer links than it has classes. Two blocks that lie in the same component alone do
+    not meet.
     """
     # the first class has met all others
     rest = members.where("not first")
-    sizes = rest.groupBy("band", "value").agg(F.count("*").alias("size"), F.count(F.when(F.col("outside"), 1)).alias("out"))
+    blocks = lambda rows, shingles: F.ceil(F.greatest(F.count(rows) / BLOCK, F.sum(shingles) * 8 / BLOCK_BYTES))
+    outer = F.when(F.col("outside"), F.col("n"))
+    sizes = rest.groupBy("band", "value").agg(blocks("n", "n").alias("all"), blocks(outer, outer).alias("out"))
     dealt = rest.join(stage(sizes.where("out > 0"), "bucket-sizes"), ["band", "value"])
-    block = lambda size, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.ceil(F.col(size) / BLOCK)).cast("int")
-    dealt = stage(dealt.withColumn("left", F.when(F.col("outside"), block("out", 1))).withColumn("right", block("size", 2)), "dealt")
+    block = lambda count, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(count)).cast("int")
+    dealt = stage(dealt.withColumn("left", F.when(F.col("outside"), block("out", 1))).withColumn("right", block("all", 2)), "dealt")
     span = [F.min("root").alias("low"), F.max("root").alias("high")]
     lefts = dealt.where("outside").groupBy("band", "value", "left").agg(*span)
     rights = dealt.groupBy("band", "value", "right").agg(*span).withColumnsRenamed({"low": "_low", "high": "_high"})
@@ -217,32 +224,61 @@ def _across(members: DataFrame, similarity: int) -> DataFrame:
     met = stage(met.select("band", "value", "left", "right"), "block-pairs")
     left = dealt.where("outside").drop("right").join(met, ["band", "value", "left"])
     right = dealt.drop("left").join(met, ["band", "value", "right"])
+    sets = fetch(left.select("node").union(right.select("node")).distinct())
 
     def run(one: pa.Table, two: pa.Table) -> pa.Table:
-        def plain(t: pa.Table):
-            column = lambda c, kind: np.array(t.column(c).to_pylist(), kind)
-            sketch = np.asarray(t.column("sketch").combine_chunks().flatten()).view("uint64").reshape(t.num_rows, -1)
-            return column("node", object), column("root", object), column("n", "int64"), sketch
-
-        found_a, found_b = [], []
-        if one.num_rows and two.num_rows:
-            node_a, root_a, n_a, sketch_a = plain(one)
-            node_b, root_b, n_b, sketch_b = plain(two)
-            for i in range(len(node_a)):
-                bits, total = np.bitwise_count(sketch_b ^ sketch_a[i]), n_b + n_a[i]
-                near = bits[:, : BITS // 64].sum(axis=1) <= most_different(np.minimum(total, BINS), similarity, np.sqrt)
-                near &= bits[:, BITS // 64 :].sum(axis=1) <= most_apart(total, similarity)
-                size = 100 * np.minimum(n_a[i], n_b) >= similarity * np.maximum(n_a[i], n_b)
-                hit = np.flatnonzero(near & size & (root_b != root_a[i]))
-                found_a += [min(node_a[i], node_b[j]) for j in hit]
-                found_b += [max(node_a[i], node_b[j]) for j in hit]
-        return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
+        a, b = forest(one, two, similarity) if one.num_rows and two.num_rows else ([], [])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     keys = ["band", "value", "left", "right"]
-    columns = [*keys, "node", "root", "n", "sketch"]
+    columns = [*keys, "node", "root", "n", "sketch", "shingles"]
     # renamed, because both sides come from one table
-    left, right = left.select(columns), right.select(columns).toDF(*columns)
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "a binary, b binary").distinct()
+    left, right = (side.join(sets, "node").select(columns).toDF(*columns) for side in (left, right))
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "a binary, b binary")
+
+
+def forest(one: pa.Table, two: pa.Table, similarity: int) -> tuple[list[bytes], list[bytes]]:
+    """Links between the classes of two blocks, each of which joins two components.
+
+    Sketches and sizes are compared at once for all of the second block, full sets for those
+    they leave, and only where the components differ by then.
+    """
+    node, root, n, sketch, blobs = [], [], [], [], []
+    for t in (one, two):
+        node.append(t.column("node").to_pylist())
+        root += t.column("root").to_pylist()
+        n.append(t.column("n").to_numpy())
+        sketch.append(np.asarray(t.column("sketch").combine_chunks().flatten()).view("uint64").reshape(t.num_rows, -1))
+        blobs += [np.frombuffer(x.as_buffer(), "uint64") for x in t.column("shingles")]
+    _, root = np.unique(np.array(root, object), return_inverse=True)
+    root_a, root_b = np.split(root, [len(n[0])])
+    shingles, numbers = np.unique(np.concatenate(blobs), return_inverse=True)
+    starts = np.cumsum(np.append(0, np.concatenate(n)))
+    start_b = starts[len(n[0]) : -1]
+    inside = np.zeros(len(shingles), "int32")
+    found_a, found_b = [], []
+    for i, size in enumerate(n[0]):
+        other = np.flatnonzero((root_b != root_a[i]) & (100 * np.minimum(size, n[1]) >= similarity * np.maximum(size, n[1])))
+        bits, total = np.bitwise_count(sketch[1][other] ^ sketch[0][i]), n[1][other] + size
+        near = bits[:, : BITS // 64].sum(axis=1, dtype="int64") <= most_different(np.minimum(total, BINS), similarity, np.sqrt)
+        near &= bits[:, BITS // 64 :].sum(axis=1, dtype="int64") <= most_apart(total, similarity)
+        other = other[near]
+        if not len(other):
+            continue
+        own = numbers[starts[i] : starts[i + 1]]
+        inside[own] = 1
+        shared = np.add.reduceat(inside[numbers[ranges(start_b[other], n[1][other])]], np.cumsum(n[1][other]) - n[1][other])
+        inside[own] = 0
+        linked = other[100 * shared >= similarity * (n[1][other] + size - shared)]
+        joined, first = np.unique(root_b[linked], return_index=True)
+        for j in linked[first]:
+            found_a.append(min(node[0][i], node[1][j]))
+            found_b.append(max(node[0][i], node[1][j]))
+        if len(joined):
+            target = root_a[i]
+            root_a[np.isin(root_a, joined)] = target
+            root_b[np.isin(root_b, joined)] = target
+    return found_a, found_b
 
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -286,11 +322,12 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     now = stage(now, "buckets")
     open_ = now.groupBy("band", "value").agg(F.max("outside").alias("open")).where("open").drop("open")
     now = stage(now.join(open_, ["band", "value"]).join(looks, "node"), "buckets")
-    pairs = stage(_across(now, similarity), "candidates")
-    more = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    new = classes.join(more.join(sets.select("node"), "node", "left_anti"), "node")
-    sets = sets.union(full_sets(docs, new))
-    roots = components(links.union(confirmed(pairs, sets, similarity)))
+
+    def fetch(nodes: DataFrame) -> DataFrame:
+        new = classes.join(nodes.join(sets.select("node"), "node", "left_anti"), "node")
+        return sets.union(full_sets(docs, new))
+
+    roots = components(links.union(_across(now, similarity, fetch)))
     # smallest document of each component, by class
     owned = classes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = owned.groupBy("root").agg(F.min("doc_id").alias("component_id"))
