@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -140,3 +141,31 @@ def test_memory_is_bounded_and_freed(transducer, libraries, monkeypatch):
     assert ids == libraries[BYTES].encode(text, add_special_tokens=False).ids
     list(bpe_stream.encoded(iter([]), open(BYTES, encoding="utf-8").read()))
     assert not bpe_stream.transducer(open(BYTES, encoding="utf-8").read()).known
+
+
+def test_memory_of_words_is_bounded(libraries, monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_BYTES", 20_000)
+    monkeypatch.setattr(token_files, "NEW_WORDS", 40)
+    rng = random.Random(7)
+    letters = "abcdeIJé'.,!"
+    texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(200)) for _ in range(30)] + ODD
+    with open(WORDS, encoding="utf-8") as file:
+        own = token_files.Encoder(file.read())
+    for i in range(0, len(texts), 4):
+        ids, sizes = own.encode(pa.array(texts[i : i + 4], pa.string()))
+        expected = [[*libraries[WORDS].encode(t or "", add_special_tokens=False).ids, 1] for t in texts[i : i + 4]]
+        assert sizes.tolist() == list(map(len, expected)) and ids.tolist() == [x for e in expected for x in e]
+        # what a chunk of new words adds at most, their parts included
+        assert own.held <= 20_000 + 3 * 40 * (token_files.WORD_BYTES + 100) + 8 * 5000
+
+
+@pytest.mark.parametrize("most", [1, 700, 5000, 1_000_000])
+def test_files_are_read_by_parts(spark, libraries, most):
+    docs = docs_of(3)
+    df = spark.createDataFrame(docs, SCHEMA).coalesce(1)
+    listed = token_files.write_tokens(df, WORDS).orderBy("part").collect()
+    parts = [part for r in listed for part in token_files.read_file(r["path"], most)]
+    assert all(len(ids) <= most or len(sizes) == 1 for ids, _, sizes, _ in parts)
+    expected = [[*libraries[WORDS].encode(t or "", add_special_tokens=False).ids, 1] for _, t in docs]
+    found = [ids.tolist() for some, _, sizes, _ in parts for ids in np.split(some, np.cumsum(sizes)[:-1])]
+    assert sorted(found) == sorted(expected)

@@ -35,7 +35,10 @@ from textlake.plans.staging import new_path, stage
 END = 1  # id after each document
 BLOCK = 1024  # ids of a block
 MAGIC = b"TLS8B\x01\0\0"
-CACHED_WORDS = 200_000  # words whose ids a task remembers
+CACHED_BYTES = 48_000_000  # of words whose ids a worker remembers, and at most NEW_WORDS more
+WORD_BYTES = 190  # that a remembered word takes besides its letters and ids
+NEW_WORDS = 10_000  # words that are looked up at once
+READ_IDS = 1_000_000  # ids that are decoded at once, or those of one document
 TAIL = ".,;:!?"  # punctuation that often ends a word
 # Ids and bits of each selector, most ids first; selector 0 is the escape
 SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
@@ -160,66 +163,83 @@ class Encoder:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {"": []}
+        self.held = 0  # bytes of it, about
         self.ids = np.empty(1 << 16, "uint32")
         self.used = 0
         self.places = np.empty((1 << 16, 2), "int64")  # start and number of the ids of each word
 
-    def learn(self, words: list[str]) -> None:
-        """Ids of new words: plain letters by the vocabulary's model, others by all its rules."""
-        split = []
-        for word in words:
-            core = word.rstrip(TAIL)
-            # letters, then punctuation: the rules part them, and lower the letters
-            split.append((core.lower(), word[len(core) :]) if core.isascii() and core.isalpha() else (word, ""))
-        new = {part for pair in split for part in pair if part and part not in self.parts}
-        tokenize = self.library.model.tokenize
-        for part in new:
-            if part.isascii() and part.isalpha() and part.islower():
-                self.parts[part] = [token.id for token in tokenize(part)]
-        self.by_rules([part for part in new if part not in self.parts])
-        found = [self.parts[core] + self.parts[tail] if tail else self.parts[core] for core, tail in split]
-        sizes = np.array([len(x) for x in found], "int64")
-        total = int(sizes.sum())
+    def keep(self, words: list[str], ids: list[int], sizes: list[int]) -> None:
+        """Remember words that are not known yet, with their ids one after the other."""
+        first, total = len(self.known), len(ids)
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.ids[self.used : self.used + total] = [i for x in found for i in x]
-        first = len(self.known)
         while first + len(words) > len(self.places):
             self.places = np.concatenate([self.places, np.empty_like(self.places)])
-        self.places[first : first + len(words), 0] = self.used + np.cumsum(sizes) - sizes
+        self.ids[self.used : self.used + total] = ids
+        self.places[first : first + len(words), 0] = self.used + np.cumsum(np.append(0, sizes))[:-1]
         self.places[first : first + len(words), 1] = sizes
         self.known.update(zip(words, range(first, first + len(words)), strict=True))
         self.used += total
+        self.held += WORD_BYTES * len(words) + 4 * total + 4 * sum(map(len, words))
+
+    def learn(self, words: list[str]) -> None:
+        """Ids of new words: plain letters by the vocabulary's model, others by all its rules.
 
-    def by_rules(self, words: list[str]) -> None:
-        """Encode words joined by blanks; offsets tell whose each id is."""
+        A word of letters and punctuation is put together from these, which are known words then.
+        """
+        split: dict[str, tuple[str, str]] = {}
+        for word in words:
+            core = word.rstrip(TAIL)
+            # letters, then punctuation: the rules part them, and lower the letters
+            if core.isascii() and core.isalpha() and (len(core) < len(word) or not core.islower()):
+                split[word] = core.lower(), word[len(core) :]
+        parts = dict.fromkeys(word for word in words if word not in split)
+        parts.update((part, None) for pair in split.values() for part in pair if part and part not in self.known)
+        plain, other, ids, sizes = [], [], [], []
+        for part in parts:
+            (plain if part.isascii() and part.isalpha() and part.islower() else other).append(part)
+        for part in plain:
+            some = [token.id for token in self.library.model.tokenize(part)]
+            ids += some
+            sizes.append(len(some))
+        self.keep(plain, ids, sizes)
+        self.keep(other, *self.by_rules(other))
+        # parts may be among the words, as words of their own
+        split = {word: pair for word, pair in split.items() if word not in self.known}
+        at = np.array([[self.known[core], self.known[tail] if tail else -1] for core, tail in split.values()], "int64").reshape(-1, 2)
+        sizes = self.places[at, 1] * (at >= 0)
+        taken = self.ids[ranges(self.places[at, 0].reshape(-1), sizes.reshape(-1))]
+        self.keep(list(split), taken, sizes.sum(axis=1))
+
+    def by_rules(self, words: list[str]) -> tuple[list[int], np.ndarray]:
+        """(ids, ids of each word) of words joined by blanks; offsets tell whose each id is."""
         found = self.library.encode(" ".join(words), add_special_tokens=False)
         begins = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
         at = np.array(found.offsets, "int64").reshape(-1, 2)[:, 0]
-        ends = np.cumsum(np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(words)))
-        ids, first = found.ids, 0
-        for word, last in zip(words, ends.tolist(), strict=True):
-            self.parts[word] = ids[first:last]
-            first = last
+        return found.ids, np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(words))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids with the end id behind each text, ids of each text)."""
-        if len(self.known) > CACHED_WORDS or len(self.parts) > CACHED_WORDS:
-            self.clear()
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         words = split.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
-        number = list(map(self.known.get, distinct))
-        if None in number:
-            new = [w for w, n in zip(distinct, number, strict=True) if n is None]
-            for i in range(0, len(new), 10_000):
-                self.learn(new[i : i + 10_000])
-            number = list(map(self.known.__getitem__, distinct))
-        place = self.places[number][words.indices.to_numpy()] if distinct else self.places[:0]
-        starts, counts = place[:, 0], place[:, 1]
+        own, sizes = [np.empty(0, "uint32")], [np.empty(0, "int64")]
+        for i in range(0, len(words.dictionary), NEW_WORDS):
+            if self.held > CACHED_BYTES:
+                self.clear()
+            some = words.dictionary.slice(i, NEW_WORDS).to_pylist()
+            new = [word for word in some if word and word not in self.known]
+            if new:
+                self.learn(new)
+            if "" in some and "" not in self.known:
+                self.keep([""], [], [0])
+            place = self.places[list(map(self.known.__getitem__, some))]
+            own.append(self.ids[ranges(place[:, 0], place[:, 1])])
+            sizes.append(place[:, 1])
+        ids, size = np.concatenate(own), np.concatenate(sizes)
+        which = words.indices.to_numpy()
+        counts = size[which]
         ends = np.append(0, np.cumsum(counts))
-        found = self.ids[ranges(starts, counts)]
+        found = ids[ranges((np.cumsum(size) - size)[which], counts)]
         upto = ends[np.cumsum(pc.list_value_length(split).to_numpy())]
         return np.insert(found, upto, END), np.diff(upto, prepend=0) + 1
 
@@ -289,16 +309,25 @@ def write_tokens(docs: DataFrame, rules_path: str) -> DataFrame:
     return stage(rows.mapInArrow(run, "path string, part bigint, ids bigint, docs bigint"), "token-files")
 
 
-def read_file(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, document ids, document sizes, which document ids are null) of a file."""
-    raw = files.read_range(path)
-    if raw[:8] != MAGIC:
-        raise ValueError(f"{path} is no token file")
-    blocks, docs, count = np.frombuffer(raw[-24:], "<i8").tolist()
-    words = np.frombuffer(raw, "<u8", count, 8)
-    rest = np.frombuffer(raw, "<i8", blocks + 3 * docs, 8 + 8 * count)
-    starts, doc_ids, sizes, nulls = np.split(rest, [blocks, blocks + docs, blocks + 2 * docs])
-    return decode_blocks(words, starts, int(sizes.sum())), doc_ids, sizes, nulls.astype(bool)
+def read_file(path: str, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, document ids, document sizes, which document ids are null) of a file's documents in order.
+
+    A part has documents of `most` ids together (READ_IDS) or a single one, and reads the blocks that hold them.
+    """
+    most = READ_IDS if most is None else most
+    with files.open_input(path) as file:
+        if file.read_at(8, 0) != MAGIC:
+            raise ValueError(f"{path} is no token file")
+        blocks, docs, count = np.frombuffer(file.read_at(24, file.size() - 24), "<i8").tolist()
+        rest = np.frombuffer(file.read_at(8 * (blocks + 3 * docs), 8 + 8 * count), "<i8")
+        starts, doc_ids, sizes, nulls = np.split(rest, [blocks, blocks + docs, blocks + 2 * docs])
+        begins, offsets = np.append(starts, count), np.append(0, np.cumsum(sizes))
+        for row, upto in pieces(offsets, most):
+            zero, end = offsets[row], offsets[upto]
+            first, last = zero // BLOCK, -(-end // BLOCK)
+            words = np.frombuffer(file.read_at(8 * int(begins[last] - begins[first]), 8 + 8 * int(begins[first])), "<u8")
+            ids = decode_blocks(words, starts[first:last] - begins[first], int(min(last * BLOCK, offsets[-1]) - first * BLOCK))
+            yield ids[zero - first * BLOCK : end - first * BLOCK], doc_ids[row:upto], sizes[row:upto], nulls[row:upto].astype(bool)
 
 
 def read_tokens(listed: DataFrame) -> DataFrame:
@@ -308,16 +337,13 @@ def read_tokens(listed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
-                ids, doc_ids, sizes, nulls = read_file(path)
-                ends = np.cumsum(sizes)
-                for row in range(0, len(sizes), 512):
-                    some = slice(row, row + 512)
-                    zero = ends[row] - sizes[row]
-                    lists = pa.ListArray.from_arrays(np.append(0, ends[some] - zero).astype("int32"), ids[zero : ends[some][-1]].astype("int64"))
+                for ids, doc_ids, sizes, nulls in read_file(path):
+                    ends = np.append(0, np.cumsum(sizes))
+                    lists = pa.ListArray.from_arrays(ends.astype("int32"), ids.view("int64"))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(doc_ids[some], mask=nulls[some]), pa.array(start + ends[some] - sizes[some]), pa.array(sizes[some]), lists],
-                        names=["doc_id", "start", "n_tokens", "ids"],
+                        [pa.array(doc_ids, mask=nulls), pa.array(start + ends[:-1]), pa.array(sizes), lists], names=["doc_id", "start", "n_tokens", "ids"]
                     )
+                    start += ends[-1]
 
     spread = max(1, listed.sparkSession.sparkContext.defaultParallelism)
     kinds = "doc_id bigint, start bigint, n_tokens bigint, ids array<bigint>"
