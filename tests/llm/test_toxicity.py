@@ -96,7 +96,8 @@ def test_length_is_no_evidence(spark):
     df = spark.createDataFrame(docs + long, SCHEMA)
     rows = {r["doc_id"]: r for r in toxicity.toxic_scores(df, labels).collect()}
     assert [rows[i]["predicted"] for i in (9000, 9001, 9002, 9003)] == [0, 0, 1, 0]
-    assert rows[9001]["score"] == rows[9003]["score"] == 0.0 and rows[9002]["n_offending"] == 1
+    # words that no labelled text has say nothing: the base rate is left
+    assert 0 < rows[9001]["score"] == rows[9003]["score"] < 0.2 and rows[9002]["n_offending"] == 1
 
 
 def test_rare_words_of_many_labels(spark):
@@ -142,5 +143,65 @@ def test_weak_words_do_not_add_up():
     words, which = np.unique(b.word, return_inverse=True)
     weights = np.full(len(words), 4.0)  # 0.05 a sentence
     weights[which[-1]] = 12.0
-    hazard, once = toxicity.Model(words, weights).hazards(b)
-    assert hazard[:100_000].sum() > 100 and b.text[once].tolist() == [1]
+    model = toxicity.Model(words, weights)
+    hazard, once = model.hazards(b)
+    # the likeliest of the weak ones counts, and all that offend
+    assert hazard[:100_000].sum() > 100 and b.text[once].tolist() == [0, 1]
+    scores, _ = model.scores(b, 2)
+    assert scores[0] < 0.1 and scores[1] > 0.99
+
+
+def test_sentences_that_count():
+    import numpy as np
+
+    hazard = np.array([0.1, 2.0, 0.3, 0.3, 0.0, 0.9, 0.7, 0.2])
+    text = np.array([0, 0, 0, 0, 1, 2, 2, 3])
+    assert toxicity.counting(hazard, text).tolist() == [False, True, True, False, True, True, True, True]
+    assert toxicity.counting(np.empty(0), np.empty(0, "int64")).tolist() == []
+
+
+def test_score_is_the_noisy_or(spark):
+    """By a plain loop over sentences and words, of the learned model."""
+    import math
+    import re
+
+    import numpy as np
+
+    docs, bad = cases(8)
+    labels = spark.createDataFrame([(i, int(i in bad)) for i, _ in docs], "doc_id long, toxic int")
+    df = spark.createDataFrame(docs, SCHEMA)
+    model = toxicity.train(df, labels)
+    weights = dict(zip(model.words.tolist(), model.weights.tolist(), strict=True))
+
+    def hashed(word):
+        data = np.frombuffer(word.encode(), "uint8")
+        return int(toxicity.bag(data, np.array([0, len(data)])).word[0])
+
+    def expected(text):
+        said, every = {}, set()
+        for sentence in re.split(r"[\r\n!.?]", text):
+            ids = [hashed(w) for w in re.findall(r"[0-9A-Za-z]+", sentence)]
+            every |= {i >> 46 for i in ids}
+            own = tuple(i for i in ids if i in weights)
+            if own:
+                said[own] = math.log1p(math.exp(-7 + sum(weights[i] for i in own))) - math.log1p(math.exp(-7))
+        offend = [h for h in said.values() if 1 - math.exp(-h) >= 0.5]
+        weak = [h for h in said.values() if 1 - math.exp(-h) < 0.5]
+        moved = sum(model.background[i] for i in every)
+        ground = math.log1p(math.exp(model.base + toxicity.SWAY * moved / (1 + abs(moved))))
+        return 1 - math.exp(-sum(offend) - max(weak, default=0) - ground)
+
+    texts = dict(docs[:150])
+    rows = toxicity.toxic_scores(df, labels).where("doc_id < 150").collect()
+    assert len(rows) == 150 and all(abs(r["score"] - expected(texts[r["doc_id"]])) < 1e-9 for r in rows)
+
+
+def test_clean_texts_are_ranked(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxic_scores(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    good, bad = ([r["score"] for r in rows if r["toxic"] == k] for k in (0, 1))
+    area = sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / len(good) / len(bad)
+    assert area >= 0.93
+    scores = [r["score"] for r in rows]
+    assert max(scores.count(x) for x in set(scores)) < 0.1 * len(scores)

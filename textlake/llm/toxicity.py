@@ -2,18 +2,23 @@
 
 A text is a bag of sentences, and its score is their noisy-or, 1 - prod(1 - p): it is toxic
 if any sentence is. -log(1 - p) of a sentence is the softplus of its words' weights and a
-constant, less that of the constant alone: a sentence without weighted words adds nothing,
-sentences of a text with the same weighted words are one, and in a text's score those count that
-are more likely toxic than not, so that length is no evidence.
-Only texts carry labels; the weights are learned through the noisy-or and then tell which
-sentences offend. Labels that no sentence explains fall to a base rate, once a text.
+constant, less that of the constant alone: a sentence without weighted words adds nothing, and
+sentences of a text with the same weighted words are one. So that length is no evidence, the
+sentences that are less likely toxic than not count by the likeliest of them, in the fit as in
+the score. Only texts carry labels; the weights are learned through the noisy-or and then tell
+which sentences offend.
+
+One more instance of a text is its background: a base rate, learned with the weights, which all
+words without a weight of their own move a little. Their evidence is a shrunken log ratio of
+counts in toxic and in other texts, by buckets of hashed words; a text's distinct buckets
+are added up, and the sum moves the base rate's logit by SWAY at most, however long the text.
 
 Words get a weight by the counts of all labelled texts: if they are found in toxic texts so much
 more often than chance has it that, of all words chosen so, fewer than CHANCE are expected to be
 there by chance. The more labels there are, the rarer a word may be. The weights are fitted on
 what is left of all labelled texts, their sentences with such words; equal ones are counted.
 
-Defined results: a null or empty text has no sentence and scores 0. A label that is neither
+Defined results: a text without a word, null and empty ones included, scores 0. A label that is neither
 0 nor 1 is ignored; a document with several labels is toxic if one of them says so. Without
 labelled rows of both kinds every score is 0. Repeated rows are scored row by row; a null doc_id is never
 learned from and never held out. Columns named like the new ones are replaced.
@@ -39,9 +44,12 @@ CHANCE = 0.5  # share of the weighted words that may be there by chance
 FINE, MOST = 16, 100  # evidence is told apart in so many parts of one, up to so much
 EMPTY = -7.0  # logit of a sentence without weighted words
 STEPS, RATE = 400, 0.1
+BUCKETS = 1 << 18  # of hashed words, whose counts are the background's evidence
+SHRINK = 1.0  # texts of the average kind that are added to a bucket's
+SWAY = 1.5  # most that the background's words move the logit of the base rate
 SPARSE = 0.3  # cost of a word's own -log(1 - p), in texts: words in the wake of others get none
 REJECT = 0.7  # a text that scores as much is toxic
-OFFENDING = 0.5  # a sentence that scores as much is reported and counts
+OFFENDING = 0.5  # a sentence that scores as much is reported; of the others one counts
 
 _IS_WORD = (BYTES >= 128) | ((BYTES >= 48) & (BYTES <= 57)) | ((BYTES >= 65) & (BYTES <= 90)) | ((BYTES >= 97) & (BYTES <= 122))
 _IS_END = np.isin(BYTES, [10, 13, 33, 46, 63])  # line ends and ! . ?
@@ -82,11 +90,28 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
+def counting(hazard: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which sentences count: all that offend, and of each text's others the likeliest.
+
+    text is ascending; of equal ones the first counts.
+    """
+    counts = -np.expm1(-hazard) >= OFFENDING
+    weak = np.flatnonzero(~counts)
+    if len(weak):
+        begins = np.flatnonzero(np.diff(text[weak], prepend=-1))
+        most = np.repeat(np.maximum.reduceat(hazard[weak], begins), np.diff(np.append(begins, len(weak))))
+        top = np.flatnonzero(hazard[weak] == most)
+        counts[weak[top[np.diff(text[weak[top]], prepend=-1) > 0]]] = True
+    return counts
+
+
 @dataclass
 class Model:
     words: np.ndarray  # hashes, in order
     weights: np.ndarray
     bias: float = EMPTY
+    base: float = -50.0  # logit of the base rate
+    background: np.ndarray | None = None  # evidence of each bucket of words
 
     def sentence_logits(self, b: Bag) -> np.ndarray:
         known, which = found(self.words, b.word)
@@ -97,12 +122,34 @@ class Model:
         known, which = found(self.words, b.word)
         z = self.bias + np.bincount(b.sentence[known], self.weights[which], len(b.starts))
         hazard, once = softplus(z) - softplus(self.bias), distinct(b.sentence[known], which, b.text)
-        return hazard, once[-np.expm1(-hazard[once]) >= OFFENDING]
+        return hazard, once[counting(hazard[once], b.text[once])]
+
+    def ground(self, b: Bag, texts: int) -> np.ndarray:
+        """-log(1 - p) of each text's background."""
+        text, bucket = buckets(b)
+        if self.background is None or not len(text):
+            return np.zeros(texts)
+        moved = np.bincount(text, self.background[bucket], texts)
+        some = np.bincount(text, minlength=texts) > 0
+        return np.where(some, softplus(self.base + SWAY * moved / (1 + np.abs(moved))), 0.0)
+
+    def scores(self, b: Bag, texts: int) -> tuple[np.ndarray, np.ndarray]:
+        """(score of each text, p of each sentence)."""
+        hazard, once = self.hazards(b)
+        total = np.bincount(b.text[once], hazard[once], texts) + self.ground(b, texts)
+        return -np.expm1(-total), -np.expm1(-hazard)
 
 
 NOTHING = Model(np.empty(0, "uint64"), np.empty(0), -50.0)
 
 
+def buckets(b: Bag) -> tuple[np.ndarray, np.ndarray]:
+    """(text, bucket) of each text's distinct buckets of words."""
+    bucket = (b.word >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype("int64")
+    pair = np.unique(b.text[b.sentence].astype("int64") * BUCKETS + bucket)
+    return pair // BUCKETS, pair % BUCKETS
+
+
 def distinct(sentence: np.ndarray, word: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Of each text's sentences with the same words, the first; those without words are left out.
 
@@ -170,14 +217,16 @@ def fit(b: Bag, labels: np.ndarray, rows: np.ndarray | None = None, start: np.nd
     for step in range(1, steps + 1):
         z = EMPTY + np.bincount(sentence, w[feature], count)
         # -log of "no sentence is toxic, nor the text without one"
-        total = softplus(w[-1]) + np.bincount(text, softplus(z) - softplus(EMPTY), texts)
+        hazard = softplus(z) - softplus(EMPTY)
+        counts = counting(hazard, text)
+        total = softplus(w[-1]) + np.bincount(text, hazard * counts, texts)
         slope = np.where(toxic, -1.0 / np.expm1(np.clip(total, 1e-9, 500)), 1.0) * weight
-        by_sentence = slope[text] * sigmoid(z)
+        by_sentence = slope[text] * sigmoid(z) * counts
         g = np.append(np.bincount(feature, by_sentence[sentence], size) + SPARSE * sigmoid(EMPTY + w[:-1]), slope.sum() * sigmoid(w[-1]))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         np.maximum(w[:-1], 0, out=w[:-1])  # no word makes up for an offending one
-    return Model(words, w[:-1])
+    return Model(words, w[:-1], base=float(w[-1]))
 
 
 def _fold(folds: int):
@@ -206,8 +255,13 @@ def _counts(texts: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("has").alias("has"), F.sum("bad").alias("bad"))
 
 
-def _telling(texts: DataFrame, n: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
-    """(words that get a weight, in order; weights by their counts alone)."""
+def ratios(has: np.ndarray, bad: np.ndarray, rate: float) -> np.ndarray:
+    """Evidence of words, or buckets of them, by the toxic texts among those that have them."""
+    return np.log((bad + SHRINK * rate) / (has - bad + SHRINK * (1 - rate))) - np.log(rate / (1 - rate))
+
+
+def _telling(texts: DataFrame, n: int, toxic: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words that get a weight, in order; weights by their counts alone; the background's evidence)."""
     rate = toxic / n
     share = F.col("bad") / F.col("has")
     rest = F.when(share < 1, (1 - share) * F.ln((1 - share) / (1 - rate))).otherwise(0.0)
@@ -217,12 +271,16 @@ def _telling(texts: DataFrame, n: int, toxic: int) -> tuple[np.ndarray, np.ndarr
     own, most = fine(F.col("evidence")), fine(F.col("has") * float(np.log(1 / rate)))
     bins = [counted.groupBy(x.alias("bin")).count().collect() for x in (own, most)]  # MOST * FINE + 2 rows each at most
     enough = least_evidence(*bins)
-    if enough is None:
-        return NOTHING.words, NOTHING.weights
-    chosen = counted.where(own >= int(enough * FINE)).select("word", "has", "bad").toArrow()
+    bar = FINE * MOST + 2 if enough is None else int(enough * FINE)
+    rest = counted.where(own < bar).groupBy(F.shiftrightunsigned("word", 64 - BUCKETS.bit_length() + 1).alias("bucket"))
+    rest = rest.agg(F.sum("has").alias("has"), F.sum("bad").alias("bad")).toArrow()  # BUCKETS rows at most
+    bucket, has, bad = (rest.column(c).to_numpy() for c in ("bucket", "has", "bad"))
+    background = np.zeros(BUCKETS)
+    background[bucket] = ratios(has, bad, rate)
+    chosen = counted.where(own >= bar).select("word", "has", "bad").toArrow()
     words, has, bad = (chosen.column(c).to_numpy() for c in ("word", "has", "bad"))
     order = np.argsort(words.view("uint64"))
-    return words.view("uint64")[order], starting(has[order], bad[order], rate)
+    return words.view("uint64")[order], starting(has[order], bad[order], rate), background
 
 
 def _sentences(texts: DataFrame, words: np.ndarray) -> DataFrame:
@@ -266,9 +324,9 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, folds: int = 3)
     n, toxic = texts.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < toxic < n:
         return NOTHING
-    words, start = _telling(texts, n, toxic)
+    words, start, background = _telling(texts, n, toxic)
     if not len(words):
-        return NOTHING
+        return Model(words, start, base=float(np.log(toxic / n)), background=background)
     said = bounded(stage(_sentences(texts, words), "sentences"))
     shared = texts.sparkSession.sparkContext.broadcast(start)
 
@@ -287,30 +345,30 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, folds: int = 3)
         weights = start.copy()  # words that no text of the sample has keep theirs
         if len(model.words):
             weights[model.words] = model.weights
-        yield pa.RecordBatch.from_pydict({"weights": [weights.astype("<f4").tobytes()]})
+        base = model.base if len(model.words) else float(np.log(toxic / n))
+        yield pa.RecordBatch.from_pydict({"weights": [weights.astype("<f4").tobytes()], "base": [base]})
 
     one = said.repartition(1).sortWithinPartitions("said", "label")  # SAMPLE_BYTES at most
-    weights = np.frombuffer(one.mapInArrow(run, "weights binary").first()[0], "<f4").astype("float64")
-    return Model(words[weights > 0], weights[weights > 0])
+    blob, base = one.mapInArrow(run, "weights binary, base double").first()
+    weights = np.frombuffer(blob, "<f4").astype("float64")
+    return Model(words[weights > 0], weights[weights > 0], base=base, background=background)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs with score, and offending: byte ranges and scores of its toxic sentences."""
     docs = docs.drop("score", "offending")
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.words, model.weights, model.bias))  # 16 bytes a weighted word
+    shared = spark.sparkContext.broadcast(model)  # 16 bytes a weighted word, 8 a bucket
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*shared.value)
+        own = shared.value
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for first, last in pieces(offsets):
                 begin = offsets[first]
                 b = bag(data[begin : offsets[last]], offsets[first : last + 1] - begin)
-                hazard, once = own.hazards(b)
-                total = np.bincount(b.text[once], hazard[once], last - first)
-                p = -np.expm1(-hazard)
+                scores, p = own.scores(b, last - first)
                 spans: list[list[dict]] = [[] for _ in range(last - first)]
                 for i in np.flatnonzero(p >= OFFENDING):
                     t = b.text[i]
@@ -318,7 +376,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     spans[t].append({"begin": b.starts[i] - zero, "end": b.ends[i] - zero, "score": p[i]})
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(-np.expm1(-total)), pa.array(spans, span)],
+                    [*part.columns, pa.array(scores), pa.array(spans, span)],
                     names=[*part.schema.names, "score", "offending"],
                 )
 
