@@ -63,3 +63,12 @@ def test_order_of_many_ranges(spark, monkeypatch, range_rows):
     expected = edited(docs)
     for r in weighted_sampling.edited_fingerprints(spark.createDataFrame(docs, SCHEMA)).collect():
         assert r["edited_sha256"] == hashlib.sha256(expected[r["doc_id"]][1].encode()).hexdigest()
+
+
+def test_least_and_greatest_ids(spark):
+    docs = [(-(1 << 63), "the least one of all"), (None, "no id at all here"), ((1 << 63) - 1, "the greatest one"), (0, "zero is between")]
+    expected = edited(docs)
+    rows = weighted_sampling.edited_fingerprints(spark.createDataFrame(docs, SCHEMA)).collect()
+    assert len(rows) == 4
+    for r in rows:
+        assert r["edited_sha256"] == hashlib.sha256(expected[r["doc_id"]][1].encode()).hexdigest()

@@ -75,7 +75,8 @@ def as_text(samples: Column) -> Column:
 def next_keys(narrow: DataFrame) -> DataFrame:
     """(key, next): the key of the next document in descending order, the first behind the last."""
     ranked = running_total(
-        narrow.select("key", F.coalesce(-F.col("doc_id"), F.lit((1 << 63) - 1)).alias("_down")),
+        # every id has a complement; that of the least id equals a null's place, whose key is the greater one
+        narrow.select("key", F.coalesce(F.bitwise_not("doc_id"), F.lit((1 << 63) - 1)).alias("_down")),
         ["_down", "key"], out="rank", rows_per_range=RANGE,
     )
     ranked = stage(ranked.select("key", "rank"), "ranks")
