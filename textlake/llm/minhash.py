@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlake.llm.arrays import ODD_A, mix, pieces, ranges, spreads, text_bytes, words
+from textlake.llm.columns import carried
 from textlake.llm.graph import components
 from textlake.plans.staging import stage
 
@@ -349,8 +350,13 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """One document of each group stays, that with the smallest doc_id; its columns are kept.
 
-    Rows that repeat both doc_id and text are one document. A row without doc_id stays.
+    Rows that repeat both doc_id and text are one document. A row without doc_id stays. Other
+    columns are kept, whatever their names.
     """
+    return carried(docs, ("doc_id", "text"), lambda rows: _first_ones(rows, similarity))
+
+
+def _first_ones(docs: DataFrame, similarity: int) -> DataFrame:
     kept = near_duplicates(docs, similarity).where("kept and doc_id is not null")
     kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
     known = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlake.llm.columns import carried
 from textlake.plans.ranking import running_total
 from textlake.plans.staging import stage
 
@@ -144,8 +145,11 @@ def mixed_words(docs: DataFrame, **options) -> DataFrame:
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it."""
-    names = [f"`{c}`" for c in docs.columns]
+    """The rows of docs, each as often as the mix takes it; other columns are kept, whatever their names."""
+    return carried(docs, ("doc_id", "source", "text"), lambda rows: _copied(rows, **options))
+
+
+def _copied(docs: DataFrame, **options) -> DataFrame:
     key = ["doc_id", "source", "_size"]
     nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("text")))
     sized = docs.withColumn("_size", words_in(F.col("text")))
@@ -156,4 +160,4 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     taken = taken.withColumn("_k3", F.row_number().over(same)).withColumnRenamed("copies", "_copies")
     on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*key, "_nth"])]
     rows = sized.withColumn("_nth", nth).join(taken, reduce(lambda a, b: a & b, on))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*names)
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from textlake.llm.arrays import (
     ODD_A, ODD_B, ODD_C, cut, mix, packed, pieces, range_hashes, ranges, row_ids, text_bytes, unpacked,
 )
+from textlake.llm.columns import carried
 from textlake.llm.shards import answered, answers_of, ask, ddl, packed_shards, ranges_of, totals
 from textlake.plans.staging import stage
 
@@ -435,14 +436,19 @@ def drop_repeated(docs: DataFrame) -> DataFrame:
     """docs without repeated passages; n_chars, if there, is that of the text that remains.
 
     Characters that are cut at the edge of a removed passage go with it; a null text stays null.
+    Other columns are kept, whatever their names.
     """
+    return carried(docs, ("doc_id", "text", "n_chars"), _without_repeated)
+
+
+def _without_repeated(docs: DataFrame) -> DataFrame:
     found = repeated(docs)
     text = F.when(F.size("spans") > 0, _readable("kept")).otherwise(F.col("text"))
     found = found.withColumn("text", text)
     if "n_chars" in docs.columns:
         chars = F.when(F.size("spans") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found
 
 
 def _readable(column: str):

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlake.llm.arrays import BYTES, LOWER, ODD_A, ODD_B, cut, mix, pieces, range_hashes, text_bytes
+from textlake.llm.columns import carried
 from textlake.plans.ranking import running_total
 from textlake.plans.staging import stage
 
@@ -400,7 +401,6 @@ def toxic_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that score below the threshold, with their columns."""
-    kept = {c: f"_own_{c}" for c in docs.columns if c in ("score", "offending")}
-    scored = score(docs.withColumnsRenamed(kept), train(docs, labels)).where(F.col("score") < REJECT)
-    return scored.drop("score", "offending").withColumnsRenamed({v: k for k, v in kept.items()}).select(docs.columns)
+    """The documents that score below the threshold, with their columns, whatever their names."""
+    clean = lambda rows: score(rows, train(rows, labels)).where(F.col("score") < REJECT)
+    return carried(docs, ("doc_id", "text"), clean)
