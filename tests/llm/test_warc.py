@@ -87,3 +87,14 @@ def test_whole_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = [tuple(r) for r in pages.select("page_id", "url", "html").collect()]
     assert Counter(tuple(r) for r in warc.archived(pages).collect()) == expected(rows)
+
+
+def test_sample_of_whole_pages(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SAMPLE_BYTES", 9000)
+    pages = [(i, "u", f"{i} " * (100 + i)) for i in range(60)] * 3 + [(99, "u", "long " * 4000), (100, None, None)]
+    first = [tuple(r) for r in warc.sampled(spark.createDataFrame(pages, SCHEMA).repartition(5))]
+    again = [tuple(r) for r in warc.sampled(spark.createDataFrame(pages[::-1], SCHEMA).repartition(2))]
+    assert first == again and len(set(first)) == len(first)
+    assert {(page, url, html) for html, page, url in first} <= set(pages)
+    assert 9000 - 400 <= sum(len(html) for html, *_ in first) <= 9000
+    assert warc.sampled(spark.createDataFrame([], SCHEMA)) == []

@@ -1,7 +1,8 @@
 """WARC archives in Zstandard, each record a frame of its own, with a shared dictionary.
 
-The dictionary is built from a bounded sample of the records to be archived and embedded in
-a skippable frame at the head of every file, so that a file can be read by itself. Pages with
+The dictionary is built from a bounded sample of the records to be archived, whole ones chosen
+by hash, and embedded in a skippable frame at the head of every file, so that a file can be
+read by itself. Pages with
 equal payloads of some size are archived once, with the largest page_id; the others become
 revisit records that refer to it.
 
@@ -20,7 +21,7 @@ from datetime import UTC, datetime
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from textlake.llm import files
@@ -28,7 +29,7 @@ from textlake.plans.staging import new_path, stage
 
 LEAST = 1000  # bytes from which equal payloads are archived once
 FILE_BYTES = 64_000_000  # a file that has grown so large is followed by another
-SAMPLE_RECORDS, SAMPLE_CHARS = 2000, 4000  # records and characters of each for the dictionary
+SAMPLE_RECORDS, SAMPLE_BYTES = 2000, 8_000_000  # different records, and bytes of them together, for the dictionary
 DICTIONARY_BYTES, LEVEL = 65_536, 3
 SKIPPABLE = 0x184D2A5D  # fixed value: mark of a dictionary frame in a .warc.zst file
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
@@ -123,16 +124,30 @@ def _typed(pages: DataFrame) -> DataFrame:
     return rows.select("page_id", "url", "html", "digest", "_number", "_of", visited.alias("_again"))
 
 
+def sampled(pages: DataFrame) -> list[Row]:
+    """Whole pages for the dictionary, equal rows once: the first ones by hash that fit.
+
+    Lengths are looked at first, so that no more than SAMPLE_BYTES come to the driver. A page that
+    doesn't fit into what is left is left out alone.
+    """
+    keyed = pages.select("page_id", "url", "html").where("html is not null")
+    keyed = keyed.withColumn("key", F.xxhash64("page_id", "url", "html"))
+    sizes = keyed.select("key", F.octet_length("html").alias("bytes")).where(F.col("bytes") <= SAMPLE_BYTES)
+    left, chosen = SAMPLE_BYTES, []
+    for row in sizes.distinct().orderBy("key", "bytes").limit(SAMPLE_RECORDS).collect():
+        if row["bytes"] <= left:
+            left -= row["bytes"]
+            chosen.append(row["key"])
+    rows = keyed.where(F.col("key").isin(chosen)).groupBy("key").agg(F.max(F.struct("html", "page_id", "url")).alias("page"))
+    return rows.orderBy("key").select("page.*").collect()
+
+
 def write_archives(pages: DataFrame, day: str | None = None) -> DataFrame:
     """Write an archive record per page; returns the written list of files (path, records)."""
     spark = pages.sparkSession
     rows, folder = _typed(pages), new_path(spark, "warc")
     day = day or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
-    sample = pages.select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html")).where("html is not null")
-    # by hash, so many that the limit is reached; no more than that comes to the driver
-    share = min(1.0, 2 * SAMPLE_RECORDS / max(1, pages.count()))
-    sample = sample.where(F.pmod(F.xxhash64("page_id", "url"), 1_000_000) < share * 1_000_000).limit(SAMPLE_RECORDS).collect()
-    learned = dictionary([record("response", name_of(r["page_id"], "", 1), r["url"], r["html"].encode(), None, day) for r in sample])
+    learned = dictionary([record("response", name_of(r["page_id"], "", 1), r["url"], r["html"].encode(), None, day) for r in sampled(pages)])
     shared = spark.sparkContext.broadcast(learned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
