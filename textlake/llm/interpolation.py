@@ -33,6 +33,7 @@ FOLDS, HELD_OUT = 7, 2  # documents whose crc32 leaves this remainder are never
 DELETED = 6  # remainder of the training fold that the weights are fitted to
 BUCKETS = 24  # of context frequency, by powers of two; the first is "never"
 ROUNDS = 25  # of expectation-maximisation, at most
+LEAST = 1e-6  # weight of words of equal chance, in every bucket
 END, START = spreads(2, 77)
 _PAIR = spreads(2, 78) | np.uint64(1)
 
@@ -161,11 +162,11 @@ def learned(shards: DataFrame, replies: DataFrame, distinct: int, kept: int) ->
             sums = np.array([r["s0"], r["s1"], r["s2"]])
             if sums.sum() > 0:
                 new[r["b"]] = sums / sums.sum()
+        # no weight quite vanishes: any text has a probability, and no bucket comes to 0 / 0
+        new[:, 2] = np.maximum(new[:, 2], LEAST)
         weights = np.round(new, 9)
         if np.abs(weights - now).max() < 1e-4:
             break
-    # no weight quite vanishes: any text has a probability
-    weights[:, 2] = np.maximum(weights[:, 2], 1e-6)
     return weights / weights.sum(axis=1, keepdims=True)
 
 
