@@ -159,6 +159,53 @@ def test_memory_of_words_is_bounded(libraries, monkeypatch):
         assert own.held <= 20_000 + 3 * 40 * (token_files.WORD_BYTES + 100) + 8 * 5000
 
 
+@pytest.fixture(scope="module")
+def encoder():
+    with open(WORDS, encoding="utf-8") as file:
+        return token_files.Encoder(file.read())
+
+
+def test_pieces_are_learned_once(encoder, libraries, monkeypatch):
+    """Case, signs and accents make no new pieces, and only words with other characters take all rules."""
+    encoder.clear()
+    asked, by_rules = [], encoder.by_rules
+    monkeypatch.setattr(encoder, "by_rules", lambda words: asked.extend(words) or by_rules(words))
+    text = "Été, été. ÉTÉ $$$ été$$$ (Mots) mots12 it's ÿ×ÿ ½ ÀÖØÞßàöøþÿ"
+    ids, sizes = encoder.encode(pa.array([text, None, text], pa.string()))
+    assert sorted(asked) == sorted(["it's", "ÿ×ÿ", "½"])
+    assert set(encoder.known) == {"été", ",", ".", "$$$", "(", "mots", ")", "1", "2", "àöøþßàöøþÿ", *asked}
+    expected = [*libraries[WORDS].encode(text, add_special_tokens=False).ids, 1]
+    assert ids.tolist() == [*expected, 1, *expected] and sizes.tolist() == [len(expected), 1, len(expected)]
+
+
+CHARACTERS = [*map(chr, range(0x250)), *"\u0301\u0327\u0130\u1e9e\u2028\u3000Σς中🙂", "'s", "'LL", "<|endoftext|>", "<|STARTOFTEXT|>"]
+
+
+def test_sums_are_those_of_the_ids_read(spark):
+    listed = token_files.write_tokens(spark.createDataFrame(docs_of(4), SCHEMA), WORDS)
+    checked = token_files.checked_tokens(listed)
+    ids = token_files.read_tokens(listed).collect()
+    expected = [(r["start"], r["doc_id"], r["n_tokens"], zlib.crc32(np.array(r["ids"], "<u4").tobytes())) for r in ids]
+    assert sorted(expected) == sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in checked.collect())
+    # one Python worker for each task: ids don't pass through the JVM
+    assert checked._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=30) | st.lists(st.sampled_from(CHARACTERS), max_size=60).map("".join), max_size=4))
+def test_pieces_of_any_text(encoder, libraries, texts):
+    ids, sizes = encoder.encode(pa.array(texts, pa.string()))
+    expected = [[*libraries[WORDS].encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert sizes.tolist() == list(map(len, expected)) and ids.tolist() == [x for e in expected for x in e]
+
+
+def test_each_character_beside_others(encoder, libraries):
+    for character in CHARACTERS:
+        texts = [f"a{character}b", f"{character}É", f"é{character} {character}1", f"{character}{character}", f"9{character}!"]
+        ids, _ = encoder.encode(pa.array(texts, pa.string()))
+        assert ids.tolist() == [x for t in texts for x in [*libraries[WORDS].encode(t, add_special_tokens=False).ids, 1]]
+
+
 @pytest.mark.parametrize("most", [1, 700, 5000, 1_000_000])
 def test_files_are_read_by_parts(spark, libraries, most):
     docs = docs_of(3)

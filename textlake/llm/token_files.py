@@ -19,16 +19,17 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlake.llm import files
-from textlake.llm.arrays import pieces, ranges, text_bytes
+from textlake.llm.arrays import IS_SPACE, LOWER, cut, pieces, ranges, text_bytes
+from textlake.llm.bpe_stream import byte_characters
 from textlake.plans.ranking import running_total
 from textlake.plans.staging import new_path, stage
 
@@ -39,7 +40,16 @@ CACHED_BYTES = 48_000_000  # of words whose ids a worker remembers, and at most
 WORD_BYTES = 190  # that a remembered word takes besides its letters and ids
 NEW_WORDS = 10_000  # words that are looked up at once
 READ_IDS = 1_000_000  # ids that are decoded at once, or those of one document
-TAIL = ".,;:!?"  # punctuation that often ends a word
+SPACE, LETTER, DIGIT, SIGN, ODD = range(5)  # kinds of bytes
+LATIN = 0xC3  # the first byte of À … ÿ, which no rule changes but the one that lowers letters
+# Special tokens begin with <, and ' may begin the end of a word; both are odd
+KINDS = np.full(256, ODD, "uint8")
+KINDS[33:127] = SIGN
+KINDS[[ord("'"), ord("<")]] = ODD
+KINDS[IS_SPACE] = SPACE
+KINDS[ord("0") : ord("9") + 1] = DIGIT
+KINDS[ord("A") : ord("Z") + 1] = KINDS[ord("a") : ord("z") + 1] = LETTER
+SHOWN = {b: c for c, b in byte_characters().items()}  # the model's character for each byte
 # Ids and bits of each selector, most ids first; selector 0 is the escape
 SELECTORS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 _LONGEST = SELECTORS[0][0]
@@ -147,9 +157,11 @@ def _raw_words(escapes: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, a word at a time and each word once.
+    """Ids of texts by the tokenizers library, a piece at a time and each piece once.
 
-    The file's rules never look across white space, so a text's ids are those of its words.
+    The file's rules never look across white space, so a text's ids are those of its words. They cut a word of
+    ASCII and letters of Latin-1 into runs of letters, single digits and runs of signs, all in lower case, which
+    are pieces here: the vocabulary's model alone gives their ids. A word with anything else is one piece for all rules.
     """
 
     def __init__(self, rules: str) -> None:
@@ -166,10 +178,10 @@ class Encoder:
         self.held = 0  # bytes of it, about
         self.ids = np.empty(1 << 16, "uint32")
         self.used = 0
-        self.places = np.empty((1 << 16, 2), "int64")  # start and number of the ids of each word
+        self.places = np.empty((1 << 16, 2), "int64")  # start and number of the ids of each piece
 
-    def keep(self, words: list[str], ids: list[int], sizes: list[int]) -> None:
-        """Remember words that are not known yet, with their ids one after the other."""
+    def keep(self, words: list[str], ids: list[int], sizes: list[int]) -> np.ndarray:
+        """Remember pieces that are not known yet, with their ids one after the other; returns their numbers."""
         first, total = len(self.known), len(ids)
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
@@ -181,35 +193,16 @@ class Encoder:
         self.known.update(zip(words, range(first, first + len(words)), strict=True))
         self.used += total
         self.held += WORD_BYTES * len(words) + 4 * total + 4 * sum(map(len, words))
+        return np.arange(first, first + len(words))
 
-    def learn(self, words: list[str]) -> None:
-        """Ids of new words: plain letters by the vocabulary's model, others by all its rules.
-
-        A word of letters and punctuation is put together from these, which are known words then.
-        """
-        split: dict[str, tuple[str, str]] = {}
+    def by_model(self, words: list[str]) -> tuple[list[int], list[int]]:
+        """(ids, ids of each piece) by the vocabulary's model, which reads a character for each byte."""
+        ids, sizes, tokenize = [], [], self.library.model.tokenize
         for word in words:
-            core = word.rstrip(TAIL)
-            # letters, then punctuation: the rules part them, and lower the letters
-            if core.isascii() and core.isalpha() and (len(core) < len(word) or not core.islower()):
-                split[word] = core.lower(), word[len(core) :]
-        parts = dict.fromkeys(word for word in words if word not in split)
-        parts.update((part, None) for pair in split.values() for part in pair if part and part not in self.known)
-        plain, other, ids, sizes = [], [], [], []
-        for part in parts:
-            (plain if part.isascii() and part.isalpha() and part.islower() else other).append(part)
-        for part in plain:
-            some = [token.id for token in self.library.model.tokenize(part)]
+            some = [token.id for token in tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(SHOWN))]
             ids += some
             sizes.append(len(some))
-        self.keep(plain, ids, sizes)
-        self.keep(other, *self.by_rules(other))
-        # parts may be among the words, as words of their own
-        split = {word: pair for word, pair in split.items() if word not in self.known}
-        at = np.array([[self.known[core], self.known[tail] if tail else -1] for core, tail in split.values()], "int64").reshape(-1, 2)
-        sizes = self.places[at, 1] * (at >= 0)
-        taken = self.ids[ranges(self.places[at, 0].reshape(-1), sizes.reshape(-1))]
-        self.keep(list(split), taken, sizes.sum(axis=1))
+        return ids, sizes
 
     def by_rules(self, words: list[str]) -> tuple[list[int], np.ndarray]:
         """(ids, ids of each word) of words joined by blanks; offsets tell whose each id is."""
@@ -218,30 +211,61 @@ class Encoder:
         at = np.array(found.offsets, "int64").reshape(-1, 2)[:, 0]
         return found.ids, np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(words))
 
+    def placed(self, words: list[str], odd: np.ndarray) -> np.ndarray:
+        """Start and number of the ids of each piece; odd ones are for all rules."""
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), "int64", len(words))
+        for mask, ids in ((~odd, self.by_model), (odd, self.by_rules)):
+            new = np.flatnonzero(mask & (at < 0))
+            if len(new):
+                some = [words[i] for i in new.tolist()]
+                at[new] = self.keep(some, *ids(some))
+        return self.places[at]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids with the end id behind each text, ids of each text)."""
-        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
-        words = split.flatten().dictionary_encode()
+        cells, odd, upto = split(*text_bytes(texts))
+        words = cells.dictionary_encode()
+        which = words.indices.to_numpy()
+        is_odd = np.zeros(len(words.dictionary), bool)
+        is_odd[which] = odd
         own, sizes = [np.empty(0, "uint32")], [np.empty(0, "int64")]
-        for i in range(0, len(words.dictionary), NEW_WORDS):
+        for i in range(0, len(is_odd), NEW_WORDS):
             if self.held > CACHED_BYTES:
                 self.clear()
-            some = words.dictionary.slice(i, NEW_WORDS).to_pylist()
-            new = [word for word in some if word and word not in self.known]
-            if new:
-                self.learn(new)
-            if "" in some and "" not in self.known:
-                self.keep([""], [], [0])
-            place = self.places[list(map(self.known.__getitem__, some))]
+            some = words.dictionary.slice(i, NEW_WORDS).to_numpy(zero_copy_only=False).tolist()
+            place = self.placed(some, is_odd[i : i + NEW_WORDS])
             own.append(self.ids[ranges(place[:, 0], place[:, 1])])
             sizes.append(place[:, 1])
         ids, size = np.concatenate(own), np.concatenate(sizes)
-        which = words.indices.to_numpy()
         counts = size[which]
-        ends = np.append(0, np.cumsum(counts))
+        ends = np.append(0, np.cumsum(counts))[upto]
         found = ids[ranges((np.cumsum(size) - size)[which], counts)]
-        upto = ends[np.cumsum(pc.list_value_length(split).to_numpy())]
-        return np.insert(found, upto, END), np.diff(upto, prepend=0) + 1
+        return np.insert(found, ends, END), np.diff(ends, prepend=0) + 1
+
+
+def split(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(pieces, which are words for all rules, pieces up to the end of each text) of texts."""
+    kind = KINDS[data]
+    lead = np.flatnonzero(data[:-1] == LATIN)
+    after = data[lead + 1]
+    lead = lead[(after != 0x97) & (after != 0xB7)]  # multiplication and division signs
+    kind[lead] = kind[lead + 1] = LETTER
+    starts, ends = cut(kind != SPACE, offsets)
+    if len(starts):
+        odd = np.maximum.reduceat(kind, starts) == ODD
+        kind[ranges(starts[odd], (ends - starts)[odd])] = ODD
+    begins = kind == DIGIT
+    begins[1:] |= kind[1:] != kind[:-1]
+    begins[starts] = True
+    solid = kind != SPACE
+    first = np.flatnonzero(begins & solid)
+    lowered = np.where(kind == ODD, data, LOWER[data])
+    upper = lead[(kind[lead] == LETTER) & (data[lead + 1] < 0x9F)] + 1
+    lowered[upper] += 0x20
+    lowered = lowered[solid]
+    at = np.append(np.flatnonzero(begins[solid]), len(lowered))
+    cells = pa.Array.from_buffers(pa.large_string(), len(first), [None, pa.py_buffer(at), pa.py_buffer(lowered)])
+    return cells, kind[first] == ODD, np.searchsorted(first, offsets[1:])
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -330,38 +354,43 @@ def read_file(path: str, most: int | None = None) -> Iterator[tuple[np.ndarray,
             yield ids[zero - first * BLOCK : end - first * BLOCK], doc_ids[row:upto], sizes[row:upto], nulls[row:upto].astype(bool)
 
 
-def read_tokens(listed: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document, from the files."""
-    placed = running_total(listed, ["part"], F.col("ids"), out="_upto").select("path", (F.col("_upto") - F.col("ids")).alias("start"))
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, start, n_tokens, ids) of the documents of files, from their paths and starts."""
+    for batch in batches:
+        for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
+            for ids, doc_ids, sizes, nulls in read_file(path):
+                ends = np.append(0, np.cumsum(sizes))
+                lists = pa.ListArray.from_arrays(ends.astype("int32"), ids.view("int64"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc_ids, mask=nulls), pa.array(start + ends[:-1]), pa.array(sizes), lists], names=["doc_id", "start", "n_tokens", "ids"]
+                )
+                start += ends[-1]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
-                for ids, doc_ids, sizes, nulls in read_file(path):
-                    ends = np.append(0, np.cumsum(sizes))
-                    lists = pa.ListArray.from_arrays(ends.astype("int32"), ids.view("int64"))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(doc_ids, mask=nulls), pa.array(start + ends[:-1]), pa.array(sizes), lists], names=["doc_id", "start", "n_tokens", "ids"]
-                    )
-                    start += ends[-1]
-
-    spread = max(1, listed.sparkSession.sparkContext.defaultParallelism)
-    kinds = "doc_id bigint, start bigint, n_tokens bigint, ids array<bigint>"
-    return placed.repartition(spread, "path").mapInArrow(run, kinds)
-
-
-def checked(tokens: DataFrame) -> DataFrame:
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, start, n_tokens, ids_crc32) of read documents."""
+    for batch in batches:
+        column = batch.column("ids")
+        values, at = column.values.to_numpy().astype("<u4"), column.offsets.to_numpy()
+        sums = [zlib.crc32(values[at[i] : at[i + 1]].tobytes()) for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums, pa.int64())], names=[*batch.schema.names[:3], "ids_crc32"])
+
+
+def _placed(listed: DataFrame) -> DataFrame:
+    """(path, start) of every file, dealt over the tasks."""
+    placed = running_total(listed, ["part"], F.col("ids"), out="_upto").select("path", (F.col("_upto") - F.col("ids")).alias("start"))
+    return placed.repartition(max(1, listed.sparkSession.sparkContext.defaultParallelism), "path")
+
+
+def read_tokens(listed: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) of every document, from the files."""
+    return _placed(listed).mapInArrow(_documents, "doc_id bigint, start bigint, n_tokens bigint, ids array<bigint>")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column("ids")
-            values, at = column.values.to_numpy().astype("<u4"), column.offsets.to_numpy()
-            sums = [zlib.crc32(values[at[i] : at[i + 1]].tobytes()) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums, pa.int64())], names=[*batch.schema.names[:3], "ids_crc32"])
 
-    return tokens.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+def checked_tokens(listed: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files: read and summed in one worker."""
+    return _placed(listed).mapInArrow(lambda batches: _checked(_documents(batches)), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def written_tokens(docs: DataFrame, rules_path: str) -> DataFrame:
-    return checked(read_tokens(write_tokens(docs, rules_path)))
+    return checked_tokens(write_tokens(docs, rules_path))
