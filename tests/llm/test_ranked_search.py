@@ -74,6 +74,15 @@ def test_blocks_of_items_and_many_segments(tables, monkeypatch):
     assert sorted(map(tuple, ranked_search.ranked(df, asked, 9).collect()), key=str) == whole
 
 
+@pytest.mark.parametrize("most", [1, 10, 22, 43, 44, 150, 296, 297])
+def test_blocks_hold_no_more_terms_than_allowed(tables, monkeypatch, most):
+    docs, items, df, asked = tables
+    monkeypatch.setattr(ranked_search, "TERMS", most)
+    rows = ranked_search.item_terms(asked).groupBy("block").agg(F.count("*").alias("n"), F.countDistinct("number").alias("items")).collect()
+    assert sum(r["n"] for r in rows) == 297
+    assert all(r["n"] <= most or r["items"] == 1 for r in rows)
+
+
 def test_empty_tables(spark):
     docs, items = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([(1, "w")], "item_id long, text string")
     assert ranked_search.ranked(docs, items).count() == 0

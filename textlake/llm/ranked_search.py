@@ -66,8 +66,12 @@ def item_terms(items: DataFrame) -> DataFrame:
     found = items.select("item_id", "text").mapInArrow(run, f"item_id {kind}, term bigint").distinct()
     found = stage(found, "item-terms")
     sizes = running_total(stage(found.groupBy("item_id").agg(F.count("*").alias("n")), "items"), ["item_id"], out="number")
-    sizes = running_total(stage(sizes, "items"), ["item_id"], F.col("n"), out="upto")
-    placed = stage(sizes.select(F.col("item_id").alias("_id"), "number", F.floor((F.col("upto") - F.col("n")) / TERMS).alias("block")), "items")
+    sizes = stage(running_total(stage(sizes, "items"), ["item_id"], F.col("n"), out="upto"), "items")
+    # a block's items begin in a span that leaves room for the last of them; large items are blocks of their own
+    large, start = F.col("n") > TERMS // 2, F.col("upto") - F.col("n")
+    longest = sizes.where(~large).agg(F.max("n").alias("n")).first()["n"] or 0
+    block = F.when(large, -1 - F.col("number")).otherwise(F.floor(start / (TERMS - longest + 1)))
+    placed = stage(sizes.select(F.col("item_id").alias("_id"), "number", block.alias("block")), "items")
     return stage(found.join(placed, F.col("item_id").eqNullSafe(F.col("_id"))).drop("_id"), "item-terms")
 
 
