@@ -199,6 +199,18 @@ def test_pieces_of_any_text(encoder, libraries, texts):
     assert sizes.tolist() == list(map(len, expected)) and ids.tolist() == [x for e in expected for x in e]
 
 
+@pytest.mark.parametrize("size", [1, 7, 50, 1000])
+def test_parts_of_long_texts(encoder, libraries, monkeypatch, size):
+    monkeypatch.setattr(token_files, "PIECE", size)
+    texts = [t for _, t in docs_of(6)]
+    data, _ = token_files.text_bytes(pa.array(texts, pa.string()))
+    found = list(token_files.chunks(data))
+    assert len(found) > 1 and [x for x, _ in found] == [0, *(x for _, x in found[:-1])] and found[-1][1] == len(data)
+    ids, sizes = encoder.encode(pa.array(texts, pa.string()))
+    expected = [[*libraries[WORDS].encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    assert sizes.tolist() == list(map(len, expected)) and ids.tolist() == [x for e in expected for x in e]
+
+
 def test_each_character_beside_others(encoder, libraries):
     for character in CHARACTERS:
         texts = [f"a{character}b", f"{character}É", f"é{character} {character}1", f"{character}{character}", f"9{character}!"]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlake.llm import files
-from textlake.llm.arrays import IS_SPACE, LOWER, cut, pieces, ranges, text_bytes
+from textlake.llm.arrays import IS_SPACE, LOWER, PIECE, cut, pieces, ranges, text_bytes
 from textlake.llm.bpe_stream import byte_characters
 from textlake.plans.ranking import running_total
 from textlake.plans.staging import new_path, stage
@@ -223,7 +223,17 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids with the end id behind each text, ids of each text)."""
-        cells, odd, upto = split(*text_bytes(texts))
+        data, offsets = text_bytes(texts)
+        found, sizes = [np.empty(0, "uint32")], np.zeros(len(texts), "int64")
+        for start, end in chunks(data):
+            ids, counts = self._encode(data[start:end], np.clip(offsets, start, end) - start)
+            found.append(ids)
+            sizes += counts
+        return np.insert(np.concatenate(found), np.cumsum(sizes), END), sizes + 1
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each text) of a chunk."""
+        cells, odd, upto = split(data, offsets)
         words = cells.dictionary_encode()
         which = words.indices.to_numpy()
         is_odd = np.zeros(len(words.dictionary), bool)
@@ -239,8 +249,21 @@ class Encoder:
         ids, size = np.concatenate(own), np.concatenate(sizes)
         counts = size[which]
         ends = np.append(0, np.cumsum(counts))[upto]
-        found = ids[ranges((np.cumsum(size) - size)[which], counts)]
-        return np.insert(found, ends, END), np.diff(ends, prepend=0) + 1
+        return ids[ranges((np.cumsum(size) - size)[which], counts)], np.diff(ends, prepend=0)
+
+
+def chunks(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of some PIECE bytes, cut at white space."""
+    start = 0
+    while start < len(data):
+        end = min(start + PIECE, len(data))
+        while end < len(data):
+            blank = IS_SPACE[data[end : end + PIECE]]
+            end += int(blank.argmax()) if blank.any() else len(blank)
+            if blank.any():
+                break
+        yield start, end
+        start = end
 
 
 def split(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
