@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlake.llm.arrays import ranges
+from textlake.llm.memory import freed
 
 # Fixed value: how byte-level vocabularies split text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -319,14 +320,14 @@ def encode(docs: DataFrame, rules_path: str) -> DataFrame:
     """docs with ids, the token ids of text, as little-endian unsigned 32-bit integers."""
     docs = docs.drop("ids")
     shared = _shared(docs, rules_path)
-    return docs.mapInArrow(lambda batches: encoded(batches, shared.value), f"{_ddl(docs)}, ids binary")
+    return docs.mapInArrow(freed(lambda batches: encoded(batches, shared.value)), f"{_ddl(docs)}, ids binary")
 
 
 def decode(tokens: DataFrame, rules_path: str) -> DataFrame:
     """tokens with decoded, the text of ids."""
     tokens = tokens.drop("decoded")
     shared = _shared(tokens, rules_path)
-    return tokens.mapInArrow(lambda batches: decoded(batches, shared.value), f"{_ddl(tokens)}, decoded string")
+    return tokens.mapInArrow(freed(lambda batches: decoded(batches, shared.value)), f"{_ddl(tokens)}, decoded string")
 
 
 def _ddl(df: DataFrame) -> str:
@@ -342,7 +343,7 @@ def digested(docs: DataFrame, rules_path: str) -> DataFrame:
         tokens = (batch.drop_columns(["text"]) for batch in encoded(batches, shared.value))
         return decoded(tokens, shared.value)  # in the same worker, a few rows at a time
 
-    done = docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary, decoded string")
+    done = docs.mapInArrow(freed(run), f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary, decoded string")
     return done.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from textlake.llm.arrays import ODD_A, mix, pieces, ranges, spreads, text_bytes, words
 from textlake.llm.columns import carried
 from textlake.llm.graph import components
+from textlake.llm.memory import freed, freed_cogroup
 from textlake.plans.staging import stage
 
 WORDS = 5  # words of a shingle
@@ -149,7 +150,7 @@ def described(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "n_shingles", "node", "bands", "sketch"],
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _SETS)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(freed(run), _SETS)
 
 
 def _alike(one: str, two: str, similarity: int):
@@ -177,7 +178,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     asked = wanted.select(F.col("doc_id").alias("_asked"))
     texts = texts.join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_asked")), "left_semi")
-    found = texts.select("text").mapInArrow(run, "node binary, shingles binary")
+    found = texts.select("text").mapInArrow(freed(run), "node binary, shingles binary")
     # an id may repeat with other texts: keep the sets asked for, each once
     found = found.join(wanted.select("node"), "node", "left_semi")
     return stage(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingle-sets")
@@ -197,7 +198,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
                 keep.append(100 * both >= similarity * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(freed(run), "a binary, b binary")
 
 
 def _across(members: DataFrame, similarity: int, fetch: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -235,7 +236,7 @@ def _across(members: DataFrame, similarity: int, fetch: Callable[[DataFrame], Da
     columns = [*keys, "node", "root", "n", "sketch", "shingles"]
     # renamed, because both sides come from one table
     left, right = (side.join(sets, "node").select(columns).toDF(*columns) for side in (left, right))
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "a binary, b binary")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(freed_cogroup(run), "a binary, b binary")
 
 
 def forest(one: pa.Table, two: pa.Table, similarity: int) -> tuple[list[bytes], list[bytes]]:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlake.llm.arrays import packed, packed_sorted, pieces, text_bytes, unpacked, unpacked_sorted
+from textlake.llm.memory import freed, freed_cogroup, freed_group
 from textlake.plans.staging import new_path, stage
 
 SHARD = 2_000_000  # bytes of text in a shard, or one document
@@ -66,7 +67,7 @@ def packed_shards(docs: DataFrame, text: str = "text") -> DataFrame:
             yield put()
 
     name = f"shards_{uuid.uuid4().hex}"
-    rows = docs.mapInArrow(run, "shard bigint, docs binary")
+    rows = docs.mapInArrow(freed(run), "shard bigint, docs binary")
     writer = rows.write.format("parquet").option("path", new_path(spark, "shards")).bucketBy(ranges_of(docs), "shard")
     writer.saveAsTable(name)
     return spark.table(name)
@@ -103,7 +104,7 @@ def ask(shards: DataFrame, questions: Callable[[pa.Table], list[Asked]], answer:
                     yield pa.RecordBatch.from_pylist(rows, sent)
 
     sent = pa.schema([("topic", pa.int32()), ("part", pa.int32()), ("shard", pa.int64()), ("keys", pa.binary()), ("numbers", pa.binary())])
-    asked = shards.mapInArrow(send, "topic int, part int, shard bigint, keys binary, numbers binary")
+    asked = shards.mapInArrow(freed(send), "topic int, part int, shard bigint, keys binary, numbers binary")
 
     def combine(rows: pa.Table) -> pa.Table:
         topic = rows.column("topic")[0].as_py()
@@ -125,7 +126,7 @@ def ask(shards: DataFrame, questions: Callable[[pa.Table], list[Asked]], answer:
         )
 
     kind = "shard bigint, topic int, part int, answer binary, sums array<bigint>"
-    return stage(asked.groupBy("topic", "part").applyInArrow(combine, kind), "answers")
+    return stage(asked.groupBy("topic", "part").applyInArrow(freed_group(combine), kind), "answers")
 
 
 def summed(replies: DataFrame, topic: int, count: int) -> list[int]:
@@ -163,7 +164,7 @@ def answered(shards: DataFrame, replies: DataFrame, run: Callable, schema: str,
         return run(opened(one.column("docs")[0].as_buffer()), two)
 
     known = replies.where(F.col(what).isNotNull())
-    return shards.groupBy("shard").cogroup(known.groupBy(what)).applyInArrow(both, schema)
+    return shards.groupBy("shard").cogroup(known.groupBy(what)).applyInArrow(freed_cogroup(both), schema)
 
 
 def ddl(df: DataFrame) -> str:

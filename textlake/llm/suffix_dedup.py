@@ -33,6 +33,7 @@ from textlake.llm.arrays import (
     ODD_A, ODD_B, ODD_C, cut, mix, packed, pieces, range_hashes, ranges, row_ids, text_bytes, unpacked,
 )
 from textlake.llm.columns import carried
+from textlake.llm.memory import freed_group
 from textlake.llm.shards import answered, answers_of, ask, ddl, packed_shards, ranges_of, totals
 from textlake.plans.staging import stage
 
@@ -379,8 +380,11 @@ def _covered(shard: Shard, strings: Strings, replies: pa.Table) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """docs with spans (begin, end of removed bytes), kept (what remains) as bytes."""
+def repeated(docs: DataFrame, readable: bool = False) -> DataFrame:
+    """docs with spans (begin, end of removed bytes), kept (what remains) as bytes.
+
+    readable: kept is text, without the characters that are cut at the edge of a removed passage.
+    """
     docs = docs.drop("spans", "kept")
     shards = packed_shards(docs)
     sorters = 2 * ranges_of(docs)
@@ -395,7 +399,7 @@ def repeated(docs: DataFrame) -> DataFrame:
         return pa.Table.from_pylist(rows, SENT)
 
     sent = answered(shards, replies, send, "sorter bigint, shard bigint, data binary, sizes binary, docs binary")
-    sorted_ = stage(sent.groupBy("sorter").applyInArrow(_sorted, REPLY), "sorted")
+    sorted_ = stage(sent.groupBy("sorter").applyInArrow(freed_group(_sorted), REPLY), "sorted")
     # both kinds of answers reach the shard together
     names = replies.selectExpr("shard", "cast(part as bigint) part", "topic", "answer").where("shard is not null")
     both = names.unionByName(sorted_, allowMissingColumns=True)
@@ -414,9 +418,14 @@ def repeated(docs: DataFrame) -> DataFrame:
         pairs = pa.StructArray.from_arrays([pa.array(begins - zero), pa.array(ends - zero)], names=["begin", "end"])
         lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(np.bincount(row, minlength=len(shard.ids)))).astype("int32"), pairs)
         kept = [shard.data[a:b][~gone[a:b]].tobytes() for a, b in zip(shard.offsets[:-1], shard.offsets[1:], strict=True)]
-        return table.append_column("spans", lists.cast(span)).append_column("kept", pa.array(kept, pa.binary()))
+        if readable:  # here, because another function would take another worker for each task
+            kept = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())
+        else:
+            kept = pa.array(kept, pa.binary())
+        return table.append_column("spans", lists.cast(span)).append_column("kept", kept)
 
-    return answered(shards, both, remove, f"{ddl(docs)}, spans array<struct<begin: bigint, end: bigint>>, kept binary")
+    kind = "string" if readable else "binary"
+    return answered(shards, both, remove, f"{ddl(docs)}, spans array<struct<begin: bigint, end: bigint>>, kept {kind}")
 
 
 SENT = pa.schema([("sorter", pa.int64()), ("shard", pa.int64()), ("data", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary())])
@@ -442,18 +451,10 @@ def drop_repeated(docs: DataFrame) -> DataFrame:
 
 
 def _without_repeated(docs: DataFrame) -> DataFrame:
-    found = repeated(docs)
-    text = F.when(F.size("spans") > 0, _readable("kept")).otherwise(F.col("text"))
+    found = repeated(docs, readable=True)
+    text = F.when(F.size("spans") > 0, F.col("kept")).otherwise(F.col("text"))
     found = found.withColumn("text", text)
     if "n_chars" in docs.columns:
         chars = F.when(F.size("spans") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType))
     return found
-
-
-def _readable(column: str):
-    @F.pandas_udf("string")
-    def readable(blobs):
-        return blobs.map(lambda b: b.decode("utf-8", "ignore"))
-
-    return readable(column)

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from textlake.llm.arrays import BYTES, LOWER, ODD_A, ODD_B, cut, mix, pieces, range_hashes, text_bytes
 from textlake.llm.columns import carried
+from textlake.llm.memory import freed
 from textlake.plans.ranking import running_total
 from textlake.plans.staging import stage
 
@@ -252,7 +253,7 @@ def _counts(texts: DataFrame) -> DataFrame:
                 words, has, bad = counts(b, labels[first:last])
                 yield pa.RecordBatch.from_arrays([pa.array(words.view("int64")), pa.array(has), pa.array(bad)], names=["word", "has", "bad"])
 
-    parts = texts.mapInArrow(run, "word bigint, has bigint, bad bigint")
+    parts = texts.mapInArrow(freed(run), "word bigint, has bigint, bad bigint")
     return parts.groupBy("word").agg(F.sum("has").alias("has"), F.sum("bad").alias("bad"))
 
 
@@ -303,7 +304,7 @@ def _sentences(texts: DataFrame, words: np.ndarray) -> DataFrame:
                 blobs = [said[ends[i] : ends[i + 1]].tobytes() for i in range(last - first)]
                 yield pa.RecordBatch.from_arrays([batch.column("label").slice(first, last - first), pa.array(blobs, pa.binary())], names=["label", "said"])
 
-    return texts.mapInArrow(run, "label bigint, said binary").groupBy("label", "said").agg(F.count("*").alias("rows"))
+    return texts.mapInArrow(freed(run), "label bigint, said binary").groupBy("label", "said").agg(F.count("*").alias("rows"))
 
 
 def bounded(said: DataFrame) -> DataFrame:
@@ -350,7 +351,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, folds: int = 3)
         yield pa.RecordBatch.from_pydict({"weights": [weights.astype("<f4").tobytes()], "base": [base]})
 
     one = said.repartition(1).sortWithinPartitions("said", "label")  # SAMPLE_BYTES at most
-    blob, base = one.mapInArrow(run, "weights binary, base double").first()
+    blob, base = one.mapInArrow(freed(run), "weights binary, base double").first()
     weights = np.frombuffer(blob, "<f4").astype("float64")
     return Model(words[weights > 0], weights[weights > 0], base=base, background=background)
 
@@ -382,7 +383,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     kind = "score double, offending array<struct<begin: bigint, end: bigint, score: double>>"
-    return docs.mapInArrow(run, f"{_ddl(docs)}, {kind}")
+    return docs.mapInArrow(freed(run), f"{_ddl(docs)}, {kind}")
 
 
 def _ddl(df: DataFrame) -> str:
