@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +54,27 @@ def test_blocks_are_merged_by_binary_search():
                 assert b.least[b.place[60 * k + p]] == first[s[p : p + 50]]
 
 
+@pytest.mark.parametrize("alphabet", [b"a", b"ab", b"\0\1", bytes(range(256))])
+@pytest.mark.parametrize("share", [0.1, 0.6, 0.95])
+def test_common_prefixes_of_some_suffixes(alphabet, share):
+    rng = random.Random(3)
+    text = bytes(rng.choice(alphabet) for _ in range(200)) * 4
+    order = [i for i in sorted(range(len(text)), key=lambda i: text[i:]) if rng.random() < share]
+
+    def shared(a: bytes, b: bytes) -> int:
+        return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+    expected = [0, *(min(50, shared(text[a:], text[b:])) for a, b in zip(order, order[1:], strict=False))]
+    assert common_prefixes(np.frombuffer(text, "uint8"), np.array(order)).tolist() == expected
+
+
+def test_distinct_strings_with_one_hash_in_common():
+    one, two = np.array([5, 5, 5, 2, 5], "uint64"), np.array([1, 9, 1, 1, 9], "uint64")
+    number, head, least = suffix_dedup.distinct(one, two, np.array([7, 3, 6, 4, 8]))
+    assert [least[n] for n in number] == [6, 3, 6, 4, 3] and len(head) == 3
+    assert [(one[head[n]], two[head[n]]) for n in number] == list(zip(one, two, strict=True))
+
+
 def cases() -> list[tuple]:
     rng = random.Random(5)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 8))) for _ in range(300)]
@@ -66,6 +89,47 @@ def cases() -> list[tuple]:
     return docs
 
 
+@pytest.mark.parametrize("crowded", [2000, 3])
+def test_blocks_of_a_sorter_hold_whole_names(monkeypatch, crowded):
+    """Only the blocks of a name too large for one are merged; no window is in other blocks too."""
+    merged, blocks = [], []
+
+    class Recorded(Block):
+        def __init__(self, *parts):
+            super().__init__(*parts)
+            blocks.append(self)
+
+    monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 500)
+    monkeypatch.setattr(suffix_dedup, "Block", Recorded)
+    monkeypatch.setattr(suffix_dedup, "merge", lambda some: (merged.append(some), merge(some)))
+    docs = cases()
+    tables = [pa.table({"doc_id": pa.array([d for d, _ in x], pa.int64()), "text": pa.array([t for _, t in x], pa.string())}) for x in (docs[:50], docs[50:90], docs[90:])]
+    shards = [suffix_dedup.Shard(t) for t in tables]
+    asked = [s.questions()[0] for s in shards]
+    state, _ = suffix_dedup._answer(0, *(np.concatenate(x) for x in zip(*asked, strict=True)))
+    states = np.split(state, np.cumsum([len(k) for k, _ in asked])[:-1])
+    strings = [suffix_dedup.Strings(s, x, 2) for s, x in zip(shards, states, strict=True)]
+    sent = [r for n, (s, x) in enumerate(zip(shards, strings, strict=True)) for r in suffix_dedup._send(s, x, n)]
+    replies = []
+    for sorter in (0, 1):
+        blocks.clear()
+        merged.clear()
+        replies.append(suffix_dedup._sorted(pa.Table.from_pylist([r for r in sent if r["sorter"] == sorter], suffix_dedup.SENT)))
+        together = [set().union(*(b.heads for b in some)) for some in merged]
+        alone = [set(b.heads) for b in blocks if not any(b is x for some in merged for x in some)]
+        assert len(alone) > 10 and (crowded == 3 or max(map(len, merged), default=0) > 2)
+        assert len(set().union(*alone, *together)) == sum(map(len, [*alone, *together]))
+    replies, found = pa.concat_tables(replies), []
+    for number, (shard, x, table) in enumerate(zip(shards, strings, tables, strict=True)):
+        gone = suffix_dedup._covered(shard, x, replies.filter(pa.array([n == number for n in replies.column("shard").to_pylist()])))
+        for doc, a, b in zip(table.column("doc_id").to_pylist(), shard.offsets[:-1], shard.offsets[1:], strict=True):
+            spans = np.flatnonzero(np.diff(np.append(0, gone[a:b].astype("int8"))) == 1)
+            found.append((doc, b - a, gone[a:b].sum(), len(spans), hashlib.sha256(shard.data[a:b][~gone[a:b]].tobytes()).hexdigest()))
+    order = lambda r: tuple(str(x) for x in r)
+    assert sorted(found, key=order) == sorted(brute.removed(docs), key=order)
+
+
 @pytest.mark.parametrize("crowded", [2000, 3])
 def test_removed_bytes(spark, monkeypatch, crowded):
     monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)

@@ -9,10 +9,11 @@ smaller doc_id. Strings of 50 bytes (windows) that repeat are found in three ste
 2. Runs of windows with one shared name are sent, as their bytes, to the sorter of that name.
    A name with very many runs is split: its windows are dealt out one by one, each by a hash of
    its own bytes. Equal strings of a shard are sent once, with their smallest doc_id.
-3. A sorter takes its strings in blocks of a few megabytes. Each block gets a suffix array by
-   Larsson-Sadakane refinement, and common prefixes by Kasai's method; windows whose suffixes
-   share 50 bytes are equal. Blocks are merged by binary search of each block's distinct
-   windows among the others', and every shard learns where a smaller doc_id has its windows.
+3. A sorter takes its strings in blocks that fit a processor's cache, by name. Each block gets a
+   suffix array by Larsson-Sadakane refinement, and common prefixes by Kasai's method; windows
+   whose suffixes share 50 bytes are equal. Names too large for a block get several, which are
+   merged by binary search of each block's distinct windows among the others'; other blocks have
+   no window in common. Every shard learns where a smaller doc_id has its windows.
 
 Defined results: a null or empty text has nothing to remove, nor has one of less than 50
 bytes. Matches don't cross documents. Rows with the same doc_id don't remove each other's
@@ -40,7 +41,8 @@ from textlake.plans.staging import stage
 WINDOW = 50  # bytes of a repeated string
 GRAM = 16  # bytes that name a window
 CROWDED = 2000  # a name with more runs of windows is split by window
-BLOCK = 1_000_000  # bytes sorted at once
+BLOCK = 200_000  # bytes sorted at once
+PART = 50_000  # places named or hashed at once, so that their arrays stay in a processor's cache
 NEVER = np.iinfo("int64").max
 
 
@@ -52,8 +54,13 @@ def words_at(data: np.ndarray, n: int) -> np.ndarray:
 def window_names(data: np.ndarray) -> np.ndarray:
     """The name of the window at each place of data (uint8); empty if there is no window."""
     n = len(data) - WINDOW + 1
-    if n <= 0:
-        return np.empty(0, "uint64")
+    names = np.empty(max(n, 0), "uint64")
+    for at in range(0, n, PART):
+        names[at : at + PART] = _names(data[at : at + PART + WINDOW - 1])
+    return names
+
+
+def _names(data: np.ndarray) -> np.ndarray:
     eight = words_at(np.append(data, np.zeros(8, "uint8")), len(data) - 7)
     least = eight[:-8] * ODD_A
     least ^= least >> np.uint64(32)
@@ -111,33 +118,42 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     return order
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, most: int = WINDOW, lanes: int = 64) -> np.ndarray:
+def common_prefixes(data: np.ndarray, order: np.ndarray, most: int = WINDOW, lanes: int = 8) -> np.ndarray:
     """Common prefix, up to `most` bytes, of each suffix in order with the one before it.
 
-    Kasai: the suffix one byte on shares at least one byte less with its predecessor. The text
-    is gone through in lanes side by side, each of `lanes` bytes, carrying what is known.
+    Kasai: the suffix one byte on shares at least one byte less with its predecessor, if what
+    follows both is in order too, which may leave suffixes out. The suffixes are gone through as
+    in the text, in lanes side by side, each of `lanes` suffixes, carrying what is known.
     """
     n = len(data)
     eight = words_at(np.append(data, np.zeros(most + 16, "uint8")), n + most + 8)
     before = np.full(n, -1)
     before[order[1:]] = order[:-1]
-    room = n - np.maximum(np.arange(n), before)  # bytes up to the end
-    shared = np.zeros(n, "int64")
-    known = np.zeros(-(-n // lanes), "int64")
+    listed = np.zeros(n + 1, bool)
+    listed[order] = True
+    place = np.flatnonzero(listed)
+    other = before[place]
+    carries = listed[place + 1] & listed[other + 1]
+    room = np.where(other < 0, 0, np.minimum(n - np.maximum(place, other), most))  # bytes up to the end
+    found = np.zeros(len(place), "int64")
+    known = np.zeros(-(-len(place) // lanes), "int64")
     for step in range(lanes):
-        at = np.arange(step, n, lanes)
-        known = np.maximum(known[: len(at)] - 1, 0)
-        other = before[at]
-        known[other < 0] = 0
-        going = np.flatnonzero((other >= 0) & (known < most))
+        at, to, end = place[step::lanes], other[step::lanes], room[step::lanes]
+        known = known[: len(at)]
+        going = np.flatnonzero(known < end)
         while len(going):
-            differ = eight[at[going] + known[going]] ^ eight[other[going] + known[going]]
+            have = known[going]
+            differ = eight[at[going] + have] ^ eight[to[going] + have]
             # equal bytes from the lowest on: eight if nothing differs
             equal = (np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3).astype("int64")
-            known[going] += equal
-            going = going[(equal == 8) & (known[going] < most)]
-        np.minimum(known, np.minimum(room[at], most), out=known)
-        shared[at] = known
+            have += equal
+            known[going] = have
+            going = going[(equal == 8) & (have < end[going])]
+        known = np.minimum(known, end)
+        found[step::lanes] = known
+        known = np.maximum(known - 1, 0) * carries[step::lanes]
+    shared = np.zeros(n, "int64")
+    shared[place] = found
     return shared[order]
 
 
@@ -151,21 +167,15 @@ class Block:
         window = np.zeros(len(data), bool)
         window[ranges(self.begins, self.windows)] = True
         order = suffix_array(data)
-        shared = common_prefixes(data, order)
-        # only suffixes that start a window count; what lies between them joins by minimum
-        chosen = np.flatnonzero(window[order])
-        upto = chosen[-1] + 1 if len(chosen) else 0
-        least = np.minimum.reduceat(shared[:upto], np.append(0, chosen[:-1] + 1)) if upto else chosen
-        new = least < WINDOW
+        order = order[window[order]]  # only suffixes that start a window count
+        new = common_prefixes(data, order) < WINDOW
         new[:1] = True
-        number = np.cumsum(new) - 1
         self.place = np.full(len(data), -1)  # class of the window at each place
-        self.place[order[chosen]] = number
+        self.place[order] = np.cumsum(new) - 1
         owner = np.repeat(docs, sizes)
         starts = np.flatnonzero(new)
-        self.least = np.minimum.reduceat(owner[order[chosen]], starts) if len(chosen) else np.empty(0, "int64")
-        heads = order[chosen[starts]] if len(chosen) else np.empty(0, "int64")
-        self.heads = windows_at(data, heads)
+        self.least = np.minimum.reduceat(owner[order], starts) if len(order) else np.empty(0, "int64")
+        self.heads = windows_at(data, order[starts])
 
 
 def windows_at(data: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -176,17 +186,26 @@ def windows_at(data: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 def merge(blocks: list[Block]) -> None:
     """Give every class of every block the smallest document over all blocks, by binary search."""
-    keys, least = blocks[0].heads, blocks[0].least.copy()
-    for b in blocks[1:]:
-        at = np.searchsorted(keys, b.heads)
-        same = at < len(keys)
-        same[same] = keys[at[same]] == b.heads[same]
-        np.minimum.at(least, at[same], b.least[same])
-        keys, least = np.insert(keys, at[~same], b.heads[~same]), np.insert(least, at[~same], b.least[~same])
+    known = [(b.heads, b.least) for b in blocks]
+    while len(known) > 1:  # two and two: a window moves log2(blocks) times
+        known = [_joined(*known[i : i + 2]) for i in range(0, len(known), 2)]
+    keys, least = known[0]
     for b in blocks:
         b.least = least[np.searchsorted(keys, b.heads)]
 
 
+def _joined(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of two blocks in order, each once, with its smaller document."""
+    if two is None:
+        return one
+    keys, least = one[0], one[1].copy()
+    at = np.searchsorted(keys, two[0])
+    same = at < len(keys)
+    same[same] = keys[at[same]] == two[0][same]
+    least[at[same]] = np.minimum(least[at[same]], two[1][same])
+    return np.insert(keys, at[~same], two[0][~same]), np.insert(least, at[~same], two[1][~same])
+
+
 # ---------------------------------------------------------------- shards
 
 
@@ -253,17 +272,18 @@ class Strings:
         row = np.append(shard.row[plain], np.repeat(shard.row[split], shard.windows[split]))
         one, two = self.hashes(shard.data, start, start + windows + WINDOW - 1)
         route = np.append(shard.name[plain], one[len(plain) :])
-        sorter = (mix(route) % np.uint64(sorters)).astype("int64")
         # one of the equal strings is sent, with the smallest document
-        order = np.lexsort((shard.ids[row], two, one, sorter))
-        a, b, c = sorter[order], one[order], two[order]
-        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1]))[: len(order)]
-        self.number = np.empty(len(order), "int64")
-        self.number[order] = np.cumsum(new) - 1
-        head = order[new]
-        self.start, self.windows, self.row = start, windows, row
-        self.sorter, self.head, self.size = sorter[head], start[head], windows[head]
-        self.least = shard.ids[row[head]]
+        number, head, least = distinct(one, two, shard.ids[row])
+        route = mix(route[head])
+        sorter = (route % np.uint64(sorters)).astype("int64")
+        by_sorter = np.argsort(sorter, kind="stable")
+        rank = np.empty(len(head), "int64")
+        rank[by_sorter] = np.arange(len(head))
+        self.number, self.start, self.windows = rank[number], start, windows
+        head = head[by_sorter]
+        self.sorter, self.head, self.size = sorter[by_sorter], start[head], windows[head]
+        self.route = (route >> np.uint64(48)).astype("uint16")[by_sorter]
+        self.least = least[by_sorter]
 
     @staticmethod
     def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -273,7 +293,7 @@ class Strings:
         ordered, at = starts[order], 0
         while at < len(order):
             begin = ordered[at]
-            upto = int(np.searchsorted(ordered, begin + 1_000_000, "right"))
+            upto = int(np.searchsorted(ordered, begin + PART, "right"))
             some = order[at:upto]
             stop = ends[some].max()
             part = data[begin:stop]
@@ -286,6 +306,20 @@ class Strings:
 OTHER_CODES = mix(np.arange(1, 257, dtype="uint64") * ODD_C)
 
 
+def distinct(one: np.ndarray, two: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Strings by their two hashes: the number of each, and of each number a string and the smallest document."""
+    order = np.argsort(one)
+    new = np.append(True, one[order][1:] != one[order][:-1])[: len(order)]
+    other = np.append(True, two[order][1:] != two[order][:-1])[: len(order)]
+    if (other & ~new).any():  # the first hash alone doesn't tell some strings apart
+        order = np.lexsort((two, one))
+        new = np.append(True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))
+    number = np.empty(len(order), "int64")
+    number[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return number, order[first], np.minimum.reduceat(docs[order], first) if len(order) else docs
+
+
 def _send(shard: Shard, strings: Strings, name: int) -> Iterator[dict]:
     some = np.unique(strings.sorter)
     edges = np.searchsorted(strings.sorter, np.append(some, NEVER))
@@ -295,9 +329,27 @@ def _send(shard: Shard, strings: Strings, name: int) -> Iterator[dict]:
         yield {
             "sorter": int(sorter), "shard": name, "data": packed(data),
             "sizes": packed((strings.size[own] + WINDOW - 1).astype("int64")), "docs": packed(strings.least[own]),
+            "routes": packed(strings.route[own]),
         }
 
 
+def blocks_of(routes: np.ndarray, sizes: np.ndarray) -> Iterator[list[slice]]:
+    """Strings in order of their routes, cut into blocks of whole routes; several for a route that is too large for one."""
+    total = np.append(0, np.cumsum(sizes))
+    edges = np.append(np.flatnonzero(np.append(True, routes[1:] != routes[:-1])), len(routes))
+    bytes_to = total[edges]
+    at = 0
+    while at < len(edges) - 1:
+        fits = int(np.searchsorted(bytes_to, bytes_to[at] + BLOCK, "right")) - 1
+        upto = max(fits, at + 1)
+        cuts = [edges[at]]
+        while cuts[-1] < edges[upto]:
+            stop = int(np.searchsorted(total, total[cuts[-1]] + BLOCK, "right")) - 1
+            cuts.append(min(max(stop, cuts[-1] + 1), edges[upto]))
+        yield [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        at = upto
+
+
 def _sorted(rows: pa.Table) -> pa.Table:
     """For each shard of a sorter: (string, first window, windows, smallest document) where it is not the shard's own."""
     shards = rows.column("shard").to_pylist()
@@ -305,31 +357,28 @@ def _sorted(rows: pa.Table) -> pa.Table:
     sizes, docs = parts("sizes", "int64"), parts("docs", "int64")
     upto = np.cumsum([0, *map(len, sizes)])
     data, sizes, docs = np.concatenate(parts("data", "uint8")), np.concatenate(sizes), np.concatenate(docs)
+    routes = np.concatenate(parts("routes", "uint16"))
     begins = np.cumsum(sizes) - sizes
     # equal strings of several shards are sorted once, with their smallest document
-    one, two = Strings.hashes(data, begins, begins + sizes)
-    order = np.lexsort((docs, two, one))
-    new = np.append(True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))
-    number = np.empty(len(order), "int64")
-    number[order] = np.cumsum(new) - 1
-    head = order[new]
-    blocks, at = [], 0
-    total = np.cumsum(sizes[head])
-    while at < len(head):
-        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + BLOCK, "right")))
-        some = head[at:stop]
-        blocks.append(Block(data[ranges(begins[some], sizes[some])], sizes[some], docs[some]))
-        at = stop
-    merge(blocks)
+    number, head, lowest = distinct(*Strings.hashes(data, begins, begins + sizes), docs)
+    # equal windows have equal routes
+    by_route = np.argsort(routes[head], kind="stable")
+    rank = np.empty(len(head), "int64")
+    rank[by_route] = np.arange(len(head))
+    number, head, lowest = rank[number], head[by_route], lowest[by_route]
     # runs of windows of one string with the same smallest document
     runs, base = [], 0
-    for b in blocks:
-        string = np.repeat(np.arange(len(b.begins)), b.windows)
-        place = ranges(b.begins, b.windows)
-        least = b.least[b.place[place]]
-        first = np.flatnonzero(np.append(True, (string[1:] != string[:-1]) | (least[1:] != least[:-1])))
-        runs.append((string[first] + base, (place - b.begins[string])[first], np.diff(np.append(first, len(string))), least[first]))
-        base += len(b.begins)
+    for some in blocks_of(routes[head], sizes[head]):
+        blocks = [Block(data[ranges(begins[head[x]], sizes[head[x]])], sizes[head[x]], lowest[x]) for x in some]
+        if len(blocks) > 1:
+            merge(blocks)
+        for b in blocks:
+            string = np.repeat(np.arange(len(b.begins)), b.windows)
+            place = ranges(b.begins, b.windows)
+            least = b.least[b.place[place]]
+            first = np.flatnonzero(np.append(True, (string[1:] != string[:-1]) | (least[1:] != least[:-1])))
+            runs.append((string[first] + base, (place - b.begins[string])[first], np.diff(np.append(first, len(string))), least[first]))
+            base += len(b.begins)
     string, offset, length, least = (np.concatenate(x) for x in zip(*runs, strict=True))
     times = np.bincount(string, minlength=len(head))
     starts = np.cumsum(times) - times
@@ -374,10 +423,10 @@ def _covered(shard: Shard, strings: Strings, replies: pa.Table) -> np.ndarray:
         least[ranges(start, size)] = np.repeat(np.repeat(doc, times), size)
     owner = np.repeat(shard.ids, np.diff(shard.offsets))
     starts = np.flatnonzero(least < owner)
-    edge = np.zeros(len(shard.data) + 1, "int64")
+    edge = np.zeros(len(shard.data) + 1, "int8")  # no more than WINDOW windows cover a byte
     edge[starts] += 1
     edge[starts + WINDOW] -= 1
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype="int8") > 0
 
 
 def repeated(docs: DataFrame, readable: bool = False) -> DataFrame:
@@ -398,7 +447,7 @@ def repeated(docs: DataFrame, readable: bool = False) -> DataFrame:
             rows = list(_send(shard, strings, answers.column("shard")[0].as_py()))
         return pa.Table.from_pylist(rows, SENT)
 
-    sent = answered(shards, replies, send, "sorter bigint, shard bigint, data binary, sizes binary, docs binary")
+    sent = answered(shards, replies, send, "sorter bigint, shard bigint, data binary, sizes binary, docs binary, routes binary")
     sorted_ = stage(sent.groupBy("sorter").applyInArrow(freed_group(_sorted), REPLY), "sorted")
     # both kinds of answers reach the shard together
     names = replies.selectExpr("shard", "cast(part as bigint) part", "topic", "answer").where("shard is not null")
@@ -428,7 +477,7 @@ def repeated(docs: DataFrame, readable: bool = False) -> DataFrame:
     return answered(shards, both, remove, f"{ddl(docs)}, spans array<struct<begin: bigint, end: bigint>>, kept {kind}")
 
 
-SENT = pa.schema([("sorter", pa.int64()), ("shard", pa.int64()), ("data", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary())])
+SENT = pa.schema([("sorter", pa.int64()), ("shard", pa.int64()), *((c, pa.binary()) for c in ("data", "sizes", "docs", "routes"))])
 
 
 def repeated_digests(docs: DataFrame) -> DataFrame:
