@@ -59,6 +59,18 @@ def test_links_and_components(spark, monkeypatch, group, tile):
     assert sorted(tuple(r) for r in embedding_dedup.near_vectors(df).collect()) == brute(vectors)
 
 
+@pytest.mark.parametrize("block", [1, 16 * 8 * 100])
+def test_blocks_of_groups_without_copies_of_vectors(spark, monkeypatch, block):
+    plans, stage = [], embedding_dedup.stage
+    monkeypatch.setattr(embedding_dedup, "GROUP", 40)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block, raising=False)
+    monkeypatch.setattr(embedding_dedup, "stage", lambda df, label: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stage(df, label))
+    vectors = cases()
+    found = embedding_dedup.near_vectors(spark.createDataFrame(vectors, SCHEMA).repartition(3))
+    assert sorted(tuple(r) for r in found.collect()) == brute(vectors)
+    assert plans and not any("Generate" in plan for plan in plans)  # no vector is multiplied by the groups that it meets
+
+
 def test_bounds_are_rigorous():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(200, 24))

@@ -6,9 +6,11 @@ e. For two vectors the product of the codes gives the cosine up to
 that are dropped for certain and only the others are recomputed in double precision.
 
 Equal vectors form one class. Classes are dealt out to groups around pivots; two groups meet
-in a task only if the angles to their pivots allow a pair (triangle inequality). A task
-works tile by tile and returns counts of links per vector and a spanning forest of them,
-never all pairs.
+only if the angles to their pivots allow a pair (triangle inequality). Groups are written once.
+Round by round all tasks get a block of them, bounded in bytes, and compare it with the groups
+that they read, so no vector is copied to the groups that it meets and disk grows with the table
+alone. A task works tile by tile and returns counts of links per vector and a spanning forest
+of them, never all pairs.
 
 Defined results: vectors that are null, empty or zero, hold null or non-finite components,
 or lie so near to zero or infinity that they have no length, link with nothing. Vectors of
@@ -28,12 +30,14 @@ from pyspark.sql import functions as F
 
 from textlake.llm.arrays import mix, spreads
 from textlake.llm.graph import components
-from textlake.plans.staging import stage
+from textlake.plans.staging import stage, stacked
 
 THRESHOLD = 0.95
 GROUP = 4096  # vectors of a group, about
 MOST_GROUPS = 1024  # pivots are broadcast
 TILE = 1024  # vectors multiplied at once
+BLOCK = 32_000_000  # bytes of vectors that all tasks get at once, or one group
+MOST_FILES = 256  # of the written groups
 
 _CLASS = "vec_id bigint, class string, unit array<double>"
 
@@ -135,8 +139,25 @@ def _pivots(classes: DataFrame, count: int, length: int) -> np.ndarray:
     return np.array([r["unit"] for r in rows])
 
 
-def _linked(classes: DataFrame, count: int, length: int, threshold: float) -> DataFrame:
-    """(class, other, n): links to n vectors of other classes; other is set for a spanning forest."""
+def _blocks(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """First and last cells of blocks that hold no more than so many vectors, or a single cell; sizes: (cell, n) in order."""
+    found, held = [], 0
+    for cell, n in sizes:
+        if found and held + n <= most:
+            found[-1], held = (found[-1][0], cell), held + n
+        else:
+            found.append((cell, cell))
+            held = n
+    return found
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, length: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, length)
+
+
+def _linked(classes: DataFrame, count: int, length: int, threshold: float) -> list[DataFrame]:
+    """Written (class, other, n): links to n vectors of other classes; other is set for a spanning forest."""
     groups = int(min(MOST_GROUPS, max(1, np.ceil(count / GROUP))))
     spark = classes.sparkSession
     pivots = spark.sparkContext.broadcast(_pivots(classes, groups, length))
@@ -153,44 +174,65 @@ def _linked(classes: DataFrame, count: int, length: int, threshold: float) -> Da
         "vectors",
     )
     sizes = dealt.groupBy("group").agg(F.max("angle").alias("angle"), F.count("*").alias("n")).orderBy("group").collect()
-    # a group that holds more than its share is cut into parts that meet one another
-    parts = {r["group"]: max(1, -(-r["n"] // GROUP)) for r in sizes}
-    angles = np.arccos(np.clip(pivots.value @ pivots.value.T, -1, 1))
+    # a group that holds more than its share is cut into parts, its cells
+    parts = [max(1, -(-r["n"] // GROUP)) for r in sizes]
+    starts = np.cumsum([0, *parts])
+    radius, chosen = np.array([r["angle"] for r in sizes]), [r["group"] for r in sizes]
+    angles = np.arccos(np.clip(pivots.value @ pivots.value.T, -1, 1))[np.ix_(chosen, chosen)]
     reach = float(np.arccos(threshold)) + 1e-6
-    meets = [
-        (f["group"], g["group"])
-        for f in sizes for g in sizes
-        if f["group"] <= g["group"] and angles[f["group"], g["group"]] - f["angle"] - g["angle"] <= reach
-    ]
-    table = spark.createDataFrame(meets, "g1 int, g2 int")  # at most MOST_GROUPS squared numbers
-    part_of = F.create_map(*[F.lit(v) for kv in parts.items() for v in kv])
-    placed = dealt.withColumn("part", F.pmod(F.xxhash64("class"), part_of[F.col("group")]).cast("int")).drop("angle")
-    first = placed.join(F.broadcast(table), F.col("group") == F.col("g1")).withColumn("side", F.lit(0))
-    first = first.withColumn("p1", F.col("part")).withColumn("p2", F.explode(F.sequence(F.lit(0), part_of[F.col("g2")] - 1)))
-    second = placed.join(F.broadcast(table), F.col("group") == F.col("g2")).withColumn("side", F.lit(1))
-    second = second.withColumn("p2", F.col("part")).withColumn("p1", F.explode(F.sequence(F.lit(0), part_of[F.col("g1")] - 1)))
-    keys = ["g1", "p1", "g2", "p2"]
-    cells = first.unionByName(second).where("g1 < g2 or p1 < p2 or (p1 = p2 and side = 0)")
-
-    def compare(cell: pd.DataFrame) -> pd.DataFrame:
-        cell = cell.sort_values(["side", "class"], ignore_index=True)
-        x, n = np.stack(cell["unit"].to_numpy()), cell["n"].to_numpy("int64")
-        cut = int((cell["side"] == 0).sum())
-        counts, parent = np.zeros(len(x), "int64"), np.arange(len(x))
-        ends: list[tuple[int, int]] = []
-        alone = cut == len(x)
-        for a, b in links_between(x if alone else x[:cut], None if alone else x[cut:], threshold):
-            b = b if alone else b + cut
-            counts += np.bincount(a, n[b], len(x)).astype("int64") + np.bincount(b, n[a], len(x)).astype("int64")
-            ends += [(a[k], b[k]) for k in forest(a, b, parent)]
-        names = cell["class"].to_numpy()
+    meets = angles - radius[:, None] - radius <= reach
+    np.fill_diagonal(meets, True)
+    places = [(g, int(starts[i]), parts[i]) for i, g in enumerate(chosen)]
+    table = spark.createDataFrame(places, "group int, start int, parts int")  # at most MOST_GROUPS numbers
+    cell = (F.col("start") + F.pmod(F.xxhash64("class"), F.col("parts"))).cast("int")
+    placed = dealt.join(F.broadcast(table), "group").select("class", "unit", "n", cell.alias("cell"))
+    placed = stage(placed.repartition(int(min(starts[-1], MOST_FILES)), "cell").sortWithinPartitions("cell"), "vector-cells")
+    cells = placed.groupBy("cell").agg(F.count("*").alias("n")).orderBy("cell").collect()
+    blocks = _blocks([(r["cell"], r["n"]) for r in cells], max(GROUP, BLOCK // (8 * length)))
+    group_of = np.repeat(np.arange(len(parts)), parts)  # by cell
+    return [_links_with(placed, first, last, length, threshold, group_of, meets) for first, last in blocks]
+
+
+def _links_with(placed: DataFrame, first: int, last: int, length: int, threshold: float, group_of: np.ndarray, meets: np.ndarray) -> DataFrame:
+    """Written links of all vectors with those of the cells from first to last; of two cells, one looks at the other."""
+    block = placed.where(F.col("cell").between(first, last)).toArrow()  # BLOCK bytes or a cell
+    names, n = block.column("class").to_pylist(), block.column("n").to_numpy()
+    shared = placed.sparkSession.sparkContext.broadcast((names, _matrix(block.column("unit"), length), n, block.column("cell").to_numpy()))
+
+    def rows(names: list, others: list, n: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(others, pa.string()), pa.array(n, pa.int64())], names=["class", "other", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, block, n, cells = shared.value
+        counts, parent = np.zeros(len(names), "int64"), np.arange(len(names))
+        for batch in batches:
+            units, times = _matrix(batch.column("unit"), length), batch.column("n").to_numpy()
+            own, at = batch.column("class").to_pylist(), batch.column("cell").to_numpy()
+            sums, ends = np.zeros(len(own), "int64"), []
+            trees = np.concatenate([parent, np.arange(len(names), len(names) + len(own))])
+            for c in np.unique(at):
+                looks = (cells == c) | (((cells + c) % 2 == 0) == (cells > c)) & meets[group_of[c], group_of[cells]]
+                x, y = np.flatnonzero(at == c), np.flatnonzero(looks)
+                if not len(y):
+                    continue
+                for a, b in links_between(units[x], block[y], threshold):
+                    a, b = x[a], y[b]
+                    once = cells[b] != c
+                    once[~once] = [own[i] < names[j] for i, j in zip(a[~once], b[~once], strict=True)]
+                    a, b = a[once], b[once]
+                    np.add.at(sums, a, n[b])
+                    np.add.at(counts, b, times[a])
+                    ends += [(own[a[k]], names[b[k]]) for k in forest(a + len(names), b, trees)]
+            parent = trees[: len(names)]  # a tree's top is its least number
+            hit = np.flatnonzero(sums)
+            yield rows([own[i] for i in hit], [None] * len(hit), sums[hit])
+            yield rows([a for a, _ in ends], [b for _, b in ends], [0] * len(ends))
         hit = np.flatnonzero(counts)
-        one = pd.DataFrame({"class": names[hit], "other": None, "n": counts[hit]})
-        two = pd.DataFrame({"class": [names[a] for a, _ in ends], "other": [names[b] for _, b in ends], "n": 0})
-        return pd.concat([one, two]).astype({"n": "int64"})
+        yield rows([names[i] for i in hit], [None] * len(hit), counts[hit])
 
-    columns = [*keys, "side", "class", "unit", "n"]
-    return cells.select(columns).groupBy(*keys).applyInPandas(compare, "class string, other string, n bigint")
+    found = stage(placed.mapInArrow(run, "class string, other string, n bigint"), "vector-links")
+    shared.destroy()
+    return found
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -202,10 +244,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     classes = stage(sums, "vector-classes")
     lengths = classes.groupBy(F.size("unit").alias("length")).agg(F.count("*").alias("n")).orderBy("length").collect()
-    found = classes.select("class", F.lit(None).cast("string").alias("other"), F.lit(0).cast("bigint").alias("n")).limit(0)
+    none = classes.select("class", F.lit(None).cast("string").alias("other"), F.lit(0).cast("bigint").alias("n")).limit(0)
+    found = [none]
     for r in lengths:  # as many as there are lengths of vectors, mostly one
-        found = found.union(_linked(classes.select("class", "unit", "n"), r["n"], r["length"], threshold))
-    found = stage(found, "vector-links")
+        found += _linked(classes.select("class", "unit", "n"), r["n"], r["length"], threshold)
+    found = stage(stacked(found), "vector-links")
     roots = components(found.where("other is not null").select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")))
     counts = found.groupBy("class").agg(F.sum("n").alias("links"))
     known = classes.drop("unit").join(counts, "class", "left").join(roots.withColumnRenamed("node", "class"), "class", "left")
