@@ -89,12 +89,16 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def possible(a: tuple, b: tuple, threshold: float) -> np.ndarray:
-    """Which pairs of quantised rows may reach the threshold."""
-    # products of int8 codes are whole numbers below 2^24 for up to 1040 places: exact in float32
-    kind = "float32" if a[0].shape[1] * 127 * 127 < 1 << 24 else "float64"
-    near = (a[0].astype(kind) @ b[0].astype(kind).T).astype("float64") * a[1][:, None] * b[1]
-    slack = a[2][:, None] + b[2] + a[2][:, None] * b[2]
-    return near + slack >= threshold - 1e-12
+    """Which pairs of quantised rows may reach the threshold.
+
+    One product in float32, of codes with scaled codes, against a bound for each row of a: the largest
+    errors of both sides, and what float32 may lose in so many terms.
+    """
+    near = a[0].astype("float32") @ (b[0].astype("float32") * b[1].astype("float32")[:, None]).T
+    one, two = a[2].max(initial=0), b[2].max(initial=0)
+    slack = one + two + one * two + (a[0].shape[1] + 8) * 2.0**-23 * (1 + one) * (1 + two)
+    least = np.nextafter(((threshold - 1e-12 - slack) / a[1]).astype("float32"), np.float32(-np.inf))
+    return near >= least[:, None]
 
 
 def links_between(x: np.ndarray, y: np.ndarray | None, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
