@@ -102,3 +102,45 @@ def test_training_equals_a_public_tokenizer(spark, monkeypatch, bounds):
     public.train_from_iterator(texts, vocab_size=size, min_frequency=2, special_tokens=SPECIALS, show_progress=False)
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in json.loads(public.to_str())["model"]["merges"]]
     assert bpe.bpe_train(bpe.word_counts(docs), size) == merges
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_words_rewritten_by_chains(seed):
+    rng = random.Random(seed)
+    names = list("abcd")
+    known, rows = {s: i for i, s in enumerate(names)}, Counter()
+    for _ in range(40):
+        rows["".join(letter(rng.randrange(4)) for _ in range(rng.randint(2, 12)))] += rng.randint(1, 9)
+    counts = Counter()
+    for word, n in rows.items():
+        for i in range(len(word) - 1):
+            counts[word[i : i + 2]] += n
+    top = sorted((-n, p) for p, n in counts.items())[:5]
+    pairs, chains = {p for _, p in top}, Counter()
+    for word, n in rows.items():
+        for chain in bpe.chains_of(word, pairs):
+            chains[chain] += n
+    merges = bpe.certain_merges(list(chains.items()), (-top[-1][0], top[-1][1]), known, names, 40, 1)
+    joined = {(a, b): letter(known[names[number(a)] + names[number(b)]]) for a, b in merges}
+    ranks, done = {pair: i for i, pair in enumerate(merges)}, {}
+    for word in rows:
+        wanted = list(word)
+        for a, b in merges:
+            wanted = apply(wanted, a, b, joined[a, b])
+        assert bpe.by_chains(word, pairs, ranks, joined, done) == "".join(wanted)
+    assert len(done) <= len(chains)
+
+
+def test_tokens_are_not_shuffled(spark):
+    texts = ["the cat and the other cat", "", None, "éè \n\n don't 12 the\x00cat", "the the the"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    words = bpe.word_counts(docs)
+    vocab, merges = bpe.tokenizer_tables(spark, bpe.bpe_train(words, 300, 1))
+    found = bpe.bpe_encode(docs, vocab, merges, words)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan
+    table = bpe.word_ids(words, vocab, merges)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(tuple(r) for r in bpe._joined(docs, table).collect())
+    twice = docs.union(docs.where("doc_id in (0, 2)")).union(spark.createDataFrame([(None, "cat"), (None, "the")], docs.schema))
+    found, wanted = bpe.bpe_encode(twice, vocab, merges, words), bpe._joined(twice, table)
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlake.functions import text as T
 from textlake.functions.fixed import BPE_SPECIALS
 from textlake.plans.lookup import lookup
-from textlake.plans.staging import stage
+from textlake.plans.staging import stage, stacked
 
 # Fixed value: contractions, words, numbers, other marks (with one leading space), spaces.
 PRE_TOKEN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -22,6 +25,9 @@ MAX_PAIRS = 100_000  # most pairs that a round looks at
 MAX_CHAINS = 200_000  # most chains of them that the driver holds …
 MAX_SYMBOLS = 3_000_000  # … and their symbols together
 FEW_CHAINS = 20_000  # if there are fewer, the next round looks at more pairs
+AT_ONCE = 256  # texts whose distinct words are looked up at once
+REMEMBERED = 128_000_000  # bytes of words and ids that a task remembers, about
+ENTRY = 250  # bytes of an entry besides
 
 
 def byte_symbols() -> list[str]:
@@ -66,10 +72,9 @@ def letter(number: int) -> str:
 
 def top_pairs(words: DataFrame, k: int, min_frequency: int) -> list[tuple[int, str]]:
     """(count, pair) of the k most frequent neighbours over words (spelled, n), ties by symbol."""
-    symbols = words.select("n", T.characters(F.col("spelled")).alias("s"))
-    size = F.size("s") - 1
-    pairs = F.zip_with(F.slice("s", F.lit(1), size), F.slice("s", F.lit(2), size), lambda x, y: F.concat(x, y))
-    rows = symbols.select("n", T.each(F.when(size > 0, pairs)).alias("pair"))
+    size = F.length("spelled") - 1
+    pairs = F.transform(F.sequence(F.lit(1), size), lambda i: F.col("spelled").substr(i, F.lit(2)))
+    rows = words.select("n", T.each(F.when(size > 0, pairs)).alias("pair"))
     counts = rows.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= min_frequency)
     return [(r["n"], r["pair"]) for r in counts.orderBy(F.desc("n"), "pair").limit(k).collect()]
 
@@ -183,20 +188,30 @@ def number(symbol: str) -> int:
     return (code if code < 0xD800 else code - 0x800) - 0x100
 
 
-def _merged(word: str, ranks: dict[tuple[str, str], int], joined: dict[tuple[str, str], str]) -> str:
-    if ranks.keys().isdisjoint(zip(word, word[1:], strict=False)):
-        return word
-    return "".join(segment(word, ranks, joined))
+def by_chains(word: str, pairs: set[str], ranks: dict[tuple[str, str], int], joined: dict[tuple[str, str], str], done: dict[str, str]) -> str:
+    """The word after a round's merges, which never join symbols of two chains; done: chains after them."""
+    found, begin = [], 0
+    for i in range(1, len(word) + 1):
+        if word[i - 1 : i + 1] not in pairs:
+            chain = word[begin:i]
+            if i - begin > 1:
+                if (after := done.get(chain)) is None:
+                    after = done[chain] = "".join(segment(chain, ranks, joined))
+                chain = after
+            found.append(chain)
+            begin = i
+    return "".join(found)
 
 
-def rewritten(words: DataFrame, merges: list[tuple[str, str]], known: dict[str, int], names: list[str]) -> DataFrame:
-    """Words (spelled, n) after some merges, written."""
+def rewritten(words: DataFrame, pairs: set[str], merges: list[tuple[str, str]], known: dict[str, int], names: list[str]) -> DataFrame:
+    """Words (spelled, n) after some merges in the chains of the pairs, written."""
     ranks = {pair: i for i, pair in enumerate(merges)}
     joined = {(a, b): letter(known[names[number(a)] + names[number(b)]]) for a, b in merges}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: dict[str, str] = {}  # no more than the round's chains
         for batch in batches:
-            spelled = [_merged(w, ranks, joined) for w in batch["spelled"]]
+            spelled = [by_chains(w, pairs, ranks, joined, done) for w in batch["spelled"]]
             yield pd.DataFrame({"spelled": spelled, "n": batch["n"]})
 
     rows = words.mapInPandas(run, "spelled string, n bigint")
@@ -223,9 +238,9 @@ def bpe_train(words: DataFrame, vocab_size: int = 30_000, min_frequency: int = 2
         if not top:
             break
         last = top[-1] if len(top) == k else None
-        rows = [(top[0][1], top[0][0])]
+        rows, pairs = [(top[0][1], top[0][0])], {pair for _, pair in top}
         if len(top) > 1:
-            table = chains(current, {pair for _, pair in top})
+            table = chains(current, pairs)
             size = table.agg(F.count("*").alias("rows"), F.sum(F.length("chain")).alias("symbols")).first()
             if size["rows"] > MAX_CHAINS or size["symbols"] > MAX_SYMBOLS:
                 k = max(1, len(top) // 4)
@@ -235,7 +250,7 @@ def bpe_train(words: DataFrame, vocab_size: int = 30_000, min_frequency: int = 2
                 k = min(4 * k, MAX_PAIRS)
         found = certain_merges(rows, last, known, names, vocab_size, min_frequency)
         merges += [(names[number(a)], names[number(b)]) for a, b in found]
-        current = rewritten(current, found, known, names)
+        current = rewritten(current, pairs, found, known, names)
     return merges
 
 
@@ -283,9 +298,57 @@ def word_ids(words: DataFrame, vocab: DataFrame, merges: DataFrame) -> DataFrame
     return stage(words.mapInPandas(run, "word string, n bigint, ids array<int>"), "bpe-word-ids")
 
 
+def encoded(batches: Iterator[pa.RecordBatch], ranks: dict[tuple[str, str], int], ids: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids) of rows (doc_id, words); a distinct word is cut once a task, as long as it is remembered."""
+    known, held, to_shown = {}, 0, str.maketrans(_PLAIN, _SHOWN)
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            rows = batch.slice(at, AT_ONCE)
+            words = rows.column("words")
+            counts = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            table = words.flatten().dictionary_encode()
+            if held > REMEMBERED:
+                known, held = {}, 0
+            cut = []
+            for word in table.dictionary.to_pylist():
+                if (found := known.get(word)) is None:
+                    parts = segment(word.encode().decode("latin-1").translate(to_shown), ranks)
+                    found = known[word] = array("i", [ids[s] for s in parts])
+                    held += ENTRY + len(word) + 4 * len(found)
+                cut.append(found)
+            sizes = np.array([len(x) for x in cut], "int64")
+            starts, values = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(cut), "int32")
+            place = table.indices.to_numpy(zero_copy_only=False)
+            many = sizes[place]
+            ends = np.concatenate([[0], np.cumsum(many)])
+            values = values[np.arange(ends[-1]) + np.repeat(starts[place] - ends[:-1], many)]
+            offsets = ends[np.concatenate([[0], np.cumsum(counts)])].astype("int32")
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))], names=["doc_id", "ids"])
+
+
 def bpe_encode(docs: DataFrame, vocab: DataFrame, merges: DataFrame, words: DataFrame | None = None) -> DataFrame:
-    """(doc_id, ids): token ids of every text."""
-    table = word_ids(words if words is not None else word_counts(docs), vocab, merges)
+    """(doc_id, ids): token ids of every text.
+
+    Texts are encoded in the task that reads them, so their tokens are not shuffled. Rows that share a
+    doc_id become one row, in the order of places; only these are joined with a written word table.
+    vocab and merges are bounded by the vocabulary size and travel with the tasks.
+    """
+    shared = stage(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_id")), "bpe-repeated")
+    ranks = {(r["left"], r["right"]): r["rank"] for r in merges.collect()}
+    ids = {r["token"]: r["id"] for r in vocab.collect()}
+    same, kind = F.col("doc_id").eqNullSafe(F.col("_id")), dict(docs.dtypes)["doc_id"]
+    repeated = not shared.isEmpty()
+    alone = docs.join(shared, same, "left_anti") if repeated else docs
+    own = alone.select("doc_id", pre_tokens(F.col("text")).alias("words"))
+    found = own.mapInArrow(lambda batches: encoded(batches, ranks, ids), f"doc_id {kind}, ids array<int>")
+    if not repeated:
+        return found
+    docs = docs.join(shared, same, "left_semi")
+    return stacked([found, _joined(docs, word_ids(words if words is not None else word_counts(docs), vocab, merges))])
+
+
+def _joined(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """(doc_id, ids) by a join of the texts' words with a written table (word, n, ids)."""
     rows = docs.select("doc_id", F.posexplode_outer(pre_tokens(F.col("text"))).alias("pos", "w"))
     rows = rows.select("doc_id", "pos", to_symbols(F.col("w")).alias("word"))
     found = lookup(rows, table, ["word"], weight="n")
