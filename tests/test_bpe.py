@@ -144,3 +144,9 @@ def test_tokens_are_not_shuffled(spark):
     twice = docs.union(docs.where("doc_id in (0, 2)")).union(spark.createDataFrame([(None, "cat"), (None, "the")], docs.schema))
     found, wanted = bpe.bpe_encode(twice, vocab, merges, words), bpe._joined(twice, table)
     assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_words_without_a_chain(spark):
+    words = spark.createDataFrame([("abcab", 2), ("xyz", 1), ("xy", 5)], "spelled string, n bigint").repartition(3, "n")
+    assert sorted(tuple(r) for r in bpe.chains(words, {"ab"}).collect()) == [("ab", 4)]
+    assert bpe.chains(words, {"qq"}).count() == 0

@@ -98,7 +98,8 @@ def chains(words: DataFrame, pairs: set[str]) -> DataFrame:
             for word, n in zip(batch["spelled"], batch["n"], strict=True):
                 for chain in chains_of(word, pairs):
                     found[chain] += n
-            yield pd.DataFrame({"chain": list(found), "n": list(found.values())})
+            if found:  # a frame without rows has no type that Arrow takes
+                yield pd.DataFrame({"chain": list(found), "n": list(found.values())})
 
     rows = words.mapInPandas(run, "chain string, n bigint")
     return stage(rows.groupBy("chain").agg(F.sum("n").alias("n")), "bpe-chains")
